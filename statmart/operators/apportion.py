@@ -21,18 +21,18 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
               target: str = "target", scaled: str = "scaled", zero_policy: str = "other") -> DataFrame:
     """Scale integer weights of every group to the group's target, exactly.
 
-    ``weights`` has one row per ``by`` + ``key``.  With ``zero_policy="other"``
-    weights that are null or not positive are dropped, so a group without
-    weights gives no rows; with ``"even"`` they stay, and a group of zeros
-    shares its target evenly in key order.
-
-    Built for groups of any size.  The remainder depends on the weight alone,
-    so ranks are worked out on the distinct weights of a group; d different
-    positive integers add up to at least d * (d + 1) / 2, so there are at most
-    sqrt(2 * total) of them.  Only keys of the one weight at which the units run
-    out need an order of their own; see ``_first_keys``.
+    ``weights`` has one row per ``by`` + ``key``, with a text key.  With
+    ``zero_policy="other"`` weights that are null or not positive are dropped,
+    so a group without weights gives no rows; with ``"even"`` they stay, and a
+    group of zeros shares its target evenly in key order.
+
+    Built for groups of any size: see ``_rank_offsets``.  A key's rank is the
+    number of keys in front of its bucket plus its rank inside the bucket, so no
+    task has to sort a whole group.
     """
     by = list(by)
+    if dict(weights.dtypes)[key] != "string":
+        raise ValueError(f"the key column {key!r} has to be text")
     if zero_policy == "other":
         rows = weights.filter(F.col(weight) > 0)
     elif zero_policy == "even":
@@ -40,73 +40,53 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
     else:
         raise ValueError(f"unknown zero_policy {zero_policy!r}")
     rows = rows.select(*by, key, F.col(weight).alias("_weight"))
-
-    classes = _weight_classes(rows, targets, by, key, target)
-    share = rows.join(classes, [*by, "_weight"])
-    settled = share.filter((F.col("_units") == 0) | (F.col("_units") == F.col("_keys")))
-    settled = settled.withColumn("_extra", (F.col("_units") > 0).cast("bigint"))
-    open_class = share.filter((F.col("_units") > 0) & (F.col("_units") < F.col("_keys")))
-    dealt = settled.unionByName(_first_keys(open_class, by, key))
-    return dealt.select(
-        *by, key, F.col("_weight").alias(weight), (F.col("_base") + F.col("_extra")).cast("bigint").alias(scaled)
+    rows = rows.withColumn("_bucket", _bucket(rows, key))
+    offsets = _rank_offsets(rows, targets.select(*by, not_negative(target).alias("_target")), by)
+    in_bucket = F.row_number().over(Window.partitionBy(*by, "_weight", "_bucket").orderBy(key))
+    extra = F.when(F.col("_before") + in_bucket <= F.col("_left_over"), 1).otherwise(0)
+    return rows.join(offsets, [*by, "_weight", "_bucket"]).select(
+        *by, key, F.col("_weight").alias(weight), (F.col("_base") + extra).cast("bigint").alias(scaled)
     )
 
 
-def _weight_classes(rows: DataFrame, targets: DataFrame, by: list[str], key: str, target: str) -> DataFrame:
-    """Per group and distinct weight: base share, number of keys, units left for them."""
-    classes = rows.groupBy(*by, "_weight").agg(
-        F.count("*").alias("_keys"), F.min(key).alias("_low"), F.max(key).alias("_high")
-    )
-    goal = targets.select(*by, not_negative(target).alias("_target"))
-    group = Window.partitionBy(*by)
-    # A group of zeros is dealt like a group of ones.
-    total = F.sum(wide("_weight") * wide("_keys")).over(group).cast("decimal(38,0)")
-    unit = F.when(total == 0, wide(F.lit(1))).otherwise(wide("_weight"))
-    whole = F.when(total == 0, F.sum("_keys").over(group).cast("decimal(38,0)")).otherwise(total)
-    product = (wide("_target") * F.col("_unit")).cast("decimal(38,0)")
-    ranked = Window.partitionBy(*by).orderBy(F.col("_rest").desc(), F.col("_weight").desc())
-    before = ranked.rowsBetween(Window.unboundedPreceding, -1)
-    left_over = F.col("_target") - F.sum(F.col("_base") * F.col("_keys")).over(group)
-    units = left_over - F.coalesce(F.sum("_keys").over(before), F.lit(0))
-    return (
-        classes.join(goal, by)
-        .withColumn("_unit", unit)
-        .withColumn("_total", whole)
-        .withColumn("_base", div(product, F.col("_total")))
-        .withColumn("_rest", product % F.col("_total"))
-        .withColumn("_units", F.least(not_negative(units), F.col("_keys")))
-        .select(*by, "_weight", "_keys", "_base", "_units", _shared_prefix("_low", "_high").alias("_shared"))
-    )
-
+def _bucket(rows: DataFrame, key: str) -> Column:
+    """The two characters of a key that follow what all keys have in common.
 
-def _shared_prefix(low: str, high: str) -> Column:
-    """Number of leading characters two texts have in common."""
-    lengths = F.sequence(F.lit(0), F.least(F.length(low), F.length(high)))
-    same = F.filter(lengths, lambda n: F.substring(F.col(low), F.lit(1), n) == F.substring(F.col(high), F.lit(1), n))
-    return F.array_max(same)
+    Buckets sort like their keys, and split equal weights into parts.
+    """
+    ends = rows.agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    lengths = F.sequence(F.lit(0), F.length("low"))
+    same = F.filter(lengths, lambda n: F.substring(F.col("low"), F.lit(1), n) == F.substring(F.col("high"), F.lit(1), n))
+    shared = ends.select(F.array_max(same)).scalar()
+    return F.substring(F.col(key), shared + 1, F.lit(2))
 
 
-def _first_keys(open_class: DataFrame, by: list[str], key: str) -> DataFrame:
-    """One extra unit for the first ``_units`` keys of each open class.
+def _rank_offsets(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+    """Per group, weight and bucket: base share and number of keys ranked before it.
 
-    The rank of a key is the number of keys in lower buckets plus its rank in
-    its own bucket.  A bucket is the two characters after the part all keys of
-    the class have in common, so equal weights by the million still spread over
-    many tasks.
+    The remainder depends on the weight alone, so the ranking is worked out on
+    counts of distinct weights and buckets instead of on the keys.  Different
+    positive integers grow: d of them add up to at least d * (d + 1) / 2, so a
+    group has at most sqrt(2 * total) distinct weights, however many keys.
     """
-    bucketed = open_class.withColumn("_bucket", F.substring(F.col(key), F.col("_shared") + 1, F.lit(2)))
-    lower = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        bucketed.groupBy(*by, "_bucket")
-        .agg(F.count("*").alias("_size"))
-        .withColumn("_offset", F.coalesce(F.sum("_size").over(lower), F.lit(0)))
-        .drop("_size")
-    )
-    rank = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(key)) + F.col("_offset")
+    counts = rows.groupBy(*by, "_weight", "_bucket").agg(F.count("*").alias("_keys")).join(targets, by)
+    group = Window.partitionBy(*by)
+    ranked = group.orderBy(F.col("_rest").desc(), F.col("_weight").desc(), F.col("_bucket"))
+    total = F.sum(wide("_weight") * wide("_keys")).over(group).cast("decimal(38,0)")
+    keys = F.sum("_keys").over(group).cast("decimal(38,0)")
+    # A group of zeros is dealt like a group of ones.
+    product = wide("_target") * F.when(F.col("_sum") == 0, wide(F.lit(1))).otherwise(wide("_weight"))
+    whole = F.when(F.col("_sum") == 0, F.col("_n")).otherwise(F.col("_sum"))
     return (
-        bucketed.join(buckets, [*by, "_bucket"])
-        .withColumn("_extra", (rank <= F.col("_units")).cast("bigint"))
-        .drop("_bucket", "_offset")
+        counts.select("*", total.alias("_sum"), keys.alias("_n"))
+        .select("*", product.cast("decimal(38,0)").alias("_product"), whole.alias("_whole"))
+        .select("*", div(F.col("_product"), F.col("_whole")).alias("_base"),
+                (F.col("_product") % F.col("_whole")).alias("_rest"))
+        .select(
+            *by, "_weight", "_bucket", "_base",
+            (F.col("_target") - F.sum(F.col("_base") * F.col("_keys")).over(group)).alias("_left_over"),
+            F.coalesce(F.sum("_keys").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        )
     )
 
 

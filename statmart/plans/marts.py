@@ -16,8 +16,9 @@ from statmart import codes
 from statmart.functions import code_for, is_place, not_negative, place_name, template, year_start
 from statmart.operators.apportion import apportion, apportion_codes
 from statmart.operators.dedupe import latest_slice, top_per_key
-from statmart.operators.rollup import latest_complete_year, latest_row, rows_of_latest_year, sum_by
+from statmart.operators.rollup import latest_row, rows_of_latest_year, sum_by
 from statmart.operators.series import align_to_driver, blend_history, percent_of_total
+from statmart.session import materialized
 
 STATUS_SOURCES = {
     "census": "Statistics Canada 98-10-0302-01",
@@ -261,30 +262,31 @@ def origin_categories(facts: DataFrame, status: DataFrame, as_of: int, k: int =
     """
     stocks = status.filter((F.col("mode") == "estimated") & F.col("status").isin(*STATUS_OF_CATEGORY.values()))
     category_of_status = {status: category for category, status in STATUS_OF_CATEGORY.items()}
-    targets = stocks.select(code_for("status", category_of_status).alias("category"), F.col("count").alias("target"))
-
-    sums = place_sums(facts, ["stream", "ref_year"], places)
+    targets = materialized(
+        stocks.select(code_for("status", category_of_status).alias("category"), not_negative("count").alias("target"))
+    )
     complete = (F.col("stream") == "naturalized") | (F.col("ref_year") < as_of)
-    latest = rows_of_latest_year(sums, complete, ["stream"])
+    latest = materialized(rows_of_latest_year(place_sums(facts, ["stream", "ref_year"], places), complete, ["stream"]))
+
     weights = sum_by(
         _ranked(latest, places).withColumn("category", code_for("stream", CATEGORY_OF_STREAM)), ["category", "country"]
     )
-    scaled = apportion(weights, targets, ["category"], "country")
-    top = top_per_key(
-        scaled.filter(F.col("scaled") > 0), ["category"], [F.col("scaled").desc(), F.col("country")], k
-    )
+    scaled = apportion(weights, targets, ["category"], "country").filter(F.col("scaled") > 0)
+    top = top_per_key(scaled, ["category"], [F.col("scaled").desc(), F.col("country")], k)
     # At most k rows per category from here on.
-    own = (
-        top.groupBy("category")
-        .agg(F.collect_list(F.struct("country", F.col("scaled").alias("count"))).alias("top"),
-             F.sum("scaled").alias("_listed"))
-        .join(targets, "category", "right")
-        .withColumn("target", not_negative("target"))
-        .withColumn("top", F.coalesce("top", F.array().cast("array<struct<country:string,count:bigint>>")))
-        .withColumn("_rest", not_negative(F.col("target") - F.coalesce("_listed", F.lit(0))))
+    listed = top.groupBy("category").agg(
+        F.collect_list(F.struct("country", F.col("scaled").alias("count"))).alias("top"),
+        F.sum("scaled").alias("_listed"),
+    )
+    nothing = F.array().cast("array<struct<country:string,count:bigint>>")
+    own = targets.join(listed, "category", "left").select(
+        "category", "target",
+        F.coalesce("top", nothing).alias("top"),
+        not_negative(F.col("target") - F.coalesce("_listed", F.lit(0))).alias("_rest"),
     )
-    return _with_foreign_born(own, k).withColumn("source_period", _source_period(sums, complete)).withColumn(
-        "label", code_for("category", codes.ORIGIN_CATEGORIES)
+    return _with_foreign_born(own, k).select(
+        "category", code_for("category", codes.ORIGIN_CATEGORIES).alias("label"), "total", "top", "non_top",
+        _source_period(latest).alias("source_period"),
     )
 
 
@@ -329,11 +331,10 @@ def _with_foreign_born(own: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _source_period(sums: DataFrame, complete: Column) -> Column:
+def _source_period(latest: DataFrame) -> Column:
     """Which years each category rests on."""
-    years = latest_complete_year(sums.filter(F.col("stream").isNotNull()), complete, ["stream"])
     fields = [F.max(F.when(F.col("stream") == s, F.col("ref_year"))).alias(s) for s in CATEGORY_OF_STREAM]
-    y = years.agg(F.struct(*fields)).scalar()
+    y = latest.agg(F.struct(*fields)).scalar()
     temporary = F.greatest(y["study"], y["work"], y["asylum"])
     # Wording of the period texts.
     return (

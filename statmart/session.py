@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "statmart", memory: str = "8g") -> SparkSession:
@@ -19,7 +19,9 @@ def local_session(cpus: int | str = "*", app: str = "statmart", memory: str = "8
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(parallel))
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+        # Call sites for error messages cost driver time on every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.ui.showConsoleProgress","false").getOrCreate()
     )
 
 
@@ -34,3 +36,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="statmart-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """A small result several branches read: computed once, written to the shared folder.
+
+    The files outlive the executors that wrote them, and their size lets Spark
+    choose the right join.
+    """
+    path = scratch_path(df.sparkSession, "result")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
