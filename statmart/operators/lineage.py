@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,12 +28,11 @@ class SourceMeta:
     source_id: str
     source_family: str = "unknown"
     resource_id: str | None = None
-    reference_period: str | None = None
     cadence: str | None = None
 
 
-def load_record(spark: SparkSession, run_id: str, meta: SourceMeta, status: str,
-                notes: str | None = None) -> DataFrame:
+def load_record(spark: SparkSession, run_id: str, meta: SourceMeta, status: str, notes: str | None = None,
+                reference_period: Column | str | None = None) -> DataFrame:
     """One lineage row with a new id and the current time."""
     one = spark.range(1)
     values = {
@@ -42,12 +41,12 @@ def load_record(spark: SparkSession, run_id: str, meta: SourceMeta, status: str,
         "source_family": meta.source_family,
         "source_id": meta.source_id,
         "resource_id": meta.resource_id,
-        "reference_period": meta.reference_period,
+        "reference_period": reference_period,
         "cadence": meta.cadence,
         "status": status,
         "notes": notes,
     }
-    columns = {name: F.lit(value).cast("string") for name, value in values.items()}
+    columns = {name: (v if isinstance(v, Column) else F.lit(v)).cast("string") for name, v in values.items()}
     columns["load_id"] = F.expr("uuid()")
     columns["loaded_at"] = F.current_timestamp()
     return one.select(*[columns[f.name].alias(f.name) for f in schemas.LOADS.schema])

@@ -65,8 +65,11 @@ def rows_of_latest_year(sums: DataFrame, as_of: int | Column | None, by: Sequenc
     return sums.join(latest_complete_year(sums, as_of, by, year, value), [*by, year])
 
 
-def latest_row(df: DataFrame, at: str, values: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """``values`` of the row with the greatest ``at`` per group, by partial aggregation."""
+def latest_row(df: DataFrame, at: str, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``values`` of the row with the greatest ``at`` per group, by partial aggregation.
+
+    Without groups there is always one row, of nulls for an empty input.
+    """
     chosen = F.max_by(F.struct(at, *values), at).alias("_chosen")
     return df.filter(F.col(at).isNotNull()).groupBy(*by).agg(chosen).select(*by, "_chosen.*")
 

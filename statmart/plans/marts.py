@@ -87,22 +87,19 @@ def status_estimates(spark: SparkSession, population: DataFrame, npr: DataFrame,
     Temporary residents come from the newest quarter; the rest of the population
     is split over the resident statuses by their latest census counts.
     """
-    people = latest_row(population.filter(F.col("geo") == geo), "ref_date", ["population"], ["geo"])
-    by_quarter = npr.filter(F.col("geo") == geo).groupBy("geo", "ref_date").agg(F.sum("count").alias("npr"))
-    temporary = latest_row(by_quarter, "ref_date", ["npr"], ["geo"])
+    people = latest_row(population.filter(F.col("geo") == geo), "ref_date", ["population"])
+    by_quarter = npr.filter(F.col("geo") == geo).groupBy("ref_date").agg(F.sum("count").alias("npr"))
     counts = [F.sum(F.when(F.col("status") == s, F.col("count"))).alias(s) for s in codes.RESIDENT_STATUSES]
-    by_census = (
-        census.filter((F.col("geo") == geo) & F.col("count").isNotNull()).groupBy("geo", "census_year").agg(*counts)
-    )
-    latest_census = latest_row(by_census, "census_year", codes.RESIDENT_STATUSES, ["geo"])
-
-    one = (
-        spark.range(1)
-        .select(F.lit(geo).alias("geo"))
-        .join(people, "geo", "left")
-        .join(temporary.withColumnRenamed("ref_date", "npr_date"), "geo", "left")
-        .join(latest_census, "geo", "left")
-    )
+    by_census = census.filter((F.col("geo") == geo) & F.col("count").isNotNull()).groupBy("census_year").agg(*counts)
+    latest = {
+        "people": people,
+        "temporary": latest_row(by_quarter, "ref_date", ["npr"]).withColumnRenamed("ref_date", "npr_date"),
+        "census": latest_row(by_census, "census_year", codes.RESIDENT_STATUSES),
+    }
+    # Three single rows side by side: scalar subqueries, no join.
+    one = spark.range(1).select(*[df.select(F.struct("*")).scalar().alias(name) for name, df in latest.items()])
+    one = one.select(*[f"{name}.*" for name in latest])
+
     zero = F.lit(0).cast("bigint")
     temp_count = F.coalesce("npr", zero)
     residents = not_negative(F.coalesce("population", zero) - temp_count)

@@ -9,20 +9,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = "*", app: str = "statmart", memory: str = "8g") -> SparkSession:
-    """A local session for tests and benches; on a cluster use the one given."""
+def local_session(cpus: int | str = "*", app: str = "statmart", memory: str = "8g",
+                  shared: str | None = None) -> SparkSession:
+    """A local session for tests and benches; on a cluster use the one given.
+
+    ``shared`` stands for the folder a cluster names in spark.checkpoint.dir.
+    """
     parallel = os.cpu_count() if cpus == "*" else int(cpus)
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(parallel))
         .config("spark.sql.session.timeZone", "UTC")
         # Call sites for error messages cost driver time on every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.ui.showConsoleProgress","false").getOrCreate()
     )
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return builder.getOrCreate()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -5,13 +5,12 @@ from statmart.sinks.tables import (
     BrokenKey,
     append_rows,
     check_keys,
-    load_if_any,
     replace_slice,
     replace_table,
     shape_for,
 )
 
 __all__ = [
-    "BrokenKey", "append_rows", "check_keys", "load_if_any", "publish_document", "publish_if_any", "publish_rows",
-    "replace_slice", "replace_table", "shape_for",
+    "BrokenKey", "append_rows", "check_keys", "publish_document", "publish_if_any", "publish_rows", "replace_slice",
+    "replace_table", "shape_for",
 ]

@@ -1,8 +1,12 @@
-"""Keyed warehouse tables: full replace, slice replace, append."""
+"""Keyed warehouse tables: full replace, slice replace, append.
+
+Rows are written beside the table and checked there before they take its
+place, so the extract is computed once and a failed load changes nothing.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,48 +45,47 @@ def check_keys(df: DataFrame, table: Table) -> None:
         raise BrokenKey(f"{table.name}: {[row.asDict() for row in broken]}")
 
 
-def replace_table(df: DataFrame, path: str, table: Table | None = None) -> None:
-    """Replace a whole table.
-
-    Rows are written beside the table and checked there; only then do they take
-    its place, so a failed load leaves the old rows as they were.
-    """
-    spark = df.sparkSession
+def _stage(df: DataFrame, path: str, table: Table | None) -> tuple[str, DataFrame, int]:
+    """Write beside the table, check, and count from the file footers."""
     staged = files.beside(path, "staged")
     df.write.parquet(staged)
+    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
     try:
         if table is not None:
-            check_keys(spark.read.schema(df.schema).parquet(staged), table)
-        files.swap_in(spark, staged, path)
+            check_keys(rows, table)
+        return staged, rows, rows.count()
     except Exception:
-        files.remove(spark, staged)
+        files.remove(df.sparkSession, staged)
         raise
 
 
-def replace_slice(df: DataFrame, path: str, by: str, table: Table | None = None) -> None:
-    """Replace the slices that occur in the frame; all other slices stay."""
+def replace_table(df: DataFrame, path: str, table: Table | None = None, keep_if_empty: bool = False) -> int:
+    """Replace a whole table and return its number of rows.
+
+    With ``keep_if_empty`` an empty extract leaves the old rows in place.
+    """
     spark = df.sparkSession
-    staged = files.beside(path, "staged")
-    df.write.parquet(staged)
+    staged, _, n_rows = _stage(df, path, table)
+    if n_rows == 0 and keep_if_empty:
+        files.remove(spark, staged)
+    else:
+        files.swap_in(spark, staged, path)
+    return n_rows
+
+
+def replace_slice(df: DataFrame, path: str, by: str, table: Table | None = None) -> int:
+    """Replace the slices that occur in the frame and return its number of rows; other slices stay."""
+    staged, rows, n_rows = _stage(df, path, table)
     try:
-        checked = spark.read.schema(df.schema).parquet(staged)
-        if table is not None:
-            check_keys(checked, table)
-        # Rebalancing gives a large slice several files and a small one a single file.
-        writer = checked.hint("rebalance", by).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+        if n_rows:
+            # Rebalancing gives a large slice several files and a small one a single file.
+            writer = rows.hint("rebalance", by).write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     finally:
-        files.remove(spark, staged)
+        files.remove(df.sparkSession, staged)
+    return n_rows
 
 
 def append_rows(df: DataFrame, path: str) -> None:
     """Add log rows."""
     df.write.mode("append").parquet(path)
-
-
-def load_if_any(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:
-    """Write unless the extract is empty; the old rows survive an empty extract."""
-    if df.isEmpty():
-        return False
-    write(df)
-    return True
