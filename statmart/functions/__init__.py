@@ -18,6 +18,7 @@ from statmart.functions.numbers import (
     wide,
 )
 from statmart.functions.text import (
+    all_present,
     code_for,
     drop_null_tokens,
     is_blank,
@@ -32,7 +33,7 @@ from statmart.functions.text import (
 )
 
 __all__ = [
-    "code_for", "compact_label", "div", "drop_null_tokens", "grouped_label", "is_blank", "is_place",
+    "all_present", "code_for", "compact_label", "div", "drop_null_tokens", "grouped_label", "is_blank", "is_place",
     "is_region", "iso_timestamp", "month_label", "month_number", "not_negative", "parse_count",
     "percent_one_decimal", "place_name", "program_code", "quarter_of", "quarter_start", "short_place",
     "squeeze", "starts_with", "template", "wide", "year_start",

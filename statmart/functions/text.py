@@ -26,6 +26,11 @@ def is_blank(c: Column | str) -> Column:
     return F.coalesce(F.trim(_col(c)) == "", F.lit(True))
 
 
+def all_present(*columns: str) -> Column:
+    """True where none of the columns is null."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def squeeze(c: Column | str) -> Column:
     """Trim and turn every run of white space into one blank."""
     return F.trim(F.regexp_replace(_col(c), r"\s+", " "))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statmart.functions import div, not_negative, wide
+from statmart.functions import all_present, div, not_negative, wide
 from statmart.operators.dedupe import top_per_key
 from statmart.operators.rollup import sum_by
 
@@ -39,8 +39,10 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
         rows = weights.withColumn(weight, F.greatest(F.coalesce(weight, F.lit(0)), F.lit(0)))
     else:
         raise ValueError(f"unknown zero_policy {zero_policy!r}")
-    rows = rows.select(*by, key, F.col(weight).alias("_weight"))
-    rows = rows.withColumn("_bucket", _bucket(rows, key))
+    # Null tests and a bucket that is never null, stated once for all branches:
+    # then all of them read the same shuffle output.
+    rows = rows.filter(all_present(*by, key)).select(*by, key, F.col(weight).alias("_weight"))
+    rows = rows.withColumn("_bucket", F.coalesce(_bucket(rows, key), F.lit("")))
     offsets = _rank_offsets(rows, targets.select(*by, not_negative(target).alias("_target")), by)
     in_bucket = F.row_number().over(Window.partitionBy(*by, "_weight", "_bucket").orderBy(key))
     extra = F.when(F.col("_before") + in_bucket <= F.col("_left_over"), 1).otherwise(0)

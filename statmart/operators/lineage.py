@@ -8,7 +8,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from statmart import schemas
 from statmart.functions import iso_timestamp
@@ -77,30 +76,47 @@ def latest_loads(loads: DataFrame, keys: Sequence[str], fields: Sequence[str] =
     return latest.select(*known).withColumn("loaded_at", iso_timestamp("loaded_at")).orderBy("dataset_key")
 
 
-def failure_frame(spark: SparkSession, failures: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
-    """Failures of this run among the listed datasets."""
-    schema = T.StructType([T.StructField("dataset_key", T.StringType()), T.StructField("error", T.StringType())])
-    return spark.createDataFrame([(k, failures[k]) for k in sorted(keys) if k in failures], schema)
-
-
-def with_freshness(loads: DataFrame, keys: Sequence[str], failures: Mapping[str, str]) -> DataFrame:
-    """Latest loads with the report-wide reference period and stale mark on every row.
+def freshness(loads: DataFrame, keys: Sequence[str], failures: Mapping[str, str],
+              generated_at: datetime | None = None, fields: Sequence[str] = LOAD_FIELDS) -> DataFrame:
+    """One row: when the report was made, what its sources cover, which of them failed.
 
     ``latest_source_reference`` is the last stated period in dataset-key order;
-    ``last_success_reference`` is the newest one of a successful load.
+    ``last_success_reference`` is the newest one of a successful load.  The load
+    log is read once and partially aggregated; what is collected is one record
+    per listed dataset.
     """
-    records = latest_loads(loads, keys)
-    failed = failure_frame(loads.sparkSession, failures, keys)
-    stated = records.filter(F.coalesce(F.col("reference_period") != "", F.lit(False)))
-    last = stated.agg(F.max_by("reference_period", "dataset_key")).scalar()
-    good = loads.filter(
-        F.col("dataset_key").isin(*keys) & (F.col("status") == "success") & (F.col("reference_period") != "")
+    known = [iso_timestamp(f).alias(f) if f == "loaded_at" else F.col(f) for f in fields if f in loads.columns]
+    newest = F.struct("loaded_at", *[c for c in ("load_id",) if c in loads.columns])
+    stated = F.col("reference_period") != ""
+    good = F.when((F.col("status") == "success") & stated, F.struct("loaded_at", "dataset_key", "reference_period"))
+    per_key = (
+        loads.filter(F.col("dataset_key").isin(*keys))
+        .groupBy("dataset_key")
+        .agg(F.max_by(F.struct(*known), newest).alias("record"), F.max(good).alias("good"))
+    )
+    failed = sorted(k for k in keys if k in failures)
+    errors = [F.struct(F.lit(k).alias("dataset_key"), F.lit(failures[k]).alias("error")) for k in failed]
+    periods = F.transform(
+        F.filter("sources", lambda r: r["reference_period"] != ""),
+        lambda r: F.struct(r["dataset_key"].alias("dataset_key"), r["reference_period"].alias("reference_period")),
     )
-    newest = good.agg(F.max_by("reference_period", F.struct("loaded_at", "dataset_key", "reference_period"))).scalar()
-    return (
-        records.join(failed, "dataset_key", "left")
-        .withColumn("failed_now", F.col("error").isNotNull())
-        .withColumn("latest_source_reference", last)
-        .withColumn("last_success_reference", newest)
-        .withColumn("stale", F.lit(any(k in failures for k in keys)))
+    return per_key.agg(F.array_sort(F.collect_list("record")).alias("sources"), F.max("good").alias("good")).select(
+        F.lit(generated_at.isoformat() if generated_at else None).cast("string").alias("generated_at"),
+        F.array_max(periods)["reference_period"].alias("latest_source_reference"),
+        F.col("good.reference_period").alias("last_success_reference"),
+        F.lit(bool(failed)).alias("stale"),
+        F.array(*errors).cast("array<struct<dataset_key:string,error:string>>").alias("failed_sources"),
+        "sources",
+    )
+
+
+def freshness_rows(loads: DataFrame, keys: Sequence[str], failures: Mapping[str, str]) -> DataFrame:
+    """The freshness report as one row per dataset, with the report-wide fields on each."""
+    report = freshness(loads, keys, failures).select("*", F.explode("sources").alias("_record"))
+    own = F.filter("failed_sources", lambda f: f["dataset_key"] == F.col("_record.dataset_key"))
+    return report.select(
+        "_record.*",
+        F.get(own, F.lit(0))["error"].alias("error"),
+        (F.size(own) > 0).alias("failed_now"),
+        "latest_source_reference", "last_success_reference", "stale",
     )

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statmart.functions import code_for, parse_count
+from statmart.functions import all_present, code_for, parse_count
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], value: str = "count", alias: str | None = None,
@@ -20,20 +20,31 @@ def sum_by(df: DataFrame, keys: Sequence[str], value: str = "count", alias: str
     return df.groupBy(*keys).agg(total.alias(alias or value))
 
 
-def annual_rollup(df: DataFrame, year: str, key: Column | str, key_name: str, total: str,
-                  strip_commas: bool = True) -> DataFrame:
+def annual_rollup(df: DataFrame, year: str, key: str, key_name: str, total: str, strip_commas: bool = True,
+                  clean: Callable[[Column], Column] | None = None) -> DataFrame:
     """Text extract to yearly sums.
 
     Unreadable totals count as null, rows without a year or key are dropped, and
-    a group that holds nothing but nulls sums to 0.
+    a group that holds nothing but nulls sums to 0.  Years and keys repeat from
+    row to row, so rows are summed by the raw texts first; the year is parsed
+    and the key cleaned once per distinct text.
     """
-    key = F.col(key) if isinstance(key, str) else key
-    rows = df.select(
-        parse_count(year).cast("int").alias("ref_year"),
-        key.alias(key_name),
-        parse_count(total, strip_commas).alias("count"),
-    ).dropna(subset=["ref_year", key_name])
-    return sum_by(rows, ["ref_year", key_name], zero_default=True)
+    key_column = F.col(f"`{key}`")
+    raw = df.groupBy(F.col(f"`{year}`").alias("_year"), key_column.alias("_key")).agg(
+        F.sum(parse_count(F.col(f"`{total}`"), strip_commas)).alias("count")
+    )
+    rows = raw.select(
+        parse_count("_year").cast("int").alias("ref_year"),
+        (clean(F.col("_key")) if clean else F.col("_key")).alias(key_name),
+        "count",
+    )
+    sums = rows.groupBy("ref_year", key_name).agg(
+        F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("count"),
+        F.least(F.count("ref_year"), F.count(key_name)).alias("_known"),
+    )
+    # A test of an aggregate: a null test of the keys would be moved below the
+    # first sum, where it parses every row of the extract.
+    return sums.filter(F.col("_known") > 0).drop("_known")
 
 
 def latest_complete_year(sums: DataFrame, as_of: int | Column | None, by: Sequence[str] = (),
@@ -60,8 +71,7 @@ def rows_of_latest_year(sums: DataFrame, as_of: int | Column | None, by: Sequenc
                         year: str = "ref_year", value: str = "count") -> DataFrame:
     """Rows of the latest complete year of every group, with the year's total."""
     # Null keys are ruled out on both sides of the join, which keeps both plans alike.
-    for key in (year, *by):
-        sums = sums.filter(F.col(key).isNotNull())
+    sums = sums.filter(all_present(year, *by))
     return sums.join(latest_complete_year(sums, as_of, by, year, value), [*by, year])
 
 

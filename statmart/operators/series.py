@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statmart.functions import percent_one_decimal, year_start
+from statmart.functions import all_present, percent_one_decimal, year_start
 
 
 def percent_of_total(df: DataFrame, value: str = "count", by: Sequence[str] = (), total: str = "total",
@@ -18,21 +18,14 @@ def percent_of_total(df: DataFrame, value: str = "count", by: Sequence[str] = ()
     no window has to hold a whole group in one task.
     """
     if by:
-        totals = df.filter(_all_present(by)).groupBy(*by).agg(F.sum(value).alias(total))
-        out = df.filter(_all_present(by)).join(totals, list(by))
+        # Stated before the branches part, so that both read the same shuffle output.
+        df = df.filter(all_present(*by))
+        out = df.join(df.groupBy(*by).agg(F.sum(value).alias(total)), list(by))
     else:
         out = df.withColumn(total, df.agg(F.sum(value)).scalar())
     return out.withColumn(pct, percent_one_decimal(value, total))
 
 
-def _all_present(by: Sequence[str]) -> Column:
-    # Stated on both sides of the join, so both read the same shuffle output.
-    test = F.col(by[0]).isNotNull()
-    for c in by[1:]:
-        test = test & F.col(c).isNotNull()
-    return test
-
-
 def year_window(df: DataFrame, year: Column, start: int | None = None, end: int | None = None) -> DataFrame:
     """Rows whose year lies in the window; an open end reaches the first or last year present."""
     kept = df.filter(year.isNotNull())

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from statmart import codes, schemas
 from statmart.functions import code_for
-from statmart.operators.lineage import LOAD_FIELDS, latest_loads
+from statmart.operators import lineage
 from statmart.operators.rollup import collect_ordered, latest_complete_year, sum_by
 from statmart.plans import marts
 from statmart.session import materialized
@@ -60,18 +60,9 @@ def _by_count() -> list[Column]:
 
 
 def freshness(tables: Tables, keys: Sequence[str], export: Export) -> Column:
-    """When the document was made, what its sources cover, and which of them failed."""
-    records = latest_loads(tables[schemas.LOADS.name], keys)
-    stated = records.filter(F.coalesce(F.col("reference_period") != "", F.lit(False)))
-    failed = sorted(k for k in keys if k in export.failures)
-    errors = [F.struct(F.lit(k).alias("dataset_key"), F.lit(export.failures[k]).alias("error")) for k in failed]
-    return F.struct(
-        F.lit(export.generated_at.isoformat() if export.generated_at else None).cast("string").alias("generated_at"),
-        _value(stated, F.max_by("reference_period", "dataset_key")).alias("latest_source_reference"),
-        F.lit(bool(failed)).alias("stale"),
-        F.array(*errors).cast("array<struct<dataset_key:string,error:string>>").alias("failed_sources"),
-        _section(records, [F.col("dataset_key")], LOAD_FIELDS).alias("sources"),
-    )
+    """The freshness report of a document's sources."""
+    report = lineage.freshness(tables[schemas.LOADS.name], keys, export.failures, export.generated_at)
+    return report.select(F.struct("*")).scalar()
 
 
 def population_current(tables: Tables, export: Export) -> tuple[DataFrame, DataFrame]:

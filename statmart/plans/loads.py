@@ -18,7 +18,6 @@ from statmart.functions import (
     parse_count,
     program_code,
     quarter_start,
-    squeeze,
     starts_with,
 )
 from statmart.operators.dedupe import keep_first
@@ -129,18 +128,11 @@ def permits_by_country(raw: DataFrame, year: str = "EN_YEAR", country: str = "EN
 def work_permit_programs(raw: DataFrame, year: str = "EN_YEAR", total: str = "TOTAL",
                          candidates: Sequence[str] = codes.PROGRAM_COLUMNS,
                          strip_commas: bool = True) -> DataFrame:
-    """Yearly totals by program code; the program column is the first candidate present.
-
-    Free texts repeat a lot, so they are summed before they are classified.
-    """
-    column = first_present(raw, candidates)
-    per_text = annual_rollup(raw, year, F.coalesce(squeeze(F.lower(F.col(column))), F.lit("")), "program_text",
-                             total, strip_commas)
-    return (
-        per_text.groupBy("ref_year", program_code("program_text").alias("program_stream"))
-        .agg(F.sum("count").alias("count"))
-        .withColumn("ref_month", F.lit(codes.WHOLE_YEAR))
-    )
+    """Yearly totals by program code; the program column is the first candidate present."""
+    sums = annual_rollup(raw, year, first_present(raw, candidates), "program_stream", total, strip_commas,
+                         # An empty cell is a program of its own, not a missing key.
+                         clean=lambda text: program_code(F.coalesce(text, F.lit(""))))
+    return sums.withColumn("ref_month", F.lit(codes.WHOLE_YEAR))
 
 
 def asylum_claimants(cells: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statmart import codes
-from statmart.functions import code_for
+from statmart.functions import all_present, code_for
 from statmart.operators.apportion import topk_with_other, with_other_row
 from statmart.operators.rollup import rollup_groups, sum_by
 from statmart.operators.series import percent_of_total, pivot_series, year_window
@@ -55,8 +55,9 @@ def top_country_rows(history: DataFrame, k: int = 10, start: int | None = None,
     The top-k is taken over all years, as the chart does.
     """
     kept = history.filter(F.col("country").isNotNull())
+    # Listed countries are distinct, so an inner join keeps the rows of a semi join.
     top = top_countries(kept, k).select("country")
-    return year_window(kept.join(top, "country", "left_semi"), F.col("year"), start, end)
+    return year_window(kept.join(top, "country"), F.col("year"), start, end).select(*history.columns)
 
 
 def streams_grouped(streams: DataFrame, combined: Sequence[str] = codes.ASYLUM_STREAMS,
@@ -101,6 +102,8 @@ def category_rows(categories: DataFrame, category: str, other: str = "Non-top-10
 def top_with_other(df: DataFrame, by: Sequence[str], key: str, value: str = "count", k: int = 10,
                    other: str = "Non-top-10") -> DataFrame:
     """Top-k per group plus a remainder row that makes the group add up to its total."""
+    # Stated before the branches part, so that both read the same shuffle output.
+    df = df.filter(all_present(*by))
     totals = sum_by(df, by, value, alias="total")
     top, groups = topk_with_other(df, by, key, value, k, totals)
     return with_other_row(top, groups, key, value, other)

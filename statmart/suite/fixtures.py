@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart import codes
-from statmart.functions import div, quarter_of
+from statmart.functions import all_present, div, quarter_of
 
 GEO = "ASIA"
 AS_OF = 2001
@@ -311,6 +311,7 @@ class Fixtures:
         key = F.concat(F.lit("Part#"), F.lpad(F.col("l_partkey").cast("string"), 9, "0"))
         return (
             self.table("lineitem")
+            .filter(all_present("l_returnflag", "l_partkey"))
             .groupBy(F.col("l_returnflag").alias("category"), "l_partkey")
             .agg(F.count("*").alias("count"))
             .select("category", key.alias("part"), "count")

@@ -494,7 +494,9 @@ ORACLE = {
         "nat_places", "select census_year as year, country, cast(cnt as bigint) as count from nat_places"
     ),
     "merge_counts": _sql(
-        "permit_places", "select country, cast(sum(cnt) as bigint) as count from permit_places group by 1"
+        "permit_places pr_places",
+        "select country, cast(sum(cnt) as bigint) as count from (select country, cnt from permit_places "
+        "union all select country, cnt from pr_places) group by 1",
     ),
     "apportion_by_category": _apportion("fx_category_weights", "country"),
     "apportion_large_groups": _apportion("fx_part_weights", "part"),

@@ -159,9 +159,9 @@ def _(fx):
 
 @query("country_annual_clean")
 def _(fx):
-    total = fn.drop_null_tokens("TOTAL")
-    rows = fx.country_raw.select("EN_YEAR", "EN_COUNTRY_OF_CITIZENSHIP", total.alias("TOTAL"))
-    return rollup.annual_rollup(rows, "EN_YEAR", fn.place_name("EN_COUNTRY_OF_CITIZENSHIP", PLACES), "country", "TOTAL")
+    rows = fx.country_raw.withColumn("TOTAL", fn.drop_null_tokens("TOTAL"))
+    return rollup.annual_rollup(rows, "EN_YEAR", "EN_COUNTRY_OF_CITIZENSHIP", "country", "TOTAL",
+                                clean=lambda name: fn.place_name(name, PLACES))
 
 
 @query("null_token_audit")
@@ -273,7 +273,7 @@ def _(fx):
 
 @query("merge_counts")
 def _(fx):
-    frames = [fx.permits.filter(F.col("stream") == s) for s in ("study", "work", "asylum")]
+    frames = [fx.permits, fx.permanent]
     return rollup.merge_counts([marts.place_sums(f, [], PLACES) for f in frames], ["country"])
 
 
@@ -316,7 +316,7 @@ def _(fx):
 @query("freshness_summary")
 def _(fx):
     failures = {"error": "no resource found", "other": "not in this report"}
-    return lineage.with_freshness(fx.source_loads, ["click", "error", "purchase"], failures)
+    return lineage.freshness_rows(fx.source_loads, ["click", "error", "purchase"], failures)
 
 
 @query("reference_period")
@@ -414,39 +414,44 @@ def _(fx):
 
 @query("scalar_strings")
 def _(fx):
+    # Texts repeat: each distinct one is worked on once.
+    texts = fx.programs_raw.groupBy("EN_PROGRAM", "EN_YEAR").agg(F.count("*").alias("n"))
     program = F.col("EN_PROGRAM")
     forms = (("foreign", "f."), ("worker", "w."))
     low = F.lower(fn.squeeze(program))
-    return (
-        fx.programs_raw.select(
-            fn.squeeze(program).alias("squeezed"),
-            low.contains("work").alias("has_work"),
-            low.startswith("t").alias("t_first"),
-            low.endswith("t").alias("t_last"),
-            F.length(low).alias("length"),
-            F.substring(low, 1, 4).alias("first_four"),
-            fn.short_place(low, forms).alias("shortened"),
-            fn.template("%s in %s", F.nullif(low, F.lit("")), "EN_YEAR").alias("templated"),
-            fn.program_code(program).alias("program"),
-            fn.is_blank(program).alias("blank"),
-        )
-        .groupBy("squeezed", "has_work", "t_first", "t_last", "length", "first_four", "shortened", "templated",
-                 "program", "blank")
-        .agg(F.count("*").alias("n"))
+    rows = texts.select(
+        "n",
+        fn.squeeze(program).alias("squeezed"),
+        low.contains("work").alias("has_work"),
+        low.startswith("t").alias("t_first"),
+        low.endswith("t").alias("t_last"),
+        F.length(low).alias("length"),
+        F.substring(low, 1, 4).alias("first_four"),
+        fn.short_place(low, forms).alias("shortened"),
+        fn.template("%s in %s", F.nullif(low, F.lit("")), "EN_YEAR").alias("templated"),
+        fn.program_code(program).alias("program"),
+        fn.is_blank(program).alias("blank"),
     )
+    return rows.groupBy(*[c for c in rows.columns if c != "n"]).agg(F.sum("n").alias("n"))
 
 
 @query("scalar_math")
 def _(fx):
-    n = fn.parse_count(fn.drop_null_tokens("TOTAL"))
-    decimal = fn.parse_count(F.concat("TOTAL", F.lit(".6")))
-    rows = fx.country_raw.select(
-        "EN_YEAR", n.alias("n"), decimal.alias("cut"), fn.not_negative(n - 20).alias("above_20"),
-        (n % 7).alias("mod_7"), F.try_divide(n, F.nullif(n % 3, F.lit(0).cast("bigint"))).alias("ratio"),
-        fn.percent_one_decimal(n, F.lit(1060)).alias("pct"), fn.percent_one_decimal(n, F.lit(0)).alias("no_pct"),
+    cells = fx.country_raw.filter(F.col("EN_YEAR").isin("1996", "1998", "2000"))
+    n = F.col("n")
+    numbers = cells.groupBy("EN_YEAR", "TOTAL").agg(F.count("*").alias("n_rows")).select(
+        "EN_YEAR", "n_rows",
+        fn.parse_count(fn.drop_null_tokens("TOTAL")).alias("n"),
+        fn.parse_count(F.concat("TOTAL", F.lit(".6"))).alias("cut"),
+    )
+    return numbers.filter(n > 0).select(
+        "EN_YEAR", "n_rows", "n", "cut",
+        fn.not_negative(n - 20).alias("above_20"),
+        (n % 7).alias("mod_7"),
+        F.try_divide(n, F.nullif(n % 3, F.lit(0).cast("bigint"))).alias("ratio"),
+        fn.percent_one_decimal(n, F.lit(1060)).alias("pct"),
+        fn.percent_one_decimal(n, F.lit(0)).alias("no_pct"),
     )
-    kept = rows.filter(F.col("EN_YEAR").isin("1996", "1998", "2000") & (F.col("n") > 0))
-    return kept.groupBy(*rows.columns).agg(F.count("*").alias("n_rows"))
 
 
 @query("nested_topk")

@@ -201,10 +201,10 @@ def test_newer_failure_hides_older_period(spark):
         ("3", "b", "success", "2019", at),
         ("4", "z", "success", "2030", at),
     ], "load_id string, dataset_key string, status string, reference_period string, loaded_at timestamp")
-    got = lineage.with_freshness(loads, ["a", "b"], {}).collect()
+    got = lineage.freshness_rows(loads, ["a", "b"], {}).collect()
     assert [(r["dataset_key"], r["status"], r["stale"]) for r in got] == [("a", "failed", False), ("b", "success", False)]
     assert got[0]["latest_source_reference"] == "2019" and got[0]["last_success_reference"] == "2019"
-    assert lineage.with_freshness(loads, ["a"], {"a": "x", "z": "y"}).first()["stale"]
+    assert lineage.freshness_rows(loads, ["a"], {"a": "x", "z": "y"}).first()["stale"]
     assert lineage.latest_loads(loads, []).count() == 0
 
 
