@@ -234,6 +234,13 @@ ORIGIN_CATEGORIES = {
     "temporary_resident": "Temporary Residents",
 }
 
+# What follows "Non-top-<k> " in the foreign-born list.
+REMAINDER_LABELS = {
+    "naturalized": "Naturalized",
+    "permanent_resident": "Permanent Residents",
+    "temporary_resident": "Temporary Residents",
+}
+
 # ---------------------------------------------------------------------------
 # Texts that stand for a suppressed or missing number.
 NULL_TOKENS = ("--", "- -", "N/A", "n/a")

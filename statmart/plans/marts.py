@@ -305,7 +305,7 @@ def _with_foreign_born(own: DataFrame, k: int) -> DataFrame:
         return F.concat(listed, F.array(stock))
 
     total = F.lit("foreign_born_total")
-    rest_name = F.concat(F.lit(f"Non-top-{k} "), code_for("category", codes.ORIGIN_CATEGORIES))
+    rest_name = F.concat(F.lit(f"Non-top-{k} "), code_for("category", codes.REMAINDER_LABELS))
     rest = F.struct(total.alias("category"), rest_name.alias("country"), F.col("_rest").alias("count"),
                     F.lit(0).cast("bigint").alias("stock"))
     mixed = own.select(F.inline(F.concat(rows(F.col("category")), rows(total), F.array(rest))))

@@ -186,7 +186,7 @@ VIEWS = {
     ),
     "foreign_mix": (
         "select country, sum(n) as n from (select country, n from origin_ranked where rank <= 10 union all "
-        "select concat('Non-top-10 ', case category when 'naturalized' then 'Naturalized Citizens' "
+        "select concat('Non-top-10 ', case category when 'naturalized' then 'Naturalized' "
         "when 'permanent_resident' then 'Permanent Residents' else 'Temporary Residents' end), rest "
         "from origin_rest) group by 1 having sum(n) > 0"
     ),

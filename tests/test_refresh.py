@@ -233,11 +233,15 @@ def test_published_foreign_born_total(spark):
     )
     got = {r["category"]: r for r in marts._with_foreign_born(own, 10).collect()}
     total = got["foreign_born_total"]
-    # The published list.  Remainders carry the category's full label here.
+    # The published list.
     assert (total["total"], total["non_top"]) == (11839059, 2183445)
     assert [r["count"] for r in total["top"]] == [
         2501284, 2190036, 1070325, 1018750, 975903, 589203, 442917, 301788, 282705, 282703,
     ]
+    assert [r["country"] for r in total["top"]] == [
+        "Non-top-10 Naturalized", "Asia", "Non-top-10 Temporary Residents", "Cameroon", "India", "China", "Philippines",
+        "Non-top-10 Permanent Residents", "Algeria", "United Kingdom",
+    ]
     for category, (top, rest) in PUBLISHED.items():
         assert [(r["country"], r["count"]) for r in got[category]["top"]] == top
         assert got[category]["non_top"] == rest
