@@ -23,8 +23,9 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
 
     ``weights`` has one row per ``by`` + ``key``, with a text key.  With
     ``zero_policy="other"`` weights that are null or not positive are dropped,
-    so a group without weights gives no rows; with ``"even"`` they stay, and a
-    group of zeros shares its target evenly in key order.
+    so a group without weights gives no rows, and neither does one without a
+    positive target; with ``"even"`` all rows stay, and a group of zeros shares
+    its target evenly in key order.
 
     Built for groups of any size: see ``_rank_offsets``.  A key's rank is the
     number of keys in front of its bucket plus its rank inside the bucket, so no
@@ -34,7 +35,7 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
     if dict(weights.dtypes)[key] != "string":
         raise ValueError(f"the key column {key!r} has to be text")
     if zero_policy == "other":
-        rows = weights.filter(F.col(weight) > 0)
+        rows, targets = weights.filter(F.col(weight) > 0), targets.filter(F.col(target) > 0)
     elif zero_policy == "even":
         rows = weights.withColumn(weight, F.greatest(F.coalesce(weight, F.lit(0)), F.lit(0)))
     else:
@@ -69,7 +70,8 @@ def _rank_offsets(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFra
     The remainder depends on the weight alone, so the ranking is worked out on
     counts of distinct weights and buckets instead of on the keys.  Different
     positive integers grow: d of them add up to at least d * (d + 1) / 2, so a
-    group has at most sqrt(2 * total) distinct weights, however many keys.
+    group has at most sqrt(2 * total) distinct weights, however many keys, and
+    as many rows here as these weights have buckets.
     """
     counts = rows.groupBy(*by, "_weight", "_bucket").agg(F.count("*").alias("_keys")).join(targets, by)
     group = Window.partitionBy(*by)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from statmart import schemas
 from statmart.functions import iso_timestamp
 from statmart.operators.dedupe import latest_per_key
+from statmart.session import one_row
 
 LOAD_FIELDS = (
     "dataset_key", "source_family", "source_id", "resource_id", "reference_period", "cadence", "status",
@@ -33,7 +34,7 @@ class SourceMeta:
 def load_record(spark: SparkSession, run_id: str, meta: SourceMeta, status: str, notes: str | None = None,
                 reference_period: Column | str | None = None) -> DataFrame:
     """One lineage row with a new id and the current time."""
-    one = spark.range(1)
+    one = one_row(spark)
     values = {
         "run_id": run_id,
         "dataset_key": meta.dataset_key,

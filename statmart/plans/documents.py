@@ -18,7 +18,7 @@ from statmart.functions import code_for
 from statmart.operators import lineage
 from statmart.operators.rollup import collect_ordered, latest_complete_year, sum_by
 from statmart.plans import marts
-from statmart.session import materialized
+from statmart.session import materialized, one_row
 from statmart.sinks import publish_document, publish_if_any
 
 Tables = Mapping[str, DataFrame]
@@ -42,7 +42,7 @@ class Export:
 def _one(tables: Tables, columns: Mapping[str, Column | object]) -> DataFrame:
     """A one-row document with the given fields."""
     spark = next(iter(tables.values())).sparkSession
-    return spark.range(1).select(*[
+    return one_row(spark).select(*[
         (value if isinstance(value, Column) else F.lit(value)).alias(name) for name, value in columns.items()
     ])
 
@@ -56,7 +56,7 @@ def _value(rows: DataFrame, aggregate: Column) -> Column:
 
 
 def _by_count() -> list[Column]:
-    return [-F.col("count"), F.col("country")]
+    return [F.col("count").isNull(), -F.col("count"), F.col("country")]
 
 
 def freshness(tables: Tables, keys: Sequence[str], export: Export) -> Column:

@@ -18,7 +18,7 @@ from statmart.operators.apportion import apportion, apportion_codes
 from statmart.operators.dedupe import latest_slice, top_per_key
 from statmart.operators.rollup import latest_row, rows_of_latest_year, sum_by
 from statmart.operators.series import align_to_driver, blend_history, percent_of_total
-from statmart.session import materialized
+from statmart.session import materialized, one_row
 
 STATUS_SOURCES = {
     "census": "Statistics Canada 98-10-0302-01",
@@ -97,7 +97,7 @@ def status_estimates(spark: SparkSession, population: DataFrame, npr: DataFrame,
         "census": latest_row(by_census, "census_year", codes.RESIDENT_STATUSES),
     }
     # Three single rows side by side: scalar subqueries, no join.
-    one = spark.range(1).select(*[df.select(F.struct("*")).scalar().alias(name) for name, df in latest.items()])
+    one = one_row(spark).select(*[df.select(F.struct("*")).scalar().alias(name) for name, df in latest.items()])
     one = one.select(*[f"{name}.*" for name in latest])
 
     zero = F.lit(0).cast("bigint")
@@ -201,14 +201,15 @@ def origin_top(permanent: DataFrame, as_of: int, k: int = 10,
 def origin_history(permanent: DataFrame, k: int = 10, places: codes.PlaceRules = codes.DEFAULT_PLACES,
                    check_places: bool = True) -> DataFrame:
     """Yearly counts of the countries with the greatest all-time sums."""
-    sums = _ranked(place_sums(permanent, ["ref_year"], places), places if check_places else None)
-    sums = sums.filter(F.col("country").isNotNull())
-    totals = sum_by(sums, ["country"], alias="_total")
+    sums = place_sums(permanent, ["ref_year"], places).filter(F.col("country").isNotNull())
+    if check_places:
+        sums = sums.filter(is_place("country", places))
+    totals = sum_by(sums, ["country"], alias="_total").filter(F.col("_total").isNotNull())
     top = totals.orderBy(F.col("_total").desc(), "country").limit(k).select("country")
     return (
         sums.join(top, "country")
         .select(F.col("ref_year").alias("year"), "country", "count")
-        .orderBy("year", F.col("count").desc(), "country")
+        .orderBy("year", F.col("count").desc_nulls_last(), "country")
     )
 
 

@@ -54,3 +54,8 @@ def materialized(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "result")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def one_row(spark: SparkSession) -> DataFrame:
+    """A single row to hang scalar subqueries on."""
+    return spark.range(0, 1, 1, 1)

@@ -46,7 +46,7 @@ def unpivot_year_totals(cells: DataFrame, country_col: int = 0, subtype_col: int
     Rows below the preamble without a sub-type are country totals.  Unreadable
     numbers stay null.
     """
-    value = F.trim("value")
+    value = drop_null_tokens("value", null_tokens)
     sheets = _year_columns(cells, probe_rows, min_cells)
     year = F.get(F.filter("years", lambda y: y["col_idx"] == F.col("col_idx")), F.lit(0))["ref_year"]
     body = (
@@ -56,10 +56,10 @@ def unpivot_year_totals(cells: DataFrame, country_col: int = 0, subtype_col: int
         .filter(F.col("col_idx").isin(country_col, subtype_col) | F.col("_year").isNotNull())
     )
     # A sheet row holds one cell per year column, so the map is small.
-    number = F.struct("_year", parse_count(drop_null_tokens("value", null_tokens)))
+    number = F.struct("_year", parse_count(value))
     rows = body.groupBy("sheet", "row_idx").agg(
-        F.max(F.when(F.col("col_idx") == country_col, value)).alias("country"),
-        F.max(F.when(F.col("col_idx") == subtype_col, F.col("value"))).alias("_subtype"),
+        F.max(F.when(F.col("col_idx") == country_col, F.trim(value))).alias("country"),
+        F.max(F.when(F.col("col_idx") == subtype_col, value)).alias("_subtype"),
         F.map_from_entries(F.collect_list(F.when(F.col("_year").isNotNull(), number))).alias("_numbers"),
         F.first("years").alias("years"),
     )

@@ -23,7 +23,7 @@ def oracle_connection(folder: str):
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 9)
+        return "nan" if math.isnan(value) else value
     if isinstance(value, decimal.Decimal):
         return float(value)
     if isinstance(value, datetime.datetime):

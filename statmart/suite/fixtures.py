@@ -6,10 +6,11 @@ geographies.  ``FIXTURES.md`` gives the same views as SQL.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from statmart import codes
 from statmart.functions import all_present, div, quarter_of
@@ -35,6 +36,12 @@ PLACES = codes.PlaceRules(
 )
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of a table, looked up in its files once per session."""
+    return spark.read.parquet(path).schema
+
+
 class Fixtures:
     """Lazy views over the parquet tables in one folder."""
 
@@ -45,7 +52,8 @@ class Fixtures:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            self._read[name] = self.spark.read.schema(_schema(self.spark, path)).parquet(path)
         return self._read[name]
 
     # -- joins ---------------------------------------------------------------

@@ -9,9 +9,9 @@ from statmart.operators.apportion import apportion, apportion_codes, topk_with_o
 def shares(weights, target, zero_policy="other"):
     """Plain integer version: floors first, then one each by remainder, weight, key."""
     kept = {k: w or 0 for k, w in weights.items() if zero_policy == "even" or (w or 0) > 0}
-    target = max(target, 0)
-    if not kept:
+    if not kept or (zero_policy == "other" and target <= 0):
         return {}
+    target = max(target, 0)
     total = sum(kept.values())
     if total == 0:
         kept_units = {k: 1 for k in kept}
@@ -47,8 +47,9 @@ def test_zero_weights(spark):
     assert run(spark, mixed, {"g": 7}, zero_policy="even") == {"g": {"a": 0, "b": 7, "c": 0}}
 
 
-def test_negative_target_gives_zeros(spark):
-    assert run(spark, {"g": {"a": 5}}, {"g": -3}) == {"g": {"a": 0}}
+def test_negative_target(spark):
+    assert run(spark, {"g": {"a": 5}}, {"g": -3}) == {}
+    assert run(spark, {"g": {"a": 5}}, {"g": -3}, zero_policy="even") == {"g": {"a": 0}}
 
 
 def test_census_split(spark):

@@ -23,7 +23,8 @@ def simple_loads(spark, **changes):
 
     by_country = "ref_year int, ref_month int, country string, count bigint"
     whole = {"province": "_", "source_dataset": "test"}
-    facts = [(2024, 0, "Italy", 6), (2024, 0, "Spain", 3), (2024, 0, "Viet Nam", 2), (2024, 0, "Vietnam", 2), (2026, 0, "Italy", 1)]
+    facts = [(2024, 0, "Italy", 6), (2024, 0, "Spain", 3), (2024, 0, "Viet Nam", 2), (2024, 0, "Vietnam", 2),
+             (2026, 0, "Italy", 1)]
     builds = {
         "population_quarterly": (schemas.POPULATION, frame(
             [(d("2025-10-01"), "Canada", 1000), (d("2026-01-01"), "Canada", 1010)],

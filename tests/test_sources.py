@@ -73,7 +73,8 @@ def test_unpivot_year_totals(spark):
         ["Italy", None, "1,234", "--", "5"],
         ["Italy", "sub", "7", "7", "7"],
         [" ", None, "8", "8", "8"],
-        ["Spain", None, "12.6", None, "5"],
+        ["Spain", "--", "12.6", None, "5"],
+        ["n/a", None, "4", "4", "4"],
     ])
     got = sorted((r["country"], r["ref_year"], r["count"]) for r in grid.unpivot_year_totals(sheet).collect())
     assert got == [("Italy", 2019, 1234), ("Italy", 2020, None), ("Spain", 2019, 12), ("Spain", 2020, None)]
