@@ -32,16 +32,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], at: str, tie: Sequence[Co
     return top_per_key(df, keys, [F.col(at).desc_nulls_last(), *tie])
 
 
-def latest_slice(df: DataFrame, at: str, by: Sequence[str]) -> DataFrame:
-    """All rows at the greatest ``at`` of their group.
-
-    Same answer as filtering on a MAX subquery with the same group, in one pass
-    over the input: the rank filter drops older rows before the shuffle.
-    """
-    ranked = df.withColumn("_rank", F.rank().over(Window.partitionBy(*by).orderBy(F.col(at).desc_nulls_last())))
-    return ranked.filter((F.col("_rank") == 1) & F.col(at).isNotNull()).drop("_rank")
-
-
 def key_violations(df: DataFrame, keys: Sequence[str], not_null: Sequence[str] = ()) -> DataFrame:
     """Keys that occur more than once or come with a null in a required column."""
     required = [F.col(c).isNull() for c in dict.fromkeys([*keys, *not_null])]

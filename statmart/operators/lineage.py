@@ -62,11 +62,9 @@ def run_event(spark: SparkSession, run_id: str, started_at: datetime, status: st
 
 def current_runs(events: DataFrame) -> DataFrame:
     """Latest state of every run: its closing event, or the opening one while it runs."""
-    closed_last = F.col("finished_at").asc_nulls_first()
-    return latest_per_key(
-        events.withColumn("_seen_at", F.coalesce("finished_at", "started_at")), ["run_id"], "_seen_at",
-        [closed_last, F.col("status").desc()],
-    ).drop("_seen_at")
+    seen = events.withColumn("_seen_at", F.coalesce("finished_at", "started_at"))
+    closed_first = [F.col("finished_at").desc_nulls_last(), F.col("status")]
+    return latest_per_key(seen, ["run_id"], "_seen_at", closed_first).drop("_seen_at")
 
 
 def latest_loads(loads: DataFrame, keys: Sequence[str], fields: Sequence[str] = LOAD_FIELDS) -> DataFrame:

@@ -47,32 +47,36 @@ def annual_rollup(df: DataFrame, year: str, key: str, key_name: str, total: str,
     return sums.filter(F.col("_known") > 0).drop("_known")
 
 
-def latest_complete_year(sums: DataFrame, as_of: int | Column | None, by: Sequence[str] = (),
-                         year: str = "ref_year", value: str = "count") -> DataFrame:
-    """Per group the greatest complete year, else the greatest year.
-
-    Years before ``as_of`` are complete; a Column states a test of its own and
-    None takes every year.  ``sums`` is a table already summed to ``by`` + year
-    + other keys.  Returns ``by``, the year and that year's total.  The total is
-    part of the result so that a join back to ``sums`` reads the same shuffle
+def latest_period(sums: DataFrame, as_of: int | Column | None = None, by: Sequence[str] = (),
+                  at: str = "ref_year", value: str = "count") -> DataFrame:
+    """Per group the greatest complete year or date, else the greatest one.
+
+    Periods before ``as_of`` are complete; a Column states a test of its own and
+    None takes every period.  ``sums`` is a table already summed to ``by`` +
+    period + other keys.  Returns ``by``, the period and its total.  The total
+    is part of the result so that a join back to ``sums`` reads the same shuffle
     output instead of the base table a second time.
     """
-    totals = sums.filter(F.col(year).isNotNull()).groupBy(*by, year).agg(F.sum(value).alias("year_total"))
+    totals = sums.filter(F.col(at).isNotNull()).groupBy(*by, at).agg(F.sum(value).alias("period_total"))
     if isinstance(as_of, Column):
         complete = as_of
     else:
-        complete = F.lit(True) if as_of is None else F.col(year) < F.lit(as_of)
-    chosen = F.max_by(F.struct(year, "year_total"), F.struct(complete, F.col(year))).alias("_chosen")
+        complete = F.lit(True) if as_of is None else F.col(at) < F.lit(as_of)
+    chosen = F.max_by(F.struct(at, "period_total"), F.struct(complete, F.col(at))).alias("_chosen")
     latest = totals.groupBy(*by).agg(chosen).select(*by, "_chosen.*")
-    return latest.filter(F.col(year).isNotNull())
+    return latest.filter(F.col(at).isNotNull())
 
 
-def rows_of_latest_year(sums: DataFrame, as_of: int | Column | None, by: Sequence[str] = (),
-                        year: str = "ref_year", value: str = "count") -> DataFrame:
-    """Rows of the latest complete year of every group, with the year's total."""
+def rows_of_latest_period(sums: DataFrame, as_of: int | Column | None = None, by: Sequence[str] = (),
+                          at: str = "ref_year", value: str = "count") -> DataFrame:
+    """Rows of the latest complete period of every group, with the period's total.
+
+    A join on the period rather than a window: rows stay spread over the tasks,
+    however many of them the latest period has.
+    """
     # Null keys are ruled out on both sides of the join, which keeps both plans alike.
-    sums = sums.filter(all_present(year, *by))
-    return sums.join(latest_complete_year(sums, as_of, by, year, value), [*by, year])
+    sums = sums.filter(all_present(at, *by))
+    return sums.join(latest_period(sums, as_of, by, at, value), [*by, at])
 
 
 def latest_row(df: DataFrame, at: str, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

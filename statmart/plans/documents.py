@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from statmart import codes, schemas
 from statmart.functions import code_for
 from statmart.operators import lineage
-from statmart.operators.rollup import collect_ordered, latest_complete_year, sum_by
+from statmart.operators.rollup import collect_ordered, latest_period, sum_by
 from statmart.plans import marts
 from statmart.session import materialized, one_row
 from statmart.sinks import publish_document, publish_if_any
@@ -215,7 +215,7 @@ def origin_pr_history(tables: Tables, export: Export) -> tuple[None, DataFrame]:
 def origin_temp_current(tables: Tables, export: Export) -> tuple[None, DataFrame]:
     permits = _permits(tables)
     top = marts.temporary_top(permits, export.as_of, export.k, export.places)
-    years = latest_complete_year(sum_by(permits, ["stream", "ref_year"]), export.as_of, ["stream"])
+    years = latest_period(sum_by(permits, ["stream", "ref_year"]), export.as_of, ["stream"])
 
     def stream(name: str, *more: Column) -> Column:
         listed = _section(top.filter(F.col("stream") == name), _by_count(), ["country", "count"])

@@ -23,7 +23,7 @@ from statmart.functions import (
 from statmart.operators.dedupe import keep_first
 from statmart.operators.rollup import annual_rollup
 from statmart.sources.delimited import SOURCE_ORDER, column_tagged, first_present
-from statmart.sources.grid import unpivot_year_totals
+from statmart.sources.grid import unpivot_period_totals
 
 
 def population_quarterly(raw: DataFrame, geo: str | None = codes.FOCUS_GEO,
@@ -137,4 +137,4 @@ def work_permit_programs(raw: DataFrame, year: str = "EN_YEAR", total: str = "TO
 
 def asylum_claimants(cells: DataFrame) -> DataFrame:
     """Asylum claimants by country and year from a pivoted worksheet."""
-    return unpivot_year_totals(cells).drop("sheet", "row_idx")
+    return unpivot_period_totals(cells).drop("sheet", "row_idx")

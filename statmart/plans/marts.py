@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from statmart import codes
 from statmart.functions import code_for, is_place, not_negative, place_name, template, year_start
 from statmart.operators.apportion import apportion, apportion_codes
-from statmart.operators.dedupe import latest_slice, top_per_key
-from statmart.operators.rollup import latest_row, rows_of_latest_year, sum_by
+from statmart.operators.dedupe import top_per_key
+from statmart.operators.rollup import latest_row, rows_of_latest_period, sum_by
 from statmart.operators.series import align_to_driver, blend_history, percent_of_total
 from statmart.session import materialized, one_row
 
@@ -155,7 +155,7 @@ def census_snapshots(census: DataFrame, geo: str = codes.FOCUS_GEO) -> DataFrame
 def streams_latest(npr: DataFrame, geo: str = codes.FOCUS_GEO) -> DataFrame:
     """Non-permanent residents by stream in the newest quarter, with shares."""
     sums = sum_by(npr.filter(F.col("geo") == geo), ["geo", "ref_date", "npr_type"])
-    latest = latest_slice(sums, "ref_date", ["geo"]).filter(F.col("count").isNotNull())
+    latest = rows_of_latest_period(sums, by=["geo"], at="ref_date").filter(F.col("count").isNotNull())
     shares = percent_of_total(latest.select("ref_date", F.col("npr_type").alias("stream"), "count"))
     return shares.orderBy(F.col("count").desc(), "stream")
 
@@ -182,7 +182,7 @@ def streams_history(npr: DataFrame, permits: DataFrame, geo: str = codes.FOCUS_G
 def program_shares(programs: DataFrame) -> DataFrame:
     """Work permits by program in the latest year, with shares."""
     sums = sum_by(programs.filter(F.col("ref_year").isNotNull()), ["ref_year", "program_stream"])
-    latest = rows_of_latest_year(sums, as_of=None).filter(F.col("count").isNotNull()).drop("year_total")
+    latest = rows_of_latest_period(sums, as_of=None).filter(F.col("count").isNotNull()).drop("period_total")
     shares = percent_of_total(latest.withColumnRenamed("program_stream", "stream"))
     return shares.orderBy(F.col("count").desc(), "stream")
 
@@ -193,7 +193,7 @@ def program_shares(programs: DataFrame) -> DataFrame:
 def origin_top(permanent: DataFrame, as_of: int, k: int = 10,
                places: codes.PlaceRules = codes.DEFAULT_PLACES, check_places: bool = True) -> DataFrame:
     """Top-k countries of the latest complete year."""
-    latest = rows_of_latest_year(place_sums(permanent, ["ref_year"], places), as_of)
+    latest = rows_of_latest_period(place_sums(permanent, ["ref_year"], places), as_of)
     rows = _ranked(latest, places if check_places else None)
     return rows.select("ref_year", "country", "count").orderBy(F.col("count").desc(), "country").limit(k)
 
@@ -216,7 +216,7 @@ def origin_history(permanent: DataFrame, k: int = 10, places: codes.PlaceRules =
 def temporary_top(permits: DataFrame, as_of: int, k: int = 10,
                   places: codes.PlaceRules = codes.DEFAULT_PLACES, check_places: bool = True) -> DataFrame:
     """Top-k countries of each permit stream, each in its own latest complete year."""
-    latest = rows_of_latest_year(place_sums(permits, ["stream", "ref_year"], places), as_of, ["stream"])
+    latest = rows_of_latest_period(place_sums(permits, ["stream", "ref_year"], places), as_of, ["stream"])
     rows = _ranked(latest, places if check_places else None).select("stream", "ref_year", "country", "count")
     top = top_per_key(rows, ["stream"], [F.col("count").desc(), F.col("country")], k, rank_as="rank")
     return top.orderBy("stream", "rank")
@@ -233,7 +233,7 @@ def naturalized_all(naturalized: DataFrame, places: codes.PlaceRules = codes.DEF
 def naturalized_top(naturalized: DataFrame, k: int = 10, places: codes.PlaceRules = codes.DEFAULT_PLACES,
                     check_places: bool = True) -> DataFrame:
     """Top-k birth countries of the latest census."""
-    latest = rows_of_latest_year(place_sums(naturalized, ["census_year"], places), None, year="census_year")
+    latest = rows_of_latest_period(place_sums(naturalized, ["census_year"], places), None, at="census_year")
     rows = _ranked(latest, places if check_places else None)
     return rows.select(F.col("census_year").alias("year"), "country", "count").orderBy(
         F.col("count").desc(), "country"
@@ -264,7 +264,7 @@ def origin_categories(facts: DataFrame, status: DataFrame, as_of: int, k: int =
         stocks.select(code_for("status", category_of_status).alias("category"), not_negative("count").alias("target"))
     )
     complete = (F.col("stream") == "naturalized") | (F.col("ref_year") < as_of)
-    latest = materialized(rows_of_latest_year(place_sums(facts, ["stream", "ref_year"], places), complete, ["stream"]))
+    latest = materialized(rows_of_latest_period(place_sums(facts, ["stream", "ref_year"], places), complete, ["stream"]))
 
     weights = sum_by(
         _ranked(latest, places).withColumn("category", code_for("stream", CATEGORY_OF_STREAM)), ["category", "country"]

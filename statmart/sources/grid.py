@@ -37,7 +37,7 @@ def promote_header(cells: DataFrame, probe_rows: int = 10, min_cells: int = 3) -
     )
 
 
-def unpivot_year_totals(cells: DataFrame, country_col: int = 0, subtype_col: int = 1, skip_rows: int = 2,
+def unpivot_period_totals(cells: DataFrame, country_col: int = 0, subtype_col: int = 1, skip_rows: int = 2,
                         null_tokens: Iterable[str] = codes.NULL_TOKENS, probe_rows: int = 10,
                         min_cells: int = 3) -> DataFrame:
     """One row per sheet, country and year from a pivoted sheet.

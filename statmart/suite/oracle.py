@@ -412,7 +412,7 @@ ORACLE = {
         "then 'International Mobility Program' else 'Other / Unmapped' end as label "
         "from (select *, sum(cnt) over () as t from fx_programs where ref_year = (select max(ref_year) from fx_programs))",
     ),
-    "unpivot_year_totals": _sql(
+    "unpivot_period_totals": _sql(
         "fx_sheet",
         "select sheet, row_idx, ref_year, 0 as ref_month, country, '_' as province, cast(n as bigint) as count from ("
         "select sheet, row_idx, country, 1999 as ref_year, y1999 as n from fx_sheet union all "
@@ -443,7 +443,7 @@ ORACLE = {
     ),
     "latest_complete_year": _sql(
         "fx_pr fx_permits",
-        "select s.stream, s.ref_year, cast(sum(s.cnt) as bigint) as year_total from (select 'permanent' as stream, "
+        "select s.stream, s.ref_year, cast(sum(s.cnt) as bigint) as period_total from (select 'permanent' as stream, "
         "ref_year, cnt from fx_pr union all select stream, ref_year, cnt from fx_permits) s join (select stream, "
         "coalesce(max(ref_year) filter (ref_year < 2001), max(ref_year)) as y from (select 'permanent' as stream, "
         "ref_year from fx_pr union all select stream, ref_year from fx_permits) group by 1) l "

@@ -13,7 +13,7 @@ from statmart import functions as fn
 from statmart.operators import dedupe, lineage, rollup, series
 from statmart.operators.apportion import apportion
 from statmart.plans import loads, marts, views
-from statmart.session import scratch_path
+from statmart.session import materialized, scratch_path
 from statmart.sinks import publish_document, replace_slice, replace_table
 from statmart.sources import catalog, grid, warehouse
 from statmart.suite.fixtures import AS_OF, GEO, PLACES, STREAMS, Fixtures, thirds
@@ -98,7 +98,8 @@ def _(fx):
 @query("stream_panels")
 def _(fx):
     panels = {"First": _FIRST_CLASS, "Second": ("3-MEDIUM", "5-LOW")}
-    return views.stream_panels(marts.streams_latest(fx.npr, GEO), panels, _LABELS)
+    # Views read published rows; written once, their filters do not reach back into the mart.
+    return views.stream_panels(materialized(marts.streams_latest(fx.npr, GEO)), panels, _LABELS)
 
 
 # -- status --------------------------------------------------------------------
@@ -189,9 +190,9 @@ def _(fx):
     return views.program_cards(marts.program_shares(loads.work_permit_programs(fx.programs_raw)))
 
 
-@query("unpivot_year_totals")
+@query("unpivot_period_totals")
 def _(fx):
-    return grid.unpivot_year_totals(fx.sheet_cells)
+    return grid.unpivot_period_totals(fx.sheet_cells)
 
 
 @query("promote_header")
@@ -225,7 +226,7 @@ def _(fx):
 def _(fx):
     facts = marts.tag_facts({"permanent": fx.permanent}).unionByName(fx.permits)
     sums = rollup.sum_by(facts, ["stream", "ref_year"])
-    return rollup.latest_complete_year(sums, AS_OF, ["stream"])
+    return rollup.latest_period(sums, AS_OF, ["stream"])
 
 
 @query("origin_top10")
@@ -248,12 +249,12 @@ def _(fx):
 @query("origin_top_rows")
 def _(fx):
     history = marts.naturalized_all(fx.permanent.withColumnRenamed("ref_year", "census_year"), PLACES)
-    return views.top_country_rows(history, 5, 1997, 1999)
+    return views.top_country_rows(materialized(history), 5, 1997, 1999)
 
 
 @query("origin_total_trend")
 def _(fx):
-    return views.yearly_totals(marts.origin_history(fx.permanent, places=PLACES), 1996, 2000)
+    return views.yearly_totals(materialized(marts.origin_history(fx.permanent, places=PLACES)), 1996, 2000)
 
 
 @query("temp_top10_by_stream")

@@ -22,9 +22,11 @@ def test_key_violations(spark):
     assert got == {"a": (2, 0), "b": (1, 1), None: (1, 1)}
 
 
-def test_latest_slice_keeps_all_rows_of_the_latest_date(spark):
-    df = spark.createDataFrame([("x", 1, "p"), ("x", 2, "p"), ("x", 2, "q"), ("y", 1, "p"), ("z", None, "p")], "g string, d int, t string")
-    assert rows(dedupe.latest_slice(df, "d", ["g"])) == [("x", 2, "p"), ("x", 2, "q"), ("y", 1, "p")]
+def test_latest_period_keeps_all_rows_of_the_latest_date(spark):
+    data = [("x", 1, "p", 5), ("x", 2, "p", 6), ("x", 2, "q", None), ("y", 1, "p", 7), ("z", None, "p", 8), (None, 3, "p", 9)]
+    df = spark.createDataFrame(data, "g string, d int, t string, count bigint")
+    latest = rollup.rows_of_latest_period(df, by=["g"], at="d")
+    assert rows(latest, "g", "d", "t", "period_total") == [("x", 2, "p", 6), ("x", 2, "q", 6), ("y", 1, "p", 7)]
 
 
 def test_hot_keys_are_cut_before_the_shuffle(spark):
@@ -46,17 +48,17 @@ def test_annual_rollup_sums_suppressed_to_zero(spark):
 def test_latest_complete_year(spark):
     data = [("a", 2024, "x", 1), ("a", 2025, "x", 2), ("a", 2026, "x", 4), ("b", 2026, "y", 3), ("c", None, "z", 9)]
     df = spark.createDataFrame(data, "s string, ref_year int, country string, count bigint")
-    assert rows(rollup.latest_complete_year(df, 2026, ["s"])) == [("a", 2025, 2), ("b", 2026, 3)]
-    assert rows(rollup.latest_complete_year(df, None)) == [(2026, 7)]
-    assert rollup.latest_complete_year(df.filter("s = 'c'"), 2026).count() == 0
-    assert rows(rollup.rows_of_latest_year(df, 2026, ["s"]), "s", "country", "count") == [("a", "x", 2), ("b", "y", 3)]
+    assert rows(rollup.latest_period(df, 2026, ["s"])) == [("a", 2025, 2), ("b", 2026, 3)]
+    assert rows(rollup.latest_period(df, None)) == [(2026, 7)]
+    assert rollup.latest_period(df.filter("s = 'c'"), 2026).count() == 0
+    assert rows(rollup.rows_of_latest_period(df, 2026, ["s"]), "s", "country", "count") == [("a", "x", 2), ("b", "y", 3)]
 
 
 def test_latest_year_reads_the_facts_once(spark, tmp_path):
     path = str(tmp_path / "facts")
     spark.createDataFrame([(2024, "x", 1), (2025, "y", 2)], "ref_year int, country string, count bigint").write.parquet(path)
     facts = spark.read.parquet(path)
-    latest = rollup.rows_of_latest_year(rollup.sum_by(facts, ["ref_year", "country"]), 2026)
+    latest = rollup.rows_of_latest_period(rollup.sum_by(facts, ["ref_year", "country"]), 2026)
     latest.collect()
     plan = latest._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan

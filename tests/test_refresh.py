@@ -194,6 +194,15 @@ def test_rows_can_be_published_in_parallel(spark, tmp_path):
     assert sorted(tuple(r) for r in got if r["n"]) == [("b", 2)] and len(got) == 2
 
 
+def test_closing_event_wins_within_one_instant(spark):
+    at = datetime.datetime(2026, 1, 1)
+    opened = lineage.run_event(spark, "r", at, "running")
+    closed = lineage.run_event(spark, "r", at, "success", at, ["a"])
+    other = lineage.run_event(spark, "s", at, "running")
+    runs = lineage.current_runs(opened.unionByName(closed).unionByName(other))
+    assert {r["run_id"]: r["status"] for r in runs.collect()} == {"r": "success", "s": "running"}
+
+
 def test_newer_failure_hides_older_period(spark):
     at = datetime.datetime(2026, 1, 1)
     loads = spark.createDataFrame([

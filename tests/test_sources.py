@@ -64,7 +64,7 @@ def test_header_probe(spark):
     assert grid.header_rows(cells(spark, [["title"], ["a", "1", "2"]])).first()["header_row"] == 0
 
 
-def test_unpivot_year_totals(spark):
+def test_unpivot_period_totals(spark):
     sheet = cells(spark, [
         ["Claimants"],
         ["Country", "Type", "a", "b", "c"],
@@ -76,7 +76,7 @@ def test_unpivot_year_totals(spark):
         ["Spain", "--", "12.6", None, "5"],
         ["n/a", None, "4", "4", "4"],
     ])
-    got = sorted((r["country"], r["ref_year"], r["count"]) for r in grid.unpivot_year_totals(sheet).collect())
+    got = sorted((r["country"], r["ref_year"], r["count"]) for r in grid.unpivot_period_totals(sheet).collect())
     assert got == [("Italy", 2019, 1234), ("Italy", 2020, None), ("Spain", 2019, 12), ("Spain", 2020, None)]
     assert loads.asylum_claimants(sheet).columns == ["ref_year", "ref_month", "country", "province", "count"]
 
