@@ -5,6 +5,7 @@ from __future__ import annotations
 from statmart.llm.ball_tree import op4_exact_top_k
 from statmart.llm.language_id import op2_language_id
 from statmart.llm.near_dedup import op1_minhash_near_dedup
+from statmart.llm.packing import op5_best_fit_packing
 from statmart.llm.quality_model import op9_quality_classifier
 from statmart.llm.quality_rules import op6_quality_rules
 from statmart.llm.url_filter import BLOCKED_HOSTS, RULES, op7_url_filter
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_language_id": op2_language_id,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
     "op9_quality_classifier": op9_quality_classifier,
