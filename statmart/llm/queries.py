@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from statmart.llm.ball_tree import op4_exact_top_k
+from statmart.llm.chat_format import op10_chat_perspectives
+from statmart.llm.html_text import op3_html_text
 from statmart.llm.language_id import op2_language_id
 from statmart.llm.near_dedup import op1_minhash_near_dedup
 from statmart.llm.packing import op5_best_fit_packing
+from statmart.llm.pieces import op8_sentencepiece
 from statmart.llm.quality_model import op9_quality_classifier
 from statmart.llm.quality_rules import op6_quality_rules
 from statmart.llm.url_filter import BLOCKED_HOSTS, RULES, op7_url_filter
@@ -13,11 +16,14 @@ from statmart.llm.url_filter import BLOCKED_HOSTS, RULES, op7_url_filter
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_language_id": op2_language_id,
+    "op3_html_text": op3_html_text,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_chat_perspectives": op10_chat_perspectives,
 }
 
 
@@ -70,4 +76,34 @@ from scored
 qualify rank <= 5
 """
 
-ORACLE = {"op4_exact_top_k": TOP_K_SQL, "op7_url_filter": _url_filter_sql()}
+CHAT_SQL = """
+with turns as (
+    select conv_id, turn, role, text, replace(coalesce(text, ''), '<|', '<||') as body,
+           row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) - 1 as seq
+    from conversations
+),
+speakers as (select distinct conv_id, role as participant from conversations where role is not null and role <> 'system'),
+seen as (
+    select t.conv_id, s.participant, t.seq, t.turn, t.role as speaker, coalesce(t.role = s.participant, false) as is_assistant,
+           case when t.role = s.participant then '<|assistant|>' || chr(10)
+                when t.role = 'system' then '<|system|>' || chr(10)
+                when t.role is null then '<|user|>' || chr(10)
+                else '<|user name=' || replace(t.role, '<|', '<||') || '|>' || chr(10) end as marker,
+           body
+    from turns t join speakers s on t.conv_id is not distinct from s.conv_id
+),
+written as (select *, marker || body || '<|end|>' || chr(10) as segment from seen),
+placed as (
+    select *, cast(sum(length(segment)) over (partition by conv_id, participant order by seq) as bigint) as ending from written
+)
+select conv_id, participant, seq, turn, speaker, is_assistant, segment, ending - length(segment) as start, ending as "end",
+       case when is_assistant then ending - length(segment) + length(marker) end as train_start,
+       case when is_assistant then ending - 1 end as train_end
+from placed
+"""
+
+ORACLE = {
+    "op4_exact_top_k": TOP_K_SQL,
+    "op7_url_filter": _url_filter_sql(),
+    "op10_chat_perspectives": CHAT_SQL,
+}
