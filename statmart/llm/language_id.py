@@ -149,6 +149,8 @@ def fit(training: DataFrame, fit_rows: int = FIT_ROWS, clusters: int = CLUSTERS,
     idf = (np.log((1 + n) / (1 + frequencies)) + 1).astype(np.float32)
 
     def centroids(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Rows arrive in any order; the same model has to come out.
+        pdf = pdf.sort_values(["doc_id", "text"], kind="stable")
         parts = [unit_vectors(ngram_counts(list(pdf["text"][i:i + CHUNK]), buckets), idf) for i in range(0, len(pdf), CHUNK)]
         vectors = np.concatenate(parts)
         vectors = vectors[vectors.any(axis=1)]
@@ -160,7 +162,7 @@ def fit(training: DataFrame, fit_rows: int = FIT_ROWS, clusters: int = CLUSTERS,
     picked = F.lit(False)
     for name, rows in languages.items():
         picked = picked | ((F.col("lang") == name) & sampled(F.col("doc_id"), min(1.0, fit_rows / rows)))
-    sample = training.where(picked).select("lang", "text")
+    sample = training.where(picked).select("doc_id", "lang", "text")
     # One group per language, of the bounded sample.
     rows = sample.groupBy("lang").applyInPandas(centroids, "lang string, centroid array<float>, least double").collect()
     rows.sort(key=lambda r: r["lang"])

@@ -7,7 +7,7 @@ Pieces are dealt by hash into partitions of about ``PART_ROWS`` rows and packed
 best-fit decreasing. For every partition, lower bounds by dual-feasible
 functions say how few sequences could hold its pieces: for a threshold t,
 pieces over CAPACITY - t count as full, pieces below t as nothing, others as
-they are; the best t wins. A partition that meets its bound is certified
+they are; or lengths are rounded to multiples of CAPACITY / k. The best wins. A partition that meets its bound is certified
 optimal and done. A partition with a gap keeps its full sequences and gives up
 the others; what was given up is dealt anew among fewer partitions, so that
 documents of different partitions meet, and packed again. A round that does not lower the
@@ -39,6 +39,8 @@ CAPACITY = 4096
 END_ID = 1
 PART_ROWS = 20_000
 ROUNDS = 4
+#: Rounding functions tried for the bound.
+ROUNDINGS = 20
 #: The tokenizer's white space (Unicode White_Space).
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: What str.split takes for white space beyond that.
@@ -180,7 +182,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[
 
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
-    """The greatest of the dual-feasible bounds over all thresholds up to half the capacity."""
+    """The greatest of the dual-feasible bounds over all thresholds up to half the capacity, and all roundings."""
     if not len(lengths):
         return 0
     count = np.bincount(lengths, minlength=capacity + 1)[:capacity + 1]
@@ -195,7 +197,14 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     # Pieces over half need a sequence each; those of exactly half share one.
     over_half = below[-1] - below[capacity // 2]
     half = count[capacity // 2] if capacity % 2 == 0 else 0
-    return int(max(by_tokens, over_half + -(-half // 2)))
+    best = max(by_tokens, over_half + -(-half // 2))
+    # Rounding: a piece of at least j of k + 1 equal shares of a sequence counts j / k, one of exactly j shares j / (k + 1).
+    length = np.arange(capacity + 1)
+    for k in range(1, ROUNDINGS + 1):
+        shares, rest = np.divmod((k + 1) * length, capacity)
+        weight = np.where(rest == 0, shares * k, shares * (k + 1))
+        best = max(best, -(-(count * weight).sum() // (k * (k + 1))))
+    return int(best)
 
 
 PACKED = PIECES + ", part long, bin long, offset long, n_bins long, bound long, fill long"

@@ -126,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, buckets: i
     slim = parts.select("row.doc_id", "row.quality", "row.at", "row.values", "structure")
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", kind="stable")
+        # Rows arrive in any order; the same model has to come out.
+        pdf = pdf.assign(key=pdf["at"].map(len)).sort_values(["doc_id", "key"], kind="stable")
         x = np.zeros((len(pdf), buckets + N_STRUCTURE), np.float32)
         for i, (at, values) in enumerate(zip(pdf["at"], pdf["values"])):
             x[i, at] = values
