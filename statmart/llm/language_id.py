@@ -63,7 +63,7 @@ def ngram_counts(texts: list[str | None], buckets: int = BUCKETS) -> np.ndarray:
     letters = _letters()
     for start in range(0, len(points), BLOCK):
         block = points[start:start + BLOCK + 2]
-        last = start + BLOCK + 2 >= len(points)
+        last = start + BLOCK >= len(points)
         is_letter = letters[block]
         chars = np.where(is_letter, block, 32).astype(np.uint32)
         base = owner[start:start + BLOCK + 2] * buckets
@@ -79,7 +79,8 @@ def ngram_counts(texts: list[str | None], buckets: int = BUCKETS) -> np.ndarray:
             any_letter = any_letter[:n] | is_letter[size - 1:]
             mixed = (hashed ^ (hashed >> np.uint32(15))) * np.uint32(0x85EBCA6B) + np.uint32(size)
             at = base[:n] + (mixed >> np.uint32(8)) % buckets
-            chosen = any_letter[:keep]
+            # No gram reaches into the next text.
+            chosen = any_letter[:keep] & (base[:keep] == base[size - 1:size - 1 + keep])
             counts += np.bincount(at[:keep][chosen], minlength=len(counts))
     return counts.reshape(len(texts), buckets).astype(np.float32)
 

@@ -19,7 +19,7 @@ per hash bucket, less the mean of the other buckets.
    different components are compared by their samples, in blocks of bounded
    size; pairs that agree in fewer than ``LEAST_AGREED`` samples are dismissed
    (a similarity of 0.8 does so once in 2,000 pairs). The others are verified by
-   their texts, the likeliest first, and the rest only if they are still apart.
+   their texts, the likeliest first, and only while they are still apart.
 5. Classes are the connected components of the verified links.
 
 No cap on buckets or partners, and no pair is written that is not to be verified.
@@ -52,7 +52,6 @@ SAMPLES = 64
 BAND_ROWS = 6
 BANDS = 24
 LEAST_AGREED = 40
-LIKELY_AGREED = 49
 BLOCK_ROWS = 512
 SKETCH_BITS = 18
 IDF_SHARE = 0.25
@@ -247,11 +246,15 @@ def verified(pairs: DataFrame, texts: DataFrame, weights, threshold: float = THR
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _apart(members: DataFrame) -> DataFrame:
-    """Pairs of different components that a block of one bucket holds and whose samples agree often enough.
+def _block_links(members: DataFrame, weights) -> DataFrame:
+    """Links between members of one bucket that are still in different classes.
 
-    A pair is given by the first band it shares only. Blocks are dealt by hash;
-    each pair of blocks is one group of at most about two blocks of rows.
+    Members have bucket, node, class_id, codes and text. Blocks are dealt by
+    hash; each pair of blocks is one group of at most about two blocks of rows.
+    A pair is looked at in the first band it shares only. Pairs whose samples
+    agree often enough are verified by their texts, the likeliest first, unless
+    a link found before has joined their classes. So a group writes fewer links
+    than it has rows.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     n_blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("long")
@@ -260,34 +263,53 @@ def _apart(members: DataFrame) -> DataFrame:
         .withColumn("blocks", n_blocks)
         .withColumn("own", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "class_id", "codes")
+        .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "class_id", "codes", "text")
     )
 
     def compare(group: pa.Table) -> pa.Table:
         bucket, low, high = (group.column(c)[0].as_py() for c in ("bucket", "low", "high"))
         nodes, classes, own = (group.column(c).to_numpy() for c in ("node", "class_id", "own"))
         codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), "<u4").reshape(-1, SAMPLES)
+        texts = group.column("text")
         keys = band_keys(codes)
+        vectors: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        parent: dict[int, int] = {}
+
+        def vector(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in vectors:
+                vectors[i] = weighted(words_of(texts[i].as_py()), weights.value)
+            return vectors[i]
+
+        def root(x: int) -> int:
+            while x in parent:
+                x = parent[x]
+            return x
+
         left = np.flatnonzero(own == low)
         right = np.flatnonzero(own == high)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        pairs = []
         for i in left:
             others = right[right > i] if low == high else right
             others = others[classes[others] != classes[i]]
-            if len(others):
-                agreed = (codes[others] == codes[i]).sum(axis=1)
-                others, agreed = others[agreed >= LEAST_AGREED], agreed[agreed >= LEAST_AGREED]
-                first = (keys[others] == keys[i]).argmax(axis=1)
-                mine = keys[i][first] == bucket
-                found.append((np.full(mine.sum(), nodes[i]), nodes[others[mine]], agreed[mine]))
-        a, b, n = (np.concatenate([f[c] for f in found] or [np.zeros(0, np.int64)]) for c in range(3))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "agreed": n.astype(np.int32)})
-
-    return dealt.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long, agreed int")
-
-
-def links_of(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
-    """Verified links (a, b), enough of them to connect every class."""
+            agreed = (codes[others] == codes[i]).sum(axis=1)
+            others, agreed = others[agreed >= LEAST_AGREED], agreed[agreed >= LEAST_AGREED]
+            mine = keys[i][(keys[others] == keys[i]).argmax(axis=1)] == bucket
+            pairs.append(np.stack([agreed[mine], np.full(mine.sum(), i), others[mine]]))
+        likely = np.concatenate(pairs, axis=1)
+        links = []
+        for _, i, j in likely[:, np.argsort(-likely[0], kind="stable")].T.tolist():
+            one, other = root(int(classes[i])), root(int(classes[j]))
+            if one != other and weighted_jaccard(vector(i), vector(j)) >= THRESHOLD:
+                parent[one] = other
+                links.append((int(nodes[i]), int(nodes[j])))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
+
+
+def node_classes(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
+    """``node`` and ``class_id`` of the nodes that are linked to another one."""
     buckets = in_buckets(nodes)
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialized(buckets.join(shared, "bucket").where("node <> pivot").select("bucket", "node", "pivot", "n"))
@@ -295,24 +317,31 @@ def links_of(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
     involved = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     # Only texts that share a bucket with another one are needed again; repeated rows of an id give one.
     needed = materialized(texts.join(involved, "node").groupBy("node").agg(F.min("text").alias("text")))
-    links = materialized(verified(stars, needed, weights))
-
-    def labelled(found: DataFrame, known: DataFrame, side: str) -> DataFrame:
-        classes = known.select(F.col("node").alias(side), F.col("class_id").alias("found"))
-        return found.join(classes, side, "left").withColumn(f"class_{side}", F.coalesce("found", side)).drop("found")
+    classes = components(verified(stars, needed, weights))
 
     # The least node of a bucket has met all others; two others are left to compare from three members on.
-    classes = components(links)
-    open_members = labelled(members.where("n > 2").select("bucket", "node"), classes, "node").withColumnRenamed("class_node", "class_id")
+    open_members = (
+        members.where("n > 2").select("bucket", "node").join(classes, "node", "left")
+        .withColumn("class_id", F.coalesce("class_id", "node"))
+    )
     mixed = open_members.groupBy("bucket").agg(F.min("class_id").alias("x"), F.max("class_id").alias("y")).where("x < y").select("bucket")
-    apart = materialized(_apart(open_members.join(mixed, "bucket").join(nodes.select("node", "codes"), "node")).distinct())
-    for chosen in (F.col("agreed") >= LIKELY_AGREED, F.col("agreed") < LIKELY_AGREED):
-        left = labelled(labelled(apart.where(chosen), classes, "a"), classes, "b").where("class_a <> class_b").select("a", "b")
-        more = materialized(verified(left, needed, weights))
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            classes = components(links)
-    return links
+    apart = open_members.join(mixed, "bucket").join(nodes.select("node", "codes"), "node").join(needed, "node")
+    found = _block_links(apart, weights)
+    # Classes that a late link joins, as links between classes.
+    late = found
+    for side in ("a", "b"):
+        renamed = classes.select(F.col("node").alias(side), F.col("class_id").alias("found"))
+        late = late.join(renamed, side, "left").withColumn(side, F.coalesce("found", side)).drop("found")
+    return joined_classes(classes, components(late))
+
+
+def joined_classes(classes: DataFrame, merged: DataFrame) -> DataFrame:
+    """Classes of nodes after some classes (and single nodes) have merged."""
+    merged = merged.select(F.col("node").alias("class_id"), F.col("class_id").alias("joined"))
+    both = classes.join(merged, "class_id", "full_outer").select(
+        F.coalesce("node", "class_id").alias("node"), F.coalesce("joined", "class_id").alias("class_id")
+    )
+    return materialized(both)
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -321,17 +350,28 @@ def near_classes(docs: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long"), "text")
     weights = spark.sparkContext.broadcast(bucket_weights(*sketch_frequencies(slim.select("text"))))
     keyed = materialized(signed(slim.where("doc_id is not null"), weights))
-    # Texts with equal words, and rows with an equal id, are one node: the least id stands for both.
-    by_text = keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("codes").alias("codes"))
-    nodes = materialized(by_text)
-    copies = keyed.join(nodes.select("key", "node"), "key").where("doc_id <> node").select(
-        F.col("node").alias("a"), F.col("doc_id").alias("b")
+    # Texts with equal words are one node; the least id stands for them.
+    nodes = materialized(
+        keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("codes").alias("codes"))
+    )
+    classes = node_classes(nodes.select("node", "codes"), slim.select(F.col("doc_id").alias("node"), "text"), weights)
+    of_rows = keyed.select("doc_id", "key").join(nodes.select("key", "node"), "key", "left").select(
+        "doc_id", F.coalesce("node", "doc_id").alias("node")
+    )
+    placed = materialized(
+        of_rows.join(classes, "node", "left").groupBy("doc_id", F.coalesce("class_id", "node").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
     )
-    texts = slim.select(F.col("doc_id").alias("node"), "text")
-    links = links_of(nodes.select("node", "codes"), texts, weights)
-    classes = components(links.unionByName(copies))
-    ids = docs.select("doc_id").join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return ids.select("doc_id", F.coalesce("class_id", F.col("doc_id").cast("long")).alias("class_id"))
+    # An id with several texts joins their classes.
+    several = placed.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a < b")
+    if not several.isEmpty():
+        links = placed.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("class_id").alias("b"))
+        merged = components(links).select(F.col("node").alias("class_id"), F.col("class_id").alias("joined"))
+        placed = placed.join(merged, "class_id", "left").select("doc_id", F.coalesce("joined", "class_id").alias("class_id"), "n")
+    ids = placed.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.sum("n").alias("n"))
+    # As many rows as came in.
+    repeated = ids.select("doc_id", "class_id", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("row")).drop("row")
+    nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"))
+    return repeated.unionByName(nameless)
 
 
 def keep_first_of_class(docs: DataFrame) -> DataFrame:

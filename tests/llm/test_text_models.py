@@ -129,6 +129,7 @@ def test_language_id_accuracy_and_brute_force(spark):
 def test_ngrams_do_not_depend_on_blocks(monkeypatch):
     texts = ["Hello, wörld 12 again", None, "", "ab" * 300, "x"]
     whole = language_id.ngram_counts(texts)
+    assert all((language_id.ngram_counts([t]) == row).all() for t, row in zip(texts, whole))
     monkeypatch.setattr(language_id, "BLOCK", 7)
     assert (language_id.ngram_counts(texts) == whole).all()
     assert whole[0].sum() == sum(
