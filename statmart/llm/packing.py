@@ -45,7 +45,8 @@ ROUNDINGS = 20
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: What str.split takes for white space beyond that.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
-BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
+#: Letters that are the same in lower case and composed form, then marks of ASCII but the apostrophe.
+WORD_AND_MARKS = re.compile(r"([a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]*)([!-&(-/:-@\[-`{-~]*)")
 #: Parts remembered per task; cleared when full.
 REMEMBERED = 300_000
 
@@ -65,62 +66,69 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class PartEncoder:
-    """Ids of whole texts as little-endian bytes; parts between white space are encoded once.
+class PartIds(dict):
+    """Little-endian ids of a part of a text, worked out when first asked for.
 
-    Parts are independent of each other for a tokenizer that splits at white
-    space, so a text's ids are those of its parts in turn. Parts of lower-case
-    Latin-1 letters need no normalising and are one word each, so they go to
-    the model at once, as the characters that stand for their bytes.
+    Lower-case Latin-1 letters need no normalising and are one word to the
+    tokenizer, and so are the marks after them; both go to the model at once,
+    as the characters that stand for their bytes.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {"": b""}
+        self.tokenize = self.tokenizer.model.tokenize
+        size = self.tokenizer.get_vocab_size()
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
+
+    def __missing__(self, part: str) -> bytes:
+        simple = WORD_AND_MARKS.fullmatch(part)
+        if simple:
+            word, marks = simple.groups()
+            if word and marks:
+                ids = self[word] + self[marks]
+            else:
+                shown = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+                id_bytes = self.id_bytes
+                ids = b"".join([id_bytes[t.id] for t in self.tokenize(shown)])
+        else:
+            ids = b"".join([self.id_bytes[i] for i in self.tokenizer.encode(part, add_special_tokens=False).ids])
+        self[part] = ids
+        return ids
 
-    def _encode_words(self, words: list[str]) -> None:
-        tokenize = self.model.tokenize
-        for word in words:
-            shown = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-            self.known[word] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(shown)])
 
-    def _encode_others(self, parts: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        self.known.update((part, np.array(one.ids, "<u4").tobytes()) for part, one in zip(parts, found))
+class PartEncoder:
+    """Ids of whole texts as little-endian bytes; parts between white space are encoded once.
+
+    Parts are independent of each other for a tokenizer that splits at white
+    space, so a text's ids are those of its parts in turn.
+    """
+
+    def __init__(self, path: str):
+        self.known = PartIds(path)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        split = [_parts(_lowered(text or "")) for text in texts]
-        known = self.known
-        words, tails, others = set(), [], set()
-        for part in set().union(*split).difference(known):
-            core = part.rstrip(".,")
-            if core.isalpha() and core == core.lower() and not BEYOND_LATIN.search(core):
-                words.add(core)
-                if len(core) < len(part):
-                    # Letters and closing stops are words of their own.
-                    tails.append((part, core, part[len(core):]))
-                    others.add(part[len(core):])
-            else:
-                others.add(part)
-        self._encode_words(list(words.difference(known)))
-        self._encode_others(list(others.difference(known)))
-        for part, core, tail in tails:
-            known[part] = known[core] + known[tail]
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+            self.known.clear()
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, _parts(_lowered(text)))) if text else b"" for text in texts]
 
 
 def _parts(text: str) -> list[str]:
-    return SPACE.split(text) if SEPARATORS.search(text) else text.split()
+    return list(filter(None, SPACE.split(text))) if SEPARATORS.search(text) else text.split()
 
 
 def _lowered(text: str) -> str:
     """Lower case where every program has the same, else the text itself; the tokenizer lowers anyway."""
-    return text if BEYOND_LATIN.search(text) else text.lower()
+    if text.isascii():
+        return text.lower()
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 def cut(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int, int]]:
