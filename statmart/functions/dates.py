@@ -20,8 +20,9 @@ def quarter_start(c: Column | str) -> Column:
 
 
 def year_start(c: Column | str) -> Column:
-    """First of January of a year."""
-    return F.make_date(_col(c).cast("int"), F.lit(1), F.lit(1))
+    """First of January of a year; null for what is no year from 1 to 9999."""
+    year = _col(c).try_cast("int")
+    return F.make_date(F.when(year.between(1, 9999), year), F.lit(1), F.lit(1))
 
 
 def month_label(c: Column | str, missing: str = "Date unavailable") -> Column:
@@ -30,10 +31,11 @@ def month_label(c: Column | str, missing: str = "Date unavailable") -> Column:
 
 
 def month_number(c: Column | str) -> Column:
-    """Month name or number text as 1 to 12; unknown names and null give 0."""
+    """Month name or number text as 1 to 12; unknown names, other numbers and null give 0."""
     text = F.replace(F.lower(F.trim(_col(c))), F.lit("."), F.lit(""))
     named = code_for(text, codes.MONTH_NUMBERS)
-    return F.coalesce(named, text.try_cast("int"), F.lit(0))
+    number = text.try_cast("int")
+    return F.coalesce(named, F.when(number.between(1, 12), number), F.lit(0))
 
 
 def iso_timestamp(c: Column | str) -> Column:

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statmart.functions import all_present, div, not_negative, wide
 from statmart.operators.dedupe import top_per_key
+from statmart.operators.prefix import chunked, sums_before
 from statmart.operators.rollup import sum_by
 
 
@@ -21,77 +22,44 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
               target: str = "target", scaled: str = "scaled", zero_policy: str = "other") -> DataFrame:
     """Scale integer weights of every group to the group's target, exactly.
 
-    ``weights`` has one row per ``by`` + ``key``, with a text key.  With
+    ``weights`` has one row per ``by`` + ``key``.  With
     ``zero_policy="other"`` weights that are null or not positive are dropped,
     so a group without weights gives no rows, and neither does one without a
     positive target; with ``"even"`` all rows stay, and a group of zeros shares
     its target evenly in key order.
 
-    Built for groups of any size: see ``_rank_offsets``.  A key's rank is the
-    number of keys in front of its bucket plus its rank inside the bucket, so no
-    task has to sort a whole group.
+    Built for groups of any size: shares and remainders are worked out row by
+    row from the group's sums, and a key's rank by remainder is the number of
+    rows in the range partitions before its own plus its rank inside that
+    partition (``operators.prefix``). No task holds a whole group, however its
+    keys and weights are spread.
     """
     by = list(by)
-    if dict(weights.dtypes)[key] != "string":
-        raise ValueError(f"the key column {key!r} has to be text")
     if zero_policy == "other":
         rows, targets = weights.filter(F.col(weight) > 0), targets.filter(F.col(target) > 0)
     elif zero_policy == "even":
         rows = weights.withColumn(weight, F.greatest(F.coalesce(weight, F.lit(0)), F.lit(0)))
     else:
         raise ValueError(f"unknown zero_policy {zero_policy!r}")
-    # Null tests and a bucket that is never null, stated once for all branches:
-    # then all of them read the same shuffle output.
     rows = rows.filter(all_present(*by, key)).select(*by, key, F.col(weight).alias("_weight"))
-    rows = rows.withColumn("_bucket", F.coalesce(_bucket(rows, key), F.lit("")))
-    offsets = _rank_offsets(rows, targets.select(*by, not_negative(target).alias("_target")), by)
-    in_bucket = F.row_number().over(Window.partitionBy(*by, "_weight", "_bucket").orderBy(key))
-    extra = F.when(F.col("_before") + in_bucket <= F.col("_left_over"), 1).otherwise(0)
-    return rows.join(offsets, [*by, "_weight", "_bucket"]).select(
-        *by, key, F.col("_weight").alias(weight), (F.col("_base") + extra).cast("bigint").alias(scaled)
-    )
-
-
-def _bucket(rows: DataFrame, key: str) -> Column:
-    """The two characters of a key that follow what all keys have in common.
-
-    Buckets sort like their keys, and split equal weights into parts.
-    """
-    ends = rows.agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    lengths = F.sequence(F.lit(0), F.length("low"))
-    same = F.filter(lengths, lambda n: F.substring(F.col("low"), F.lit(1), n) == F.substring(F.col("high"), F.lit(1), n))
-    shared = ends.select(F.array_max(same)).scalar()
-    return F.substring(F.col(key), shared + 1, F.lit(2))
-
-
-def _rank_offsets(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
-    """Per group, weight and bucket: base share and number of keys ranked before it.
-
-    The remainder depends on the weight alone, so the ranking is worked out on
-    counts of distinct weights and buckets instead of on the keys.  Different
-    positive integers grow: d of them add up to at least d * (d + 1) / 2, so a
-    group has at most sqrt(2 * total) distinct weights, however many keys, and
-    as many rows here as these weights have buckets.
-    """
-    counts = rows.groupBy(*by, "_weight", "_bucket").agg(F.count("*").alias("_keys")).join(targets, by)
-    group = Window.partitionBy(*by)
-    ranked = group.orderBy(F.col("_rest").desc(), F.col("_weight").desc(), F.col("_bucket"))
-    total = F.sum(wide("_weight") * wide("_keys")).over(group).cast("decimal(38,0)")
-    keys = F.sum("_keys").over(group).cast("decimal(38,0)")
+    sums = rows.groupBy(*by).agg(F.sum(wide("_weight")).cast("decimal(38,0)").alias("_sum"), F.count("*").alias("_n"))
+    goals = sums.join(targets.select(*by, not_negative(target).alias("_target")), by)
     # A group of zeros is dealt like a group of ones.
-    product = wide("_target") * F.when(F.col("_sum") == 0, wide(F.lit(1))).otherwise(wide("_weight"))
-    whole = F.when(F.col("_sum") == 0, F.col("_n")).otherwise(F.col("_sum"))
-    return (
-        counts.select("*", total.alias("_sum"), keys.alias("_n"))
-        .select("*", product.cast("decimal(38,0)").alias("_product"), whole.alias("_whole"))
-        .select("*", div(F.col("_product"), F.col("_whole")).alias("_base"),
-                (F.col("_product") % F.col("_whole")).alias("_rest"))
-        .select(
-            *by, "_weight", "_bucket", "_base",
-            (F.col("_target") - F.sum(F.col("_base") * F.col("_keys")).over(group)).alias("_left_over"),
-            F.coalesce(F.sum("_keys").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        )
+    empty = F.col("_sum") == 0
+    product = (wide("_target") * F.when(empty, wide(F.lit(1))).otherwise(wide("_weight"))).cast("decimal(38,0)")
+    whole = F.when(empty, F.col("_n")).otherwise(F.col("_sum"))
+    parts = (
+        rows.join(goals, by)
+        .withColumns({"_product": product, "_whole": whole})
+        .withColumns({"_base": div(F.col("_product"), F.col("_whole")).cast("bigint"), "_rest": F.col("_product") % F.col("_whole")})
+        .select(*by, key, "_weight", "_base", "_rest", "_target")
     )
+    order = [F.col("_rest").desc(), F.col("_weight").desc(), F.col(key)]
+    placed = chunked(parts, [*by, *order])
+    left_over = placed.groupBy(*by).agg((F.max("_target") - F.sum("_base")).alias("_left_over"))
+    ranked = sums_before(placed, by, order, {"_before": F.lit(1)}).join(left_over, by)
+    extra = F.when(F.col("_before") < F.col("_left_over"), 1).otherwise(0)
+    return ranked.select(*by, key, F.col("_weight").alias(weight), (F.col("_base") + extra).cast("bigint").alias(scaled))
 
 
 def apportion_codes(weights: Sequence[tuple[str, Column]], target: Column) -> Column:

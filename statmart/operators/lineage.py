@@ -15,7 +15,7 @@ from statmart.operators.dedupe import latest_per_key
 from statmart.session import one_row
 
 LOAD_FIELDS = (
-    "dataset_key", "source_family", "source_id", "resource_id", "reference_period", "cadence", "status",
+    "dataset_key", "source_family", "source_id", "resource_id", "resource_name", "reference_period", "cadence", "status",
     "loaded_at", "notes",
 )
 
@@ -28,6 +28,7 @@ class SourceMeta:
     source_id: str
     source_family: str = "unknown"
     resource_id: str | None = None
+    resource_name: str | None = None
     cadence: str | None = None
 
 
@@ -41,6 +42,7 @@ def load_record(spark: SparkSession, run_id: str, meta: SourceMeta, status: str,
         "source_family": meta.source_family,
         "source_id": meta.source_id,
         "resource_id": meta.resource_id,
+        "resource_name": meta.resource_name,
         "reference_period": reference_period,
         "cadence": meta.cadence,
         "status": status,
@@ -56,7 +58,7 @@ def run_event(spark: SparkSession, run_id: str, started_at: datetime, status: st
               finished_at: datetime | None = None, fetched: Sequence[str] = (),
               notes: str | None = None) -> DataFrame:
     """One row of the append-only run log."""
-    row = (run_id, started_at, finished_at, status, list(fetched), notes[:2000] if notes else None)
+    row = (run_id, started_at, finished_at, status, list(fetched), notes or None)
     return spark.createDataFrame([row], schemas.RUNS.schema)
 
 

@@ -34,7 +34,8 @@ def annual_rollup(df: DataFrame, year: str, key: str, key_name: str, total: str,
         F.sum(parse_count(F.col(f"`{total}`"), strip_commas)).alias("count")
     )
     rows = raw.select(
-        parse_count("_year").cast("int").alias("ref_year"),
+        # A number beyond the range of years is no year.
+        parse_count("_year").try_cast("int").alias("ref_year"),
         (clean(F.col("_key")) if clean else F.col("_key")).alias(key_name),
         "count",
     )
@@ -96,9 +97,13 @@ def merge_counts(frames: Sequence[DataFrame], keys: Sequence[str], value: str =
 
 def reference_period(df: DataFrame, at: str, fallback: str, by: Sequence[str] = ()) -> DataFrame:
     """``min to max`` of a date or year column as text, or ``fallback`` without values."""
+    return df.groupBy(*by).agg(period_text(at, fallback).alias("reference_period"))
+
+
+def period_text(at: str, fallback: str) -> Column:
+    """``reference_period`` as an aggregate."""
     low, high = F.min(at).cast("string"), F.max(at).cast("string")
-    text = F.when(F.count(at) > 0, F.concat_ws(" to ", low, high)).otherwise(F.lit(fallback))
-    return df.groupBy(*by).agg(text.alias("reference_period"))
+    return F.when(F.count(at) > 0, F.concat_ws(" to ", low, high)).otherwise(F.lit(fallback))
 
 
 def rollup_groups(df: DataFrame, code: str, groups: Mapping[str, str], labels: Mapping[str, str],
@@ -108,18 +113,13 @@ def rollup_groups(df: DataFrame, code: str, groups: Mapping[str, str], labels: M
     return df.groupBy(label.alias("label")).agg(F.sum(value).alias(value))
 
 
-def collect_ordered(df: DataFrame, order: Sequence[Column], fields: Sequence[str], name: str,
-                    max_rows: int = 100_000) -> DataFrame:
+def collect_ordered(df: DataFrame, order: Sequence[Column], fields: Sequence[str], name: str) -> DataFrame:
     """All rows as one array of structs in the given order, as a one-row frame.
 
-    For document sections, which are small by nature.  Memory is bounded: at
-    most ``max_rows`` + 1 rows reach the task, and one row too many is an error
-    rather than a cut array.  Larger sections are published row by row with
+    Only for rows that are few by definition: a top-k, the codes of a list, one
+    row per listed source. Anything else is published row by row with
     ``sinks.publish_rows``.
     """
-    bounded = df.limit(max_rows + 1)
     rank = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
     pairs = F.array_sort(F.collect_list(F.struct(rank.alias("_rank"), F.struct(*fields).alias("row"))))
-    kept = F.transform(pairs, lambda p: p["row"])
-    too_many = F.raise_error(F.lit(f"section {name} has more than {max_rows} rows; publish it row by row"))
-    return bounded.agg(F.when(F.count("*") <= max_rows, kept).otherwise(too_many).alias(name))
+    return df.agg(F.transform(pairs, lambda p: p["row"]).alias(name))

@@ -1,7 +1,9 @@
 """Published documents: marts nested into one JSON document each.
 
-A document is one row whose sections are scalar subqueries over small,
-aggregated relations; ``collect_ordered`` refuses larger ones.
+A document has a head, one row whose sections are few rows by definition (a
+top-k, the codes of a list, the listed sources), and sections that grow with
+the tables, which are published row by row beside it, in parallel. Every mart
+is stated once per document.
 """
 
 from __future__ import annotations
@@ -16,13 +18,39 @@ from pyspark.sql import functions as F
 from statmart import codes, schemas
 from statmart.functions import code_for
 from statmart.operators import lineage
-from statmart.operators.rollup import collect_ordered, latest_period, sum_by
 from statmart.plans import marts
-from statmart.session import materialized, one_row
-from statmart.sinks import publish_document, publish_if_any
+from statmart.session import one_row
+from statmart.sinks import publish_document, publish_rows
 
 Tables = Mapping[str, DataFrame]
 
+# Titles of the sources and frequencies, as published.
+POPULATION_SOURCE = "Statistics Canada 17-10-0009-01"
+NPR_SOURCE = "Statistics Canada 17-10-0121-01"
+NATURALIZED_SOURCE = "Statistics Canada 98-10-0302-01"
+PROGRAMS_SOURCE = "IRCC work permit holders by program"
+PERMANENT_SOURCE = "IRCC Permanent Residents — open.canada.ca"
+PERMITS_SOURCE = "IRCC open.canada.ca"
+QUARTERLY = "Quarterly"
+MONTHLY = "Monthly"
+MONTHLY_AS_ANNUAL = "Monthly aggregated to annual"
+ANNUAL_OF_MONTHLY = "Annual aggregation of monthly data"
+EVERY_CENSUS = "Census (every 5 years)"
+
+
+@dataclass(frozen=True)
+class Document:
+    """What is published under one name.
+
+    ``head`` is one row; ``rows`` are the sections published row by row;
+    ``if_any`` names the head's column that is null when there is nothing to
+    publish.
+    """
+
+    head: DataFrame
+    rows: Mapping[str, DataFrame] = field(default_factory=dict)
+    if_any: str | None = None
+
 
 @dataclass(frozen=True)
 class Export:
@@ -39,20 +67,19 @@ class Export:
     places: codes.PlaceRules = codes.DEFAULT_PLACES
 
 
-def _one(tables: Tables, columns: Mapping[str, Column | object]) -> DataFrame:
-    """A one-row document with the given fields."""
-    spark = next(iter(tables.values())).sparkSession
-    return one_row(spark).select(*[
+def _one(tables: Tables, columns: Mapping[str, Column | object], facts: DataFrame | None = None) -> DataFrame:
+    """A one-row document with the given fields; ``facts`` is a row they may refer to."""
+    row = one_row(next(iter(tables.values())).sparkSession) if facts is None else facts
+    return row.select(*[
         (value if isinstance(value, Column) else F.lit(value)).alias(name) for name, value in columns.items()
     ])
 
 
-def _section(rows: DataFrame, order: Sequence[Column], fields: Sequence[str], name: str = "rows") -> Column:
-    return collect_ordered(rows, order, fields, name).scalar()
-
-
-def _value(rows: DataFrame, aggregate: Column) -> Column:
-    return rows.agg(aggregate).scalar()
+def _list(order: Sequence[Column], fields: Sequence[str], when: Column | None = None) -> Column:
+    """Rows that are few by definition as an ordered array, as an aggregate."""
+    rank = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+    row = F.struct(rank.alias("rank"), F.struct(*fields).alias("row"))
+    return F.transform(F.array_sort(F.collect_list(row if when is None else F.when(when, row))), lambda r: r["row"])
 
 
 def _by_count() -> list[Column]:
@@ -65,26 +92,25 @@ def freshness(tables: Tables, keys: Sequence[str], export: Export) -> Column:
     return report.select(F.struct("*")).scalar()
 
 
-def population_current(tables: Tables, export: Export) -> tuple[DataFrame, DataFrame]:
+def population_current(tables: Tables, export: Export) -> Document:
     latest = marts.population_latest(tables[schemas.POPULATION.name], export.geo)
-    row = _value(latest, F.first(F.struct("population", "ref_date")))
-    return latest, _one(tables, {
-        "population": row["population"],
-        "ref_date": row["ref_date"],
-        "source": "Statistics Canada 17-10-0009-01",
-        "frequency": "Quarterly",
+    facts = latest.agg(F.first("population").alias("population"), F.first("ref_date").alias("ref_date"))
+    return Document(_one(tables, {
+        "population": F.col("population"),
+        "ref_date": F.col("ref_date"),
+        "source": POPULATION_SOURCE,
+        "frequency": QUARTERLY,
         "freshness": freshness(tables, [schemas.POPULATION.name], export),
-    })
+    }, facts), if_any="ref_date")
 
 
-def population_history(tables: Tables, export: Export) -> tuple[None, DataFrame]:
+def population_history(tables: Tables, export: Export) -> Document:
     rows = marts.population_history(tables[schemas.POPULATION.name], export.geo, export.history_since)
-    return None, _one(tables, {
-        "data": _section(rows, [F.col("date")], ["date", "population"]),
-        "source": "Statistics Canada 17-10-0009-01",
-        "frequency": "Quarterly",
+    return Document(_one(tables, {
+        "source": POPULATION_SOURCE,
+        "frequency": QUARTERLY,
         "freshness": freshness(tables, [schemas.POPULATION.name], export),
-    })
+    }), {"data": rows})
 
 
 def _status(tables: Tables, export: Export) -> DataFrame:
@@ -94,33 +120,36 @@ def _status(tables: Tables, export: Export) -> DataFrame:
     )
 
 
-def status_breakdown(tables: Tables, export: Export) -> tuple[None, DataFrame]:
-    status = materialized(_status(tables, export))
+def status_breakdown(tables: Tables, export: Export) -> Document:
     snapshots = marts.census_snapshots(tables[schemas.STATUS_CENSUS.name], export.geo)
     place = {s: i for i, s in enumerate(codes.STATUS_LABELS)}
     order = [code_for("status", place)]
     fields = ["status", "label", "count", "ref_date", "source"]
-    mode = {m: status.filter(F.col("mode") == m) for m in ("actual", "estimated")}
-    resident_date = F.max(F.when(F.col("status") != codes.TEMPORARY_STATUS, F.col("ref_date")))
-    temporary_date = F.max(F.when(F.col("status") == codes.TEMPORARY_STATUS, F.col("ref_date")))
-    population_date = _value(mode["estimated"], resident_date)
-    census_year = F.coalesce(_value(snapshots, F.max("year")), F.lit(codes.DEFAULT_CENSUS_YEAR))
-    return None, _one(tables, {
-        "actual_latest": F.struct(
-            _section(mode["actual"], order, fields).alias("rows"),
-            _value(mode["actual"], F.sum("count")).alias("total"),
-        ),
+    actual, estimated = F.col("mode") == "actual", F.col("mode") == "estimated"
+    temporary = F.col("status") == codes.TEMPORARY_STATUS
+    facts = _status(tables, export).agg(
+        _list(order, fields, actual).alias("actual"),
+        F.sum(F.when(actual, F.col("count"))).alias("actual_total"),
+        _list(order, fields, estimated).alias("estimated"),
+        F.sum(F.when(estimated, F.col("count"))).alias("estimated_total"),
+        F.max("population").alias("population"),
+        F.max(F.when(estimated & ~temporary, F.col("ref_date"))).alias("population_date"),
+        F.max(F.when(temporary, F.col("ref_date"))).alias("temporary_date"),
+    )
+    census = tables[schemas.STATUS_CENSUS.name].filter((F.col("geo") == export.geo) & F.col("count").isNotNull())
+    census_year = F.coalesce(census.agg(F.max("census_year")).scalar(), F.lit(codes.DEFAULT_CENSUS_YEAR))
+    return Document(_one(tables, {
+        "actual_latest": F.struct(F.col("actual").alias("rows"), F.col("actual_total").alias("total")),
         "estimated_latest": F.struct(
-            _section(mode["estimated"], order, fields).alias("rows"),
-            _value(mode["estimated"], F.sum("count")).alias("total"),
-            _value(status, F.max("population")).alias("reconciles_to_population_total"),
-            population_date.alias("ref_date"),
+            F.col("estimated").alias("rows"),
+            F.col("estimated_total").alias("total"),
+            F.col("population").alias("reconciles_to_population_total"),
+            F.col("population_date").alias("ref_date"),
         ),
-        "census_snapshots": _section(snapshots, [F.col("year"), F.col("status")], ["year", "status", "count"]),
         "latest_census_year": census_year,
         "source_dates": F.struct(
-            population_date.alias("population_current"),
-            _value(status, temporary_date).alias("npr_current"),
+            F.col("population_date").alias("population_current"),
+            F.col("temporary_date").alias("npr_current"),
             census_year.cast("string").alias("census_status"),
         ),
         "methodology": F.struct(
@@ -132,19 +161,24 @@ def status_breakdown(tables: Tables, export: Export) -> tuple[None, DataFrame]:
         "freshness": freshness(
             tables, [schemas.POPULATION.name, schemas.NPR.name, schemas.STATUS_CENSUS.name], export
         ),
-    })
+    }, facts), {"census_snapshots": snapshots})
 
 
-def visa_streams_current(tables: Tables, export: Export) -> tuple[DataFrame, DataFrame]:
+def visa_streams_current(tables: Tables, export: Export) -> Document:
     streams = marts.streams_latest(tables[schemas.NPR.name], export.geo)
-    return streams, _one(tables, {
-        "ref_date": _value(streams, F.max("ref_date")),
-        "total_npr": _value(streams, F.sum("count")),
-        "streams": _section(streams, [-F.col("count"), F.col("stream")], ["stream", "count", "pct"]),
-        "source": "Statistics Canada 17-10-0121-01",
-        "frequency": "Quarterly",
+    # One row per stream code.
+    facts = streams.agg(
+        F.max("ref_date").alias("ref_date"), F.sum("count").alias("total"),
+        _list([-F.col("count"), F.col("stream")], ["stream", "count", "pct"]).alias("streams"),
+    )
+    return Document(_one(tables, {
+        "ref_date": F.col("ref_date"),
+        "total_npr": F.col("total"),
+        "streams": F.col("streams"),
+        "source": NPR_SOURCE,
+        "frequency": QUARTERLY,
         "freshness": freshness(tables, [schemas.NPR.name], export),
-    })
+    }, facts), if_any="ref_date")
 
 
 def _permits(tables: Tables) -> DataFrame:
@@ -155,96 +189,100 @@ def _permits(tables: Tables) -> DataFrame:
     })
 
 
-def visa_streams_history(tables: Tables, export: Export) -> tuple[None, DataFrame]:
+def visa_streams_history(tables: Tables, export: Export) -> Document:
     rows = marts.streams_history(
         tables[schemas.NPR.name], _permits(tables), export.geo, export.first_annual_year, export.first_quarterly_year
     )
-    fields = ["date", "stream", "count", "cadence", "source_origin"]
     meta = [
         x
         for series, (label, group) in codes.SERIES_META.items()
         for x in (F.lit(series), F.struct(F.lit(label).alias("label"), F.lit(group).alias("group")))
     ]
-    return None, _one(tables, {
-        "data": _section(rows, [F.col("date"), F.col("stream")], fields),
+    return Document(_one(tables, {
         "series_meta": F.create_map(*meta),
         "note": "Quarterly figures where there are any; earlier years are annual permit totals.",
         "freshness": freshness(
             tables, [schemas.NPR.name, schemas.STUDY.name, schemas.WORK.name, schemas.ASYLUM.name], export
         ),
-    })
+    }), {"data": rows.select("date", "stream", "count", "cadence", "source_origin")})
 
 
-def work_permit_sources(tables: Tables, export: Export) -> tuple[None, DataFrame]:
-    shares = marts.program_shares(tables[schemas.WORK_PROGRAMS.name])
-    year = _value(tables[schemas.WORK_PROGRAMS.name], F.max("ref_year"))
-    return None, _one(tables, {
-        "available": year.isNotNull() & (_value(shares, F.count("*")) > 0),
+def work_permit_sources(tables: Tables, export: Export) -> Document:
+    programs = tables[schemas.WORK_PROGRAMS.name]
+    # One row per program code.
+    facts = marts.program_shares(programs).agg(
+        F.max("ref_year").alias("listed_year"), F.count("*").alias("n"), F.sum("count").alias("total"),
+        _list([-F.col("count"), F.col("stream")], ["stream", "count", "pct"]).alias("streams"),
+    )
+    year = F.coalesce("listed_year", programs.agg(F.max("ref_year")).scalar())
+    return Document(_one(tables, {
+        "available": F.col("n") > 0,
         "ref_year": year,
-        "total": F.coalesce(_value(shares, F.sum("count")), F.lit(0).cast("bigint")),
-        "streams": _section(shares, [-F.col("count"), F.col("stream")], ["stream", "count", "pct"]),
-        "source": "IRCC work permit holders by program",
-        "frequency": "Monthly aggregated to annual",
+        "total": F.coalesce("total", F.lit(0).cast("bigint")),
+        "streams": F.col("streams"),
+        "source": PROGRAMS_SOURCE,
+        "frequency": MONTHLY_AS_ANNUAL,
         "note": "Filled when a program-level extract has been loaded.",
         "freshness": freshness(tables, [schemas.WORK_PROGRAMS.name], export),
-    })
+    }, facts))
 
 
-def origin_pr_current(tables: Tables, export: Export) -> tuple[DataFrame, DataFrame]:
+def origin_pr_current(tables: Tables, export: Export) -> Document:
     top = marts.origin_top(tables[schemas.PERMANENT.name], export.as_of, export.k, export.places)
-    return top, _one(tables, {
-        "ref_year": _value(top, F.max("ref_year")),
-        f"top{export.k}": _section(top, _by_count(), ["country", "count"]),
-        "source": "IRCC Permanent Residents — open.canada.ca",
-        "frequency": "Monthly",
+    facts = top.agg(F.max("ref_year").alias("ref_year"), _list(_by_count(), ["country", "count"]).alias("top"))
+    return Document(_one(tables, {
+        "ref_year": F.col("ref_year"),
+        f"top{export.k}": F.col("top"),
+        "source": PERMANENT_SOURCE,
+        "frequency": MONTHLY,
         "freshness": freshness(tables, [schemas.PERMANENT.name], export),
-    })
+    }, facts), if_any="ref_year")
 
 
-def origin_pr_history(tables: Tables, export: Export) -> tuple[None, DataFrame]:
+def origin_pr_history(tables: Tables, export: Export) -> Document:
     rows = marts.origin_history(tables[schemas.PERMANENT.name], export.k, export.places)
-    return None, _one(tables, {
-        "data": _section(rows, [F.col("year"), *_by_count()], ["year", "country", "count"]),
+    return Document(_one(tables, {
         "note": f"The {export.k} countries with the greatest sums over all years.",
-        "source": "IRCC Permanent Residents — open.canada.ca",
-        "frequency": "Annual aggregation of monthly data",
+        "source": PERMANENT_SOURCE,
+        "frequency": ANNUAL_OF_MONTHLY,
         "freshness": freshness(tables, [schemas.PERMANENT.name], export),
-    })
+    }), {"data": rows})
 
 
-def origin_temp_current(tables: Tables, export: Export) -> tuple[None, DataFrame]:
-    permits = _permits(tables)
-    top = marts.temporary_top(permits, export.as_of, export.k, export.places)
-    years = latest_period(sum_by(permits, ["stream", "ref_year"]), export.as_of, ["stream"])
+def origin_temp_current(tables: Tables, export: Export) -> Document:
+    # The year and the list of each stream come out of the same sums.
+    facts = marts.temporary_lists(_permits(tables), export.as_of, export.k, export.places).agg(
+        F.map_from_entries(F.collect_list(F.struct("stream", F.struct("ref_year", "top")))).alias("streams")
+    )
+    nothing = F.array().cast("array<struct<country:string,count:bigint>>")
 
     def stream(name: str, *more: Column) -> Column:
-        listed = _section(top.filter(F.col("stream") == name), _by_count(), ["country", "count"])
-        year = _value(years, F.max(F.when(F.col("stream") == name, F.col("ref_year"))))
-        return F.struct(year.alias("ref_year"), listed.alias(f"top{export.k}"), *more)
+        own = F.try_element_at("streams", F.lit(name))
+        return F.struct(own["ref_year"].alias("ref_year"), F.coalesce(own["top"], nothing).alias(f"top{export.k}"), *more)
 
     note = F.lit("Scaled to the temporary resident total in the origin overview.").alias("note")
-    return None, _one(tables, {
+    return Document(_one(tables, {
         "study_permits": stream("study"),
         "work_permits": stream("work"),
         "asylum_claimants": stream("asylum", note),
-        "source": "IRCC open.canada.ca",
-        "frequency": "Monthly",
+        "source": PERMITS_SOURCE,
+        "frequency": MONTHLY,
         "freshness": freshness(tables, [schemas.STUDY.name, schemas.WORK.name, schemas.ASYLUM.name], export),
-    })
+    }, facts))
 
 
-def origin_naturalized(tables: Tables, export: Export) -> tuple[DataFrame, DataFrame]:
+def origin_naturalized(tables: Tables, export: Export) -> Document:
     table = tables[schemas.NATURALIZED.name]
     rows = marts.naturalized_all(table, export.places)
     top = marts.naturalized_top(table, export.k, export.places)
-    return rows, _one(tables, {
-        "latest_census_year": _value(table, F.max("census_year")),
-        f"top{export.k}": _section(top, _by_count(), ["country", "count"]),
-        "all_census_data": _section(rows, [-F.col("year"), *_by_count()], ["year", "country", "count"]),
-        "source": "Statistics Canada 98-10-0302-01",
-        "frequency": "Census (every 5 years)",
+    facts = top.agg(F.max("year").alias("listed_year"), _list(_by_count(), ["country", "count"]).alias("top"))
+    return Document(_one(tables, {
+        "latest_census_year": F.coalesce("listed_year", table.agg(F.max("census_year")).scalar()),
+        f"top{export.k}": F.col("top"),
+        "source": NATURALIZED_SOURCE,
+        "frequency": EVERY_CENSUS,
         "freshness": freshness(tables, [schemas.NATURALIZED.name], export),
-    })
+    }, facts), {"all_census_data": rows}, if_any="latest_census_year")
 
 
 ESTIMATION_BASIS = {
@@ -255,7 +293,7 @@ ESTIMATION_BASIS = {
 }
 
 
-def origin_overview(tables: Tables, export: Export) -> tuple[None, DataFrame]:
+def origin_overview(tables: Tables, export: Export) -> Document:
     facts = marts.origin_facts(
         tables[schemas.NATURALIZED.name], tables[schemas.PERMANENT.name], _permits(tables)
     )
@@ -271,8 +309,8 @@ def origin_overview(tables: Tables, export: Export) -> tuple[None, DataFrame]:
         schemas.NATURALIZED, schemas.PERMANENT, schemas.STUDY, schemas.WORK, schemas.ASYLUM, schemas.POPULATION,
         schemas.NPR, schemas.STATUS_CENSUS,
     ]
-    return None, _one(tables, {
-        "categories": _section(named, [code_for("category", place)], fields),
+    return Document(_one(tables, {
+        "categories": F.col("categories"),
         "methodology": F.struct(
             F.lit("Each category's newest country distribution is scaled to its newest estimated stock.").alias("summary"),
             F.lit("Naturalized citizens, permanent residents and temporary residents together.").alias(
@@ -280,12 +318,12 @@ def origin_overview(tables: Tables, export: Export) -> tuple[None, DataFrame]:
             ),
         ),
         "freshness": freshness(tables, [t.name for t in sources], export),
-    })
+    }, named.agg(_list([code_for("category", place)], fields).alias("categories"))))
 
 
-Build = Callable[[Tables, Export], tuple[DataFrame | None, DataFrame]]
+Build = Callable[[Tables, Export], Document]
 
-# Documents whose builder returns rows are left out while there are none.
+# Documents that name a column of their own for it are left out while it is null.
 DOCUMENTS: dict[str, Build] = {
     "population_current.json": population_current,
     "population_history.json": population_history,
@@ -301,16 +339,21 @@ DOCUMENTS: dict[str, Build] = {
 }
 
 
+def section_path(folder: str, name: str, section: str) -> str:
+    """Where a section published row by row lies: beside its document."""
+    return f"{folder.rstrip('/')}/{name.removesuffix('.json')}.{section}.jsonl"
+
+
+def publish(document: Document, folder: str, name: str) -> bool:
+    """Publish a document and its sections; the sections first, so that a head never lacks them."""
+    head = document.head
+    if document.if_any:
+        head = head.filter(F.col(document.if_any).isNotNull())
+    for section, rows in document.rows.items():
+        publish_rows(rows, section_path(folder, name, section))
+    return publish_document(head, f"{folder.rstrip('/')}/{name}")
+
+
 def export_all(tables: Tables, folder: str, export: Export) -> list[str]:
     """Publish every document that has rows and return their names."""
-    published = []
-    for name, build in DOCUMENTS.items():
-        rows, document = build(tables, export)
-        path = f"{folder.rstrip('/')}/{name}"
-        if rows is None:
-            publish_document(document, path)
-            published.append(name)
-        elif publish_if_any(rows, document, path):
-            published.append(name)
-    return published
-
+    return [name for name, build in DOCUMENTS.items() if publish(build(tables, export), folder, name)]

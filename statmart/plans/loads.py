@@ -69,7 +69,7 @@ def _census_count(raw: DataFrame, tag: str, required: bool) -> Column | None:
 
 
 def _census_year() -> Column:
-    return F.substring(F.col("REF_DATE").cast("string"), 1, 4).cast("int").alias("census_year")
+    return F.substring(F.col("REF_DATE").cast("string"), 1, 4).try_cast("int").alias("census_year")
 
 
 def status_breakdown(raw: DataFrame, geo: str | None = codes.FOCUS_GEO) -> DataFrame:
@@ -94,7 +94,6 @@ def status_breakdown(raw: DataFrame, geo: str | None = codes.FOCUS_GEO) -> DataF
         .filter(citizenship.isin(codes.CITIZEN_BY_BIRTH, codes.CITIZEN_NATURALIZED, codes.NOT_CITIZEN))
         .select(_census_year(), F.col("GEO").alias("geo"), F.inline(emitted))
         .filter(F.col("count").isNotNull())
-        .orderBy("census_year", "geo", "status")
     )
 
 
@@ -112,9 +111,7 @@ def naturalized_by_country(raw: DataFrame, geo: str | None = codes.FOCUS_GEO,
             _census_count(raw, "total", required=True).alias("count"),
         )
     )
-    return rows.filter((F.col("count") > 0) & ~is_region("country", regions)).orderBy(
-        F.col("census_year").desc(), F.col("count").desc(), "country"
-    )
+    return rows.filter((F.col("count") > 0) & ~is_region("country", regions))
 
 
 def permits_by_country(raw: DataFrame, year: str = "EN_YEAR", country: str = "EN_COUNTRY_OF_CITIZENSHIP",

@@ -222,6 +222,21 @@ def temporary_top(permits: DataFrame, as_of: int, k: int = 10,
     return top.orderBy("stream", "rank")
 
 
+def temporary_lists(permits: DataFrame, as_of: int, k: int = 10,
+                    places: codes.PlaceRules = codes.DEFAULT_PLACES) -> DataFrame:
+    """One row per permit stream: its latest complete year and that year's top-k countries, greatest first."""
+    latest = rows_of_latest_period(place_sums(permits, ["stream", "ref_year"], places), as_of, ["stream"])
+    # The rows of a year may all be left out of the ranking; the year stays.
+    placed = latest.withColumn("is_listed", F.coalesce(F.col("count").isNotNull() & is_place("country", places), F.lit(False)))
+    order = [F.col("is_listed").desc(), F.col("count").desc(), F.col("country")]
+    top = top_per_key(placed, ["stream"], order, k, rank_as="rank")
+    rows = F.when(F.col("is_listed"), F.struct("rank", F.struct("country", "count").alias("row")))
+    return top.groupBy("stream").agg(
+        F.max("ref_year").alias("ref_year"),
+        F.transform(F.array_sort(F.collect_list(rows)), lambda r: r["row"]).alias("top"),
+    )
+
+
 def naturalized_all(naturalized: DataFrame, places: codes.PlaceRules = codes.DEFAULT_PLACES) -> DataFrame:
     """Naturalised citizens by census and country, newest and greatest first."""
     sums = place_sums(naturalized.withColumnRenamed("census_year", "year"), ["year"], places)

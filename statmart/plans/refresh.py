@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import traceback
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
@@ -11,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from statmart import codes, schemas
 from statmart.operators.lineage import SourceMeta, load_record, run_event
-from statmart.operators.rollup import reference_period
+from statmart.operators.rollup import period_text
 from statmart.plans.documents import Export, export_all
 from statmart.sinks import append_rows, replace_slice, replace_table, shape_for
+from statmart.sinks.tables import Replaced
 from statmart.sources.warehouse import MissingSource, read_table, table_path
 
 
@@ -44,33 +46,35 @@ class Refresh:
     published: list[str] = field(default_factory=list)
 
 
-def load_one(spark: SparkSession, root: str, load: Load) -> int:
-    """Load one source and return its number of rows; 0 leaves the old rows in place."""
+def load_one(spark: SparkSession, root: str, load: Load) -> Replaced:
+    """Load one source; without rows the old ones stay in place.
+
+    The period is that of the rows of this load, whatever else its table holds.
+    """
     rows = load.build()
     if rows is None:
         raise MissingSource(f"no resource found for {load.meta.dataset_key}")
     shaped = shape_for(rows, load.table, load.constants)
     path = table_path(root, load.table.name)
+    period = period_text(load.period, codes.NO_PERIOD) if load.period else None
     if load.table.slice_by:
-        return replace_slice(shaped, path, load.table.slice_by, load.table)
-    return replace_table(shaped, path, load.table, keep_if_empty=True)
+        return replace_slice(shaped, path, load.table.slice_by, load.table, period)
+    return replace_table(shaped, path, load.table, keep_if_empty=True, period=period)
 
 
 def load_all(spark: SparkSession, root: str, run_id: str, loads: Sequence[Load]) -> Refresh:
-    """Load all sources; one that fails is recorded and does not stop the others."""
+    """Load all sources; one that fails, or cannot be logged, is recorded and does not stop the others."""
     done = Refresh(run_id)
     log = table_path(root, schemas.LOADS.name)
     for load in loads:
         key = load.meta.dataset_key
-        period: Column | None = None
+        period: str | None = None
         notes: str | None = None
         try:
-            done.rows[key] = load_one(spark, root, load)
-            if done.rows[key]:
-                status = "success"
-                if load.period:
-                    table = read_table(spark, root, load.table.name)
-                    period = reference_period(table, load.period, codes.NO_PERIOD).scalar()
+            loaded = load_one(spark, root, load)
+            done.rows[key] = loaded.rows
+            if loaded.rows:
+                status, period = "success", loaded.period
             else:
                 status, notes = "skipped", "the extract is empty"
                 done.skipped[key] = notes
@@ -78,9 +82,12 @@ def load_all(spark: SparkSession, root: str, run_id: str, loads: Sequence[Load])
             status, notes = ("skipped" if load.optional else "failed"), str(missing)
             (done.skipped if load.optional else done.failures)[key] = notes
         except Exception as error:  # noqa: BLE001 - any failure of one source is recorded
-            status, notes = "failed", str(error)
-            done.failures[key] = notes
-        append_rows(load_record(spark, run_id, load.meta, status, notes, period), log)
+            status, notes = "failed", traceback.format_exc()
+            done.failures[key] = str(error)
+        try:
+            append_rows(load_record(spark, run_id, load.meta, status, notes, period), log)
+        except Exception as error:  # noqa: BLE001 - the rows are in place; the missing record is a failure of its own
+            done.failures[key] = f"loaded without a record: {error}" if status == "success" else f"{notes}; no record: {error}"
     return done
 
 
@@ -106,7 +113,7 @@ def refresh(spark: SparkSession, root: str, loads: Sequence[Load], folder: str |
             export = replace(export, generated_at=now(), failures=done.failures)
             done.published = export_all(warehouse(spark, root), folder, export)
     except Exception as error:
-        append_rows(run_event(spark, run_id, started, "failed", now(), notes=str(error)), log)
+        append_rows(run_event(spark, run_id, started, "failed", now(), notes=f"{error}\n{traceback.format_exc()}"), log)
         raise
     fetched = [key for key, rows in done.rows.items() if rows]
     notes = str(done.failures) if done.failures else None

@@ -12,6 +12,7 @@ from statmart.functions import all_present, code_for
 from statmart.operators.apportion import topk_with_other, with_other_row
 from statmart.operators.rollup import rollup_groups, sum_by
 from statmart.operators.series import percent_of_total, pivot_series, year_window
+from statmart.session import one_row
 
 
 def population_in_years(history: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -42,11 +43,23 @@ def top_countries(history: DataFrame, k: int = 10) -> DataFrame:
     return sum_by(history, ["country"], alias="total").orderBy(F.col("total").desc(), "country").limit(k)
 
 
-def countries_wide(history: DataFrame, countries: Sequence[str], start: int | None = None,
-                   end: int | None = None) -> DataFrame:
-    """Country history with one column per listed country."""
-    kept = year_window(history, F.col("year"), start, end).filter(F.col("country").isin(*countries))
-    return pivot_series(kept, ["year"], "country", "count", countries).orderBy("year")
+def countries_wide(history: DataFrame, k: int = 10, start: int | None = None, end: int | None = None) -> DataFrame:
+    """History of the top-k countries with one column per rank, and the country of each rank beside it.
+
+    The ranks are found inside the plan, over all years as the chart does, so
+    no names have to be collected first. Columns: year, country_1, count_1, ...
+    """
+    kept = history.filter(F.col("country").isNotNull())
+    # k names by definition.
+    names = top_countries(kept, k).agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("less"), "country"))).alias("names")
+    ).select(F.transform("names", lambda n: n["country"]).alias("names"))
+    ranked = names.select(F.posexplode("names").alias("rank", "country"))
+    placed = year_window(kept.join(ranked, "country"), F.col("year"), start, end)
+    listed = names.scalar()
+    wide = pivot_series(placed, ["year"], "rank", "count", range(k))
+    columns = [c for i in range(k) for c in (F.get(listed, F.lit(i)).alias(f"country_{i + 1}"), F.col(str(i)).alias(f"count_{i + 1}"))]
+    return wide.select("year", *columns).orderBy("year")
 
 
 def top_country_rows(history: DataFrame, k: int = 10, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -63,17 +76,28 @@ def top_country_rows(history: DataFrame, k: int = 10, start: int | None = None,
 def streams_grouped(streams: DataFrame, combined: Sequence[str] = codes.ASYLUM_STREAMS,
                     combined_label: str = codes.ASYLUM_LABEL,
                     labels: Mapping[str, str] = codes.STREAM_LABELS) -> DataFrame:
-    """Current streams with the asylum streams as one bar, and shares of the whole."""
+    """Current streams with the asylum streams as one bar, and shares of the whole.
+
+    The combined bar is there even if none of its streams has a row, with 0.
+    """
     groups = {s: combined_label for s in combined}
-    bars = rollup_groups(streams, "stream", groups, labels)
+    bars = rollup_groups(_with_members(streams, combined[:1]), "stream", groups, labels)
     return percent_of_total(bars).orderBy(F.col("count").desc(), "label")
 
 
+def _with_members(streams: DataFrame, members: Sequence[str]) -> DataFrame:
+    """Streams and counts, with a row of 0 for each of some codes; sums over them stay as they are."""
+    zeros = one_row(streams.sparkSession).select(
+        F.explode(F.array(*[F.lit(m) for m in members]).cast("array<string>")).alias("stream"), F.lit(0).cast("bigint").alias("count")
+    )
+    return streams.select("stream", "count").unionByName(zeros)
+
+
 def stream_panels(streams: DataFrame, panels: Mapping[str, Sequence[str]] = codes.STREAM_PANELS,
                   labels: Mapping[str, str] = codes.STREAM_LABELS) -> DataFrame:
-    """Streams within their panel, with shares of the panel."""
+    """Streams within their panel, with shares of the panel; members without a row are listed with 0."""
     panel_of = {s: panel for panel, members in panels.items() for s in members}
-    rows = streams.select(
+    rows = sum_by(_with_members(streams, list(panel_of)), ["stream"]).select(
         code_for("stream", panel_of).alias("panel"),
         code_for("stream", labels, default=F.col("stream")).alias("label"),
         "count",

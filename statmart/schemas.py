@@ -102,7 +102,7 @@ RUNS = _table(
 LOADS = _table(
     "source_loads",
     "load_id:string run_id:string dataset_key:string source_family:string source_id:string resource_id:string? "
-    "reference_period:string? cadence:string? status:string loaded_at:timestamp notes:string?",
+    "resource_name:string? reference_period:string? cadence:string? status:string loaded_at:timestamp notes:string?",
     "load_id",
 )
 

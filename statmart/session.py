@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -13,7 +15,8 @@ def local_session(cpus: int | str = "*", app: str = "statmart", memory: str = "8
                   shared: str | None = None) -> SparkSession:
     """A local session for tests and benches; on a cluster use the one given.
 
-    ``shared`` stands for the folder a cluster names in spark.checkpoint.dir.
+    ``shared`` stands for the folder a cluster names in spark.checkpoint.dir; a
+    new one is made if none is given.
     """
     parallel = os.cpu_count() if cpus == "*" else int(cpus)
     builder = (
@@ -27,22 +30,34 @@ def local_session(cpus: int | str = "*", app: str = "statmart", memory: str = "8
         # Call sites for error messages cost driver time on every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    if shared is not None:
-        builder = builder.config("spark.checkpoint.dir", shared)
-    return builder.getOrCreate()
+    return builder.config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="statmart-")).getOrCreate()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder the cluster names in its settings.
+    """A new path below the shared folder the session names in spark.checkpoint.dir.
 
-    Only a local session may fall back to a folder of this machine.
+    Where that is unset, below the warehouse, which executors share as well.
+    What lies there is removed when the program ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="statmart-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def _remove_scratch() -> None:
+    for spark, path in _SCRATCH:
+        # The session may be gone by then.
+        with contextlib.suppress(Exception):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialized(df: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Writers: keyed tables, log rows and published documents."""
 
-from statmart.sinks.documents import publish_document, publish_if_any, publish_rows
+from statmart.sinks.documents import publish_document, publish_rows
 from statmart.sinks.tables import (
     BrokenKey,
     append_rows,
@@ -11,6 +11,6 @@ from statmart.sinks.tables import (
 )
 
 __all__ = [
-    "BrokenKey", "append_rows", "check_keys", "publish_document", "publish_if_any", "publish_rows", "replace_slice",
+    "BrokenKey", "append_rows", "check_keys", "publish_document", "publish_rows", "replace_slice",
     "replace_table", "shape_for",
 ]

@@ -1,4 +1,4 @@
-"""Published JSON: one document per file, or one row per line for large sections."""
+"""Published JSON: one document per file, and one row per line for sections of any size."""
 
 from __future__ import annotations
 
@@ -8,30 +8,32 @@ from pyspark.sql import functions as F
 from statmart.sinks import files
 
 
-def publish_document(document: DataFrame, path: str) -> None:
-    """Write a one-row frame as one indented JSON file, nulls kept.
+def publish_document(document: DataFrame, path: str) -> bool:
+    """Write a one-row frame as one indented JSON file, nulls kept; nothing if it has no row.
 
-    The file appears under its name only when it is complete.
+    The document is worked out once. The file appears under its name only when
+    it is complete.
     """
     spark = document.sparkSession
     text = F.to_json(F.struct(*document.columns), {"ignoreNullFields": "false", "pretty": "true"})
     staged = files.beside(path, "staged")
-    # One row by construction: every section is a scalar.
+    # One row by construction: every section is an aggregate.
     document.select(text.alias("value")).coalesce(1).write.text(staged)
     try:
-        files.swap_in(spark, files.only_part(spark, staged), path)
+        part = files.only_part(spark, staged)
+        if part is None:
+            return False
+        files.swap_in(spark, part, path)
+        return True
     finally:
         files.remove(spark, staged)
 
 
 def publish_rows(rows: DataFrame, path: str) -> None:
-    """Write a section of any size as JSON lines, in parallel."""
-    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-
-
-def publish_if_any(rows: DataFrame, document: DataFrame, path: str) -> bool:
-    """Publish unless the rows behind the document are empty."""
-    if rows.isEmpty():
-        return False
-    publish_document(document, path)
-    return True
+    """Write a section of any size as JSON lines, in parallel; the old lines stay until the new ones are complete."""
+    staged = files.beside(path, "staged")
+    try:
+        rows.write.option("ignoreNullFields", "false").json(staged)
+        files.swap_in(rows.sparkSession, staged, path)
+    finally:
+        files.remove(rows.sparkSession, staged)

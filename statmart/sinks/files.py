@@ -18,8 +18,36 @@ def beside(path: str, purpose: str) -> str:
     return f"{parent}/.{name}.{purpose}-{uuid.uuid4().hex}"
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file exists; one that a swap broke off has put aside comes back."""
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        return True
+    parent, _, name = path.rstrip("/").rpartition("/")
+    _, folder = _fs(spark, parent)
+    if not fs.exists(folder):
+        return False
+    aside = [s for s in fs.listStatus(folder) if s.getPath().getName().startswith(f".{name}.old-")]
+    if not aside:
+        return False
+    _rename(fs, max(aside, key=lambda s: s.getModificationTime()).getPath(), target)
+    return True
+
+
+def recover_parts(spark: SparkSession, path: str) -> None:
+    """Bring back the parts of a folder that broken swaps have put aside."""
+    fs, folder = _fs(spark, path)
+    for s in fs.listStatus(folder):
+        hidden, mark, _ = s.getPath().getName().rpartition(".old-")
+        if mark and hidden.startswith("."):
+            recover(spark, f"{path.rstrip('/')}/{hidden[1:]}")
+
+
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a finished folder or file in place; the old one comes back if that fails."""
+    """Put a finished folder or file in place; the old one comes back if that fails.
+
+    If the process dies between the two renames, ``recover`` finds the old one.
+    """
     fs, target = _fs(spark, path)
     _, source = _fs(spark, staged)
     fs.mkdirs(target.getParent())
@@ -41,15 +69,24 @@ def _rename(fs, source, target) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
-def only_part(spark: SparkSession, folder: str) -> str:
-    """The one data file in a folder written from one partition."""
+def only_part(spark: SparkSession, folder: str) -> str | None:
+    """The one data file in a folder written from one partition; None if that had no rows."""
     fs, target = _fs(spark, folder)
-    names = [s.getPath().toString() for s in fs.listStatus(target) if s.getPath().getName().startswith("part-")]
+    parts = [s for s in fs.listStatus(target) if s.getPath().getName().startswith("part-")]
+    names = [s.getPath().toString() for s in parts if s.getLen()]
+    if not names:
+        return None
     if len(names) != 1:
         raise OSError(f"expected one part in {folder}, found {len(names)}")
     return names[0]
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    fs, target = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)

@@ -7,6 +7,7 @@ place, so the extract is computed once and a failed load changes nothing.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,50 +41,71 @@ def shape_for(df: DataFrame, table: Table, constants: Mapping[str, Column | obje
 
 def check_keys(df: DataFrame, table: Table) -> None:
     """Refuse rows that break the table's key or leave a required column empty."""
-    broken = key_violations(df, table.key, table.not_null).take(3)
-    if broken:
-        raise BrokenKey(f"{table.name}: {[row.asDict() for row in broken]}")
+    broken = key_violations(df, table.key, table.not_null)
+    examples = broken.take(3)
+    if examples:
+        raise BrokenKey(f"{table.name}: {broken.count()} broken keys, such as {[row.asDict() for row in examples]}")
 
 
-def _stage(df: DataFrame, path: str, table: Table | None) -> tuple[str, DataFrame, int]:
-    """Write beside the table, check, and count from the file footers."""
+@dataclass(frozen=True)
+class Replaced:
+    """What a replacement wrote: its number of rows, and what ``period`` found in them."""
+
+    rows: int
+    period: str | None = None
+
+
+def _stage(df: DataFrame, path: str, table: Table | None, period: Column | None, by: str | None = None) -> tuple[str, Replaced]:
+    """Write beside the table, check there, and look at what was written: rows and period in one pass."""
     staged = files.beside(path, "staged")
-    df.write.parquet(staged)
-    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
     try:
+        if by is None:
+            df.write.parquet(staged)
+        else:
+            # Rebalancing gives a large slice several files and a small one a single file.
+            df.hint("rebalance", by).write.partitionBy(by).parquet(staged)
+        rows = df.sparkSession.read.schema(df.schema).parquet(staged)
         if table is not None:
             check_keys(rows, table)
-        return staged, rows, rows.count()
+        seen = rows.agg(F.count(F.lit(1)), F.lit(None).cast("string") if period is None else period).first()
+        return staged, Replaced(*seen)
     except Exception:
         files.remove(df.sparkSession, staged)
         raise
 
 
-def replace_table(df: DataFrame, path: str, table: Table | None = None, keep_if_empty: bool = False) -> int:
-    """Replace a whole table and return its number of rows.
+def replace_table(df: DataFrame, path: str, table: Table | None = None, keep_if_empty: bool = False,
+                  period: Column | None = None) -> Replaced:
+    """Replace a whole table.
 
     With ``keep_if_empty`` an empty extract leaves the old rows in place.
+    ``period`` is an aggregate over the rows of this load.
     """
     spark = df.sparkSession
-    staged, _, n_rows = _stage(df, path, table)
-    if n_rows == 0 and keep_if_empty:
+    staged, done = _stage(df, path, table, period)
+    if done.rows == 0 and keep_if_empty:
         files.remove(spark, staged)
     else:
         files.swap_in(spark, staged, path)
-    return n_rows
+    return done
+
 
+def replace_slice(df: DataFrame, path: str, by: str, table: Table | None = None, period: Column | None = None) -> Replaced:
+    """Replace the slices that occur in the frame; other slices stay.
 
-def replace_slice(df: DataFrame, path: str, by: str, table: Table | None = None) -> int:
-    """Replace the slices that occur in the frame and return its number of rows; other slices stay."""
-    staged, rows, n_rows = _stage(df, path, table)
+    Rows are written once, by slice, and checked; then each slice's folder
+    takes its place.
+    """
+    spark = df.sparkSession
+    staged, done = _stage(df, path, table, period, by)
     try:
-        if n_rows:
-            # Rebalancing gives a large slice several files and a small one a single file.
-            writer = rows.hint("rebalance", by).write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+        if done.rows:
+            # As many as the extract has geographies.
+            for name in files.folders(spark, staged):
+                files.swap_in(spark, f"{staged}/{name}", f"{path.rstrip('/')}/{name}")
     finally:
-        files.remove(df.sparkSession, staged)
-    return n_rows
+        files.remove(spark, staged)
+    return done
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -29,17 +29,20 @@ def best_resources(catalog: DataFrame, by: Sequence[str], keywords: Sequence[str
     """Best resource per dataset by score, then by the newest dates and name.
 
     Rows equal in all of that are decided by ``tie``, or all returned with
-    ``all_ties``.  ``pinned`` ids are taken as they are instead of the best one.
+    ``all_ties``.  A ``pinned`` id wins within its dataset, whatever its score
+    (null in the result); datasets without one are ranked as usual.
     """
-    if pinned:
-        return catalog.filter(F.col(tie).isin(*pinned)).withColumn("score", F.lit(None).cast("int"))
     scored = score_resources(catalog, keywords, required, format_wanted, min_score)
+    if pinned:
+        own = catalog.filter(F.col(tie).isin(*pinned)).withColumn("score", F.lit(None).cast("int"))
+        scored = scored.filter(~F.col(tie).isin(*pinned)).unionByName(own)
     # Missing texts compare as empty ones.
     newest = [
         (F.coalesce(c, F.lit("")) if kind == "string" else F.col(c)).desc_nulls_last()
         for c in recency for name, kind in catalog.dtypes if name == c
     ]
-    order = [F.col("score").desc(), *newest]
+    # Only pinned rows have no score.
+    order = [F.col("score").desc_nulls_first(), *newest]
     rank = F.rank() if all_ties else F.row_number()
     window = Window.partitionBy(*by).orderBy(*order, *([] if all_ties else [F.col(tie)]))
     return scored.withColumn("_rank", rank.over(window)).filter("_rank = 1").drop("_rank")

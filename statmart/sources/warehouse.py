@@ -5,33 +5,48 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from statmart import schemas
+from statmart.sinks import files
 
 
 class MissingSource(RuntimeError):
     """A required source has no usable resource."""
 
 
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
+class LostTable(RuntimeError):
+    """A table that has been loaded is gone."""
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def table_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A warehouse table; an empty frame of its schema before the first load."""
+    """A warehouse table; an empty frame of its schema before the first load.
+
+    A table left aside by a broken replacement comes back. One that the load
+    log says was loaded, and that is not there, is an error.
+    """
     table = schemas.TABLES[name]
     path = table_path(root, name)
-    if not path_exists(spark, path):
+    if not files.recover(spark, path):
+        if name not in (schemas.LOADS.name, schemas.RUNS.name) and _was_loaded(spark, root, name):
+            raise LostTable(f"{name} has been loaded, but {path} is missing")
         return spark.createDataFrame([], table.schema)
+    if table.slice_by:
+        files.recover_parts(spark, path)
     return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
 
 
+def _was_loaded(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether the load log has a successful load of a table."""
+    log = read_table(spark, root, schemas.LOADS.name)
+    return not log.filter((F.col("dataset_key") == name) & (F.col("status") == "success")).isEmpty()
+
+
 def register_views(frames: Mapping[str, DataFrame]) -> None:
     """Make frames known to SQL under their names."""
     for name, df in frames.items():

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statmart.operators.apportion import apportion, apportion_codes, topk_with_other, with_other_row
+from statmart.operators.prefix import chunked, sums_before
 
 
 def shares(weights, target, zero_policy="other"):
@@ -60,12 +61,11 @@ def test_census_split(spark):
 
 
 def test_unknown_policy_and_key_type(spark):
-    weights = spark.createDataFrame([("g", 1, 1)], "g string, key int, count bigint")
-    goals = spark.createDataFrame([("g", 1)], "g string, target bigint")
-    with pytest.raises(ValueError, match="text"):
-        apportion(weights, goals, ["g"], "key")
+    weights = spark.createDataFrame([("g", 10, 1), ("g", 9, 1)], "g string, key int, count bigint")
+    goals = spark.createDataFrame([("g", 3)], "g string, target bigint")
+    assert sorted((r["key"], r["scaled"]) for r in apportion(weights, goals, ["g"], "key").collect()) == [(9, 2), (10, 1)]
     with pytest.raises(ValueError, match="zero_policy"):
-        apportion(weights.withColumn("key", F.col("key").cast("string")), goals, ["g"], "key", zero_policy="x")
+        apportion(weights, goals, ["g"], "key", zero_policy="x")
 
 
 @pytest.mark.parametrize("policy", ["other", "even"])
@@ -89,6 +89,23 @@ def test_many_equal_weights(spark):
     assert run(spark, {"g": weights, "h": {"x": 1}}, {"g": 4567, "h": 9}) == {"g": shares(weights, 4567), "h": {"x": 9}}
 
 
+def test_no_task_holds_a_large_group(spark):
+    """One hot weight, one outlier key: the chunks of the group stay even."""
+    rows = spark.range(4000).select(
+        F.lit("g").alias("g"), F.concat(F.lit("Part#"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("key"), F.lit(1).alias("w")
+    ).unionByName(spark.createDataFrame([("g", "A", 1)], "g string, key string, w int"))
+    # Chunks this small would be put together; large ones are not.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        chunks = chunked(rows, ["g", F.col("w").desc(), "key"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in chunks.groupBy("chunk").count().collect()]
+    assert sum(sizes) == 4001 and max(sizes) < 4001 / 4
+    before = sums_before(chunks, ["g"], [F.col("w").desc(), "key"], {"n": F.lit(1)}).orderBy("key").collect()
+    assert [r["n"] for r in before] == list(range(4001))
+
+
 def test_code_list_matches_rows(spark):
     rng = random.Random(3)
     names = ("a", "b", "c")

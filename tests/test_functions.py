@@ -56,8 +56,8 @@ def test_program_code(one, text, code):
 
 
 def test_months(spark):
-    cells = ["Jan", "SEPT.", " may ", "12", "Juin", None]
-    assert values(spark, fn.month_number("v"), cells) == [1, 9, 5, 12, 0, 0]
+    cells = ["Jan", "SEPT.", " may ", "12", "Juin", None, "13", "-3", "2024", "0", "1"]
+    assert values(spark, fn.month_number("v"), cells) == [1, 9, 5, 12, 0, 0, 0, 0, 0, 0, 1]
 
 
 def test_quarters_and_labels(one):
@@ -69,6 +69,7 @@ def test_quarters_and_labels(one):
     assert one(fn.month_label(day)) == "January 2026"
     assert one(fn.month_label(F.lit(None).cast("date"))) == "Date unavailable"
     assert one(fn.year_start(F.lit(2021))) == datetime.date(2021, 1, 1)
+    assert one(fn.year_start(F.lit(123456789))) is None and one(fn.year_start(F.lit(99999999999))) is None
 
 
 def test_timestamp_text(one):

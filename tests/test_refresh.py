@@ -3,13 +3,14 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from statmart import schemas
 from statmart.operators import lineage
 from statmart.operators.lineage import SourceMeta
 from statmart.plans import documents, marts, refresh, views
-from statmart.sinks import BrokenKey, publish_rows, replace_slice, replace_table, shape_for
-from statmart.sources.warehouse import read_document, read_table, table_path
+from statmart.sinks import BrokenKey, append_rows, publish_rows, replace_slice, replace_table, shape_for
+from statmart.sources.warehouse import LostTable, read_document, read_table, table_path
 
 
 def d(text):
@@ -75,39 +76,51 @@ def test_refresh_outcome(spark, published):
     assert len({r["load_id"] for r in log.values()}) == len(log)
     runs = lineage.current_runs(read_table(spark, root, "pipeline_runs")).collect()
     assert [(r["status"], "population_quarterly" in r["sources_fetched"]) for r in runs] == [("success", True)]
-    assert sorted(p.name for p in Path(folder).iterdir() if not p.name.startswith(".")) == sorted(documents.DOCUMENTS)
+    assert sorted(p.name for p in Path(folder).iterdir() if not p.name.startswith(".")) == sorted([*documents.DOCUMENTS, *SECTIONS])
+
+
+SECTIONS = [
+    "population_history.data.jsonl", "status_breakdown.census_snapshots.jsonl", "visa_streams_history.data.jsonl",
+    "origin_pr_history.data.jsonl", "origin_naturalized.all_census_data.jsonl",
+]
+
+
+def section(folder, name):
+    return [json.loads(line) for part in sorted(Path(folder, name).glob("part-*")) for line in part.read_text().splitlines()]
 
 
 def test_documents(published):
     _, folder, _ = published
     assert doc(folder, "population_current.json")["population"] == 1010
-    assert [r["date"] for r in doc(folder, "population_history.json")["data"]] == ["2025-10-01", "2026-01-01"]
+    assert sorted(r["date"] for r in section(folder, "population_history.data.jsonl")) == ["2025-10-01", "2026-01-01"]
     status = doc(folder, "status_breakdown.json")
     assert [r["count"] for r in status["actual_latest"]["rows"]] == [700, 200, 100, 10]
     assert [r["count"] for r in status["estimated_latest"]["rows"]] == [700, 200, 100, 10]
     assert status["estimated_latest"]["total"] == status["estimated_latest"]["reconciles_to_population_total"] == 1010
     assert status["source_dates"] == {"population_current": "2026-01-01", "npr_current": "2026-01-01", "census_status": "2021"}
-    assert len(status["census_snapshots"]) == 4 and status["latest_census_year"] == 2021
+    assert len(section(folder, "status_breakdown.census_snapshots.jsonl")) == 4 and status["latest_census_year"] == 2021
     streams = doc(folder, "visa_streams_current.json")
     assert streams["streams"] == [
         {"stream": "permit_work_only", "count": 6, "pct": 60.0}, {"stream": "asylum_no_permit", "count": 4, "pct": 40.0},
     ]
     assert (streams["total_npr"], streams["ref_date"]) == (10, "2026-01-01")
     history = doc(folder, "visa_streams_history.json")
-    assert [(r["date"], r["stream"], r["count"]) for r in history["data"]][:3] == [
+    data = sorted((r["date"], r["stream"], r["count"]) for r in section(folder, "visa_streams_history.data.jsonl"))
+    assert data[:3] == [
         ("2024-01-01", "annual_asylum_claimants", 0), ("2024-01-01", "annual_study_permit_holders", 13),
         ("2024-01-01", "annual_work_permit_holders", 13),
     ]
-    assert len(history["data"]) == 6 and history["series_meta"]["permit_other"]["group"] == "Quarterly"
+    assert len(data) == 6 and history["series_meta"]["permit_other"]["group"] == "Quarterly"
     programs = doc(folder, "work_permit_sources_current.json")
     assert (programs["available"], programs["ref_year"], programs["total"], programs["streams"]) == (False, None, 0, [])
     assert programs["freshness"]["sources"][0]["reference_period"] is None
     assert doc(folder, "origin_pr_current.json")["top2"] == [{"country": "Italy", "count": 6}, {"country": "Vietnam", "count": 4}]
-    assert {r["year"] for r in doc(folder, "origin_pr_history.json")["data"]} == {2024, 2026}
+    assert {r["year"] for r in section(folder, "origin_pr_history.data.jsonl")} == {2024, 2026}
     temp = doc(folder, "origin_temp_current.json")
     assert (temp["study_permits"]["ref_year"], temp["asylum_claimants"]["ref_year"]) == (2024, None)
     assert temp["asylum_claimants"]["top2"] == []
-    assert [r["country"] for r in doc(folder, "origin_naturalized.json")["all_census_data"]] == ["Total", "Italy", "Asia"]
+    listed = sorted(section(folder, "origin_naturalized.all_census_data.jsonl"), key=lambda r: -r["count"])
+    assert [r["country"] for r in listed] == ["Total", "Italy", "Asia"]
     overview = doc(folder, "origin_overview.json")["categories"]
     assert [c["category"] for c in overview] == ["foreign_born_total", "naturalized", "permanent_resident", "temporary_resident"]
     for c in overview:
@@ -168,9 +181,9 @@ def test_slice_replace_keeps_other_slices(spark, tmp_path):
         df = spark.createDataFrame(list(data), "ref_date date, geo string, population bigint")
         return shape_for(df, schemas.POPULATION, {"source_table": "test"})
     day = d("2026-01-01")
-    assert replace_slice(rows((day, "Canada", 1), (day, "Ontario", 2)), path, "geo", schemas.POPULATION) == 2
+    assert replace_slice(rows((day, "Canada", 1), (day, "Ontario", 2)), path, "geo", schemas.POPULATION).rows == 2
     replace_slice(rows((day, "Canada", 3)), path, "geo", schemas.POPULATION)
-    assert replace_slice(rows(), path, "geo", schemas.POPULATION) == 0
+    assert replace_slice(rows(), path, "geo", schemas.POPULATION).rows == 0
     with pytest.raises(BrokenKey):
         replace_slice(rows((day, "Canada", 4), (day, "Canada", 5)), path, "geo", schemas.POPULATION)
     with pytest.raises(BrokenKey):
@@ -183,9 +196,9 @@ def test_slice_replace_keeps_other_slices(spark, tmp_path):
 def test_table_replace(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "i int, s string")
-    assert replace_table(df, path) == 2
-    assert replace_table(df.limit(0), path, keep_if_empty=True) == 0 and spark.read.parquet(path).count() == 2
-    assert replace_table(df.filter("i = 1"), path) == 1 and spark.read.parquet(path).count() == 1
+    assert replace_table(df, path).rows == 2
+    assert replace_table(df.limit(0), path, keep_if_empty=True).rows == 0 and spark.read.parquet(path).count() == 2
+    assert replace_table(df.filter("i = 1"), path).rows == 1 and spark.read.parquet(path).count() == 1
 
 
 def test_rows_can_be_published_in_parallel(spark, tmp_path):
@@ -194,6 +207,82 @@ def test_rows_can_be_published_in_parallel(spark, tmp_path):
     assert sorted(tuple(r) for r in got if r["n"]) == [("b", 2)] and len(got) == 2
 
 
+def test_period_is_that_of_the_load(spark, tmp_path):
+    """A slice load states what it has loaded, not what its table holds."""
+    root = str(tmp_path)
+
+    def load(*rows):
+        df = spark.createDataFrame(list(rows), "ref_date date, geo string, population bigint")
+        meta = SourceMeta("population_quarterly", "id", resource_name="table 1")
+        return refresh.Load(meta, schemas.POPULATION, lambda: df, {"source_table": "test"}, "ref_date")
+
+    refresh.load_all(spark, root, "r1", [load((d("1990-01-01"), "Ontario", 1))])
+    refresh.load_all(spark, root, "r2", [load((d("2025-01-01"), "Canada", 2))])
+    log = {r["run_id"]: r for r in read_table(spark, root, "source_loads").collect()}
+    assert [log[r]["reference_period"] for r in ("r1", "r2")] == ["1990-01-01 to 1990-01-01", "2025-01-01 to 2025-01-01"]
+    assert log["r2"]["resource_name"] == "table 1"
+    assert read_table(spark, root, "population_quarterly").count() == 2
+
+
+def test_a_load_that_cannot_be_logged_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    root, calls = str(tmp_path), []
+
+    def broken_once(df, path):
+        calls.append(path)
+        if len(calls) == 1:
+            raise OSError("log is full")
+        append_rows(df, path)
+
+    monkeypatch.setattr(refresh, "append_rows", broken_once)
+    loads = [load for load in simple_loads(spark) if load.meta.dataset_key in ("population_quarterly", "npr_by_type_quarterly")]
+    done = refresh.load_all(spark, root, "r", loads)
+    assert done.rows == {"population_quarterly": 2, "npr_by_type_quarterly": 4} and "log is full" in done.failures["population_quarterly"]
+
+
+def test_failed_load_keeps_its_traceback(spark, tmp_path):
+    def broken():
+        raise RuntimeError("x" * 5000)
+
+    refresh.load_all(spark, str(tmp_path), "r", [next(iter(simple_loads(spark, population_quarterly=broken)))])
+    notes = read_table(spark, str(tmp_path), "source_loads").first()["notes"]
+    assert "Traceback" in notes and "x" * 5000 in notes
+
+
+def test_lost_table_is_an_error_and_a_broken_swap_comes_back(spark, tmp_path):
+    root = str(tmp_path)
+    wanted = ("population_quarterly", "naturalized_by_country_census")
+    refresh.load_all(spark, root, "r", [load for load in simple_loads(spark) if load.meta.dataset_key in wanted])
+    for name, rows in (("naturalized_by_country_census", 3), ("population_quarterly", 2)):
+        (tmp_path / name).rename(tmp_path / f".{name}.old-1")
+        assert read_table(spark, root, name).count() == rows
+    (tmp_path / "population_quarterly" / "geo=Canada").rename(tmp_path / "population_quarterly" / ".geo=Canada.old-2")
+    assert read_table(spark, root, "population_quarterly").count() == 2
+    assert read_table(spark, root, "npr_by_type_quarterly").count() == 0
+    (tmp_path / "population_quarterly").rename(tmp_path / "elsewhere")
+    with pytest.raises(LostTable):
+        read_table(spark, root, "population_quarterly")
+
+
+def test_sections_of_any_size(spark, tmp_path):
+    rows = spark.range(120_000).select(F.col("id").alias("year"), F.lit("a").alias("country"), F.lit(1).alias("count"))
+    assert documents.publish(documents.Document(spark.range(1), {"data": rows}), str(tmp_path), "x.json")
+    assert spark.read.json(documents.section_path(str(tmp_path), "x.json", "data")).count() == 120_000
+
+
+@pytest.mark.parametrize("name, tables", [
+    ("origin_temp_current.json", 3), ("origin_naturalized.json", 2), ("origin_pr_current.json", 1), ("visa_streams_current.json", 1),
+])
+def test_a_document_reads_a_table_once(spark, published, name, tables):
+    """The load log aside. Naturalised: once for the list, and its newest year from a column of its own."""
+    root, _, _ = published
+    head = documents.DOCUMENTS[name](refresh.warehouse(spark, root), documents.Export(as_of=2026, k=2)).head
+    head.write.format("noop").mode("overwrite").save()
+    plan = head._jdf.queryExecution().executedPlan().toString()
+    head.collect()
+    plan = head._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") - plan.count("source_loads") <= tables
+
+
 def test_closing_event_wins_within_one_instant(spark):
     at = datetime.datetime(2026, 1, 1)
     opened = lineage.run_event(spark, "r", at, "running")

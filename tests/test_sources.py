@@ -100,6 +100,8 @@ def test_best_resource(spark):
     assert {r["id"] for r in ties.filter("dataset = 'e'").collect()} == {"5", "6"}
     pinned = catalog.best_resources(df, ["dataset"], [], pinned=["3"]).collect()
     assert [r["id"] for r in pinned] == ["3"]
+    both = catalog.best_resources(df, ["dataset"], ["country", "citizenship", "holders"], required=["country"], pinned=["3"])
+    assert {(r["dataset"], r["id"], r["score"]) for r in both.collect()} == {("d", "3", None), ("e", "5", 2)}
     assert catalog.best_resources(df, ["dataset"], ["country"], min_score=9).count() == 0
 
 
