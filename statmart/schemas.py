@@ -12,7 +12,7 @@ _TYPES = {
     "bigint": T.LongType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
-    "strings": T.ArrayType(T.StringType()),
+    "array<string>": T.ArrayType(T.StringType()),
 }
 
 
@@ -34,76 +34,160 @@ class Table:
         return tuple(n for n, _, nullable in self.columns if not nullable)
 
 
-def _table(name: str, spec: str, key: str, slice_by: str | None = None) -> Table:
-    """``spec`` lists ``column:type``; a trailing ``?`` marks a nullable column."""
+def _table(name: str, ddl: str, key: tuple[str, ...], slice_by: str | None = None) -> Table:
+    """A table from its column list: name, type, and ``NOT NULL`` where a value is required."""
     columns = []
-    for item in spec.split():
-        column, kind = item.split(":")
-        columns.append((column, kind.rstrip("?"), kind.endswith("?")))
-    return Table(name, tuple(columns), tuple(key.split()), slice_by)
+    for item in ddl.split(","):
+        column, kind, *required = item.split()
+        columns.append((column, kind, required != ["NOT", "NULL"]))
+    return Table(name, tuple(columns), key, slice_by)
 
 
-_LINEAGE_TABLE = " source_table:string loaded_at:timestamp"
-_LINEAGE_DATASET = " source_dataset:string loaded_at:timestamp"
-
+# Names, columns, types and keys of the warehouse tables.
 POPULATION = _table(
     "population_quarterly",
-    "ref_date:date geo:string population:bigint" + _LINEAGE_TABLE,
-    "ref_date geo",
+    """
+    ref_date date NOT NULL,
+    geo string NOT NULL,
+    population bigint NOT NULL,
+    source_table string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("ref_date", "geo"),
     slice_by="geo",
 )
 STATUS_CENSUS = _table(
     "status_breakdown_census",
-    "census_year:int geo:string status:string count:bigint?" + _LINEAGE_TABLE,
-    "census_year geo status",
+    """
+    census_year int NOT NULL,
+    geo string NOT NULL,
+    status string NOT NULL,
+    count bigint,
+    source_table string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("census_year", "geo", "status"),
     slice_by="geo",
 )
 NPR = _table(
     "npr_by_type_quarterly",
-    "ref_date:date geo:string npr_type:string count:bigint?" + _LINEAGE_TABLE,
-    "ref_date geo npr_type",
+    """
+    ref_date date NOT NULL,
+    geo string NOT NULL,
+    npr_type string NOT NULL,
+    count bigint,
+    source_table string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("ref_date", "geo", "npr_type"),
 )
 STUDY = _table(
     "study_permits_monthly",
-    "ref_year:int ref_month:int country:string study_level:string province:string count:bigint?" + _LINEAGE_DATASET,
-    "ref_year ref_month country study_level province",
+    """
+    ref_year int NOT NULL,
+    ref_month int NOT NULL,
+    country string NOT NULL,
+    study_level string NOT NULL,
+    province string NOT NULL,
+    count bigint,
+    source_dataset string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("ref_year", "ref_month", "country", "study_level", "province"),
 )
 WORK = _table(
     "work_permits_monthly",
-    "ref_year:int ref_month:int program_stream:string country:string province:string count:bigint?" + _LINEAGE_DATASET,
-    "ref_year ref_month program_stream country province",
+    """
+    ref_year int NOT NULL,
+    ref_month int NOT NULL,
+    program_stream string NOT NULL,
+    country string NOT NULL,
+    province string NOT NULL,
+    count bigint,
+    source_dataset string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("ref_year", "ref_month", "program_stream", "country", "province"),
 )
 WORK_PROGRAMS = _table(
     "work_permit_programs_monthly",
-    "ref_year:int ref_month:int program_stream:string count:bigint?" + _LINEAGE_DATASET,
-    "ref_year ref_month program_stream",
+    """
+    ref_year int NOT NULL,
+    ref_month int NOT NULL,
+    program_stream string NOT NULL,
+    count bigint,
+    source_dataset string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("ref_year", "ref_month", "program_stream"),
 )
 ASYLUM = _table(
     "asylum_claimants_monthly",
-    "ref_year:int ref_month:int country:string province:string count:bigint?" + _LINEAGE_DATASET,
-    "ref_year ref_month country province",
+    """
+    ref_year int NOT NULL,
+    ref_month int NOT NULL,
+    country string NOT NULL,
+    province string NOT NULL,
+    count bigint,
+    source_dataset string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("ref_year", "ref_month", "country", "province"),
 )
 PERMANENT = _table(
     "permanent_residents_monthly",
-    "ref_year:int ref_month:int immigration_category:string country:string province:string count:bigint?"
-    + _LINEAGE_DATASET,
-    "ref_year ref_month immigration_category country province",
+    """
+    ref_year int NOT NULL,
+    ref_month int NOT NULL,
+    immigration_category string NOT NULL,
+    country string NOT NULL,
+    province string NOT NULL,
+    count bigint,
+    source_dataset string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("ref_year", "ref_month", "immigration_category", "country", "province"),
 )
 NATURALIZED = _table(
     "naturalized_by_country_census",
-    "census_year:int country:string count:bigint?" + _LINEAGE_TABLE,
-    "census_year country",
+    """
+    census_year int NOT NULL,
+    country string NOT NULL,
+    count bigint,
+    source_table string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("census_year", "country"),
 )
 RUNS = _table(
     "pipeline_runs",
-    "run_id:string started_at:timestamp finished_at:timestamp? status:string sources_fetched:strings? notes:string?",
-    "run_id started_at status",
+    """
+    run_id string NOT NULL,
+    started_at timestamp NOT NULL,
+    finished_at timestamp,
+    status string NOT NULL,
+    sources_fetched array<string>,
+    notes string
+    """,
+    ("run_id", "started_at", "status"),
 )
 LOADS = _table(
     "source_loads",
-    "load_id:string run_id:string dataset_key:string source_family:string source_id:string resource_id:string? "
-    "resource_name:string? reference_period:string? cadence:string? status:string loaded_at:timestamp notes:string?",
-    "load_id",
+    """
+    load_id string NOT NULL,
+    run_id string NOT NULL,
+    dataset_key string NOT NULL,
+    source_family string NOT NULL,
+    source_id string NOT NULL,
+    resource_id string,
+    resource_name string,
+    reference_period string,
+    cadence string,
+    status string NOT NULL,
+    loaded_at timestamp NOT NULL,
+    notes string
+    """,
+    ("load_id",),
 )
 
 TABLES = {

@@ -241,18 +241,21 @@ class Fixtures:
     @cached_property
     def sheet_cells(self) -> DataFrame:
         """One pivoted worksheet per market segment: a title, a blank row, a header,
-        the year marks, one more preamble row, then a row per customer."""
+        the year marks, one more preamble row, then a row per customer. It has a
+        column for every year there is."""
+        # A handful of values.
+        years = sorted(r[0] for r in self.table("orders").select(F.year("o_orderdate")).distinct().collect() if r[0])
+        notes = 2 + len(years)
         spent = self.table("orders").groupBy("o_custkey").agg(*[
             F.sum(F.when(F.year("o_orderdate") == y, F.floor("o_totalprice").cast("bigint"))).alias(f"y{y}")
-            for y in (1999, 2000)
+            for y in years
         ])
         people = self.customers.join(spent, F.col("c_custkey") == F.col("o_custkey"), "left")
         cells = [
             (0, F.when(F.col("c_custkey") % 7 == 0, " ").otherwise(F.col("n_name"))),
             (1, F.when(F.col("c_custkey") % 5 == 0, "sub")),
-            (2, F.coalesce(F.format_number("y1999", 0), F.lit("--"))),
-            (3, F.coalesce(F.format_number("y2000", 0), F.lit("--"))),
-            (4, F.col("c_custkey").cast("string")),
+            *[(2 + i, F.coalesce(F.format_number(f"y{y}", 0), F.lit("--"))) for i, y in enumerate(years)],
+            (notes, F.col("c_custkey").cast("string")),
         ]
 
         def cell(row: Column, col: int, value: Column, is_text: Column) -> Column:
@@ -261,13 +264,13 @@ class Fixtures:
 
         body = people.select(
             F.col("c_mktsegment").alias("sheet"),
-            F.inline(F.array(*[cell(F.col("c_custkey") + 5, i, v, F.lit(i < 4)) for i, v in cells])),
+            F.inline(F.array(*[cell(F.col("c_custkey") + 5, i, v, F.lit(i < notes)) for i, v in cells])),
         )
         preamble = [
-            (0, ["Claimants by country", None, None, None, None], True),
-            (2, ["Country", "Category", "1999", "2000", "Notes"], True),
-            (3, [None, None, "1999 Total", "2000 Total", "2001 YTD"], True),
-            (4, ["All countries", None, "1", "2", "3"], False),
+            (0, ["Claimants by country", *[None] * notes], True),
+            (2, ["Country", "Category", *map(str, years), "Notes"], True),
+            (3, [None, None, *[f"{y} Total" for y in years], f"{years[-1] + 1} YTD"], True),
+            (4, ["All countries", None, *[str(i + 1) for i in range(len(years) + 1)]], False),
         ]
         top = self.customers.select(F.col("c_mktsegment").alias("sheet")).distinct().select(
             "sheet",
@@ -291,6 +294,13 @@ class Fixtures:
             F.col("ts").alias("loaded_at"),
         )
 
+    @cached_property
+    def dataset_loads(self) -> DataFrame:
+        """The load log with the names of three warehouse tables for three kinds of events."""
+        names = {"click": "population_quarterly", "error": "npr_by_type_quarterly", "view": "status_breakdown_census"}
+        known = F.coalesce(*[F.when(F.col("dataset_key") == kind, name) for kind, name in names.items()])
+        return self.source_loads.withColumn("dataset_key", known)
+
     @cached_property
     def catalog(self) -> DataFrame:
         return self.table("part").select(

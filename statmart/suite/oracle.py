@@ -82,11 +82,11 @@ VIEWS = {
         "as place from places) group by 1, 2, 3, 4"
     ),
     "fx_sheet": (
-        "select c_mktsegment as sheet, c_custkey + 5 as row_idx, n_name as country, "
-        "sum(cast(floor(o_totalprice) as bigint)) filter (year(o_orderdate) = 1999) as y1999, "
-        "sum(cast(floor(o_totalprice) as bigint)) filter (year(o_orderdate) = 2000) as y2000 "
-        "from customer join nation on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey "
-        "where c_custkey % 5 <> 0 and c_custkey % 7 <> 0 group by c_mktsegment, c_custkey, n_name"
+        "select c_mktsegment as sheet, c_custkey + 5 as row_idx, n_name as country, y as ref_year, "
+        "sum(cast(floor(o_totalprice) as bigint)) filter (year(o_orderdate) = y) as n "
+        "from (select * from customer join nation on c_nationkey = n_nationkey), "
+        "(select distinct cast(year(o_orderdate) as int) as y from orders) left join orders on o_custkey = c_custkey "
+        "where c_custkey % 5 <> 0 and c_custkey % 7 <> 0 group by c_mktsegment, c_custkey, n_name, y"
     ),
     "fx_source_loads": (
         "select event_id as load_id, user_id as run_id, event_type as dataset_key, "
@@ -322,15 +322,22 @@ ORACLE = {
     "streams_grouped": _sql(
         "streams_now",
         f"select label, cast(n as bigint) as count, cast(total as bigint) as total, {_pct('n', 'total')} as pct from ("
-        f"select case when stream in ('1-URGENT', '2-HIGH') then 'First class' else {_LABELLED} end as label, "
-        "sum(cnt) as n, any_value(total) as total from streams_now group by 1)",
+        f"select {_LABELLED} as label, cnt as n, total from streams_now where stream not in ('1-URGENT', '2-HIGH') union all "
+        # The combined bar is there without a row, too.
+        "select 'First class', coalesce(sum(cnt) filter (stream in ('1-URGENT', '2-HIGH')), 0), any_value(total) from streams_now)",
+    ),
+    "streams_grouped_absent": _sql(
+        "streams_now",
+        f"select label, cast(n as bigint) as count, cast(total as bigint) as total, {_pct('n', 'total')} as pct from ("
+        f"select {_LABELLED} as label, cnt as n, total from streams_now union all "
+        "select 'None', 0, (select any_value(total) from streams_now))",
     ),
     "stream_panels": _sql(
         "streams_now",
         f"select panel, label, cast(cnt as bigint) as count, cast(t as bigint) as total, {_pct('cnt', 't')} as pct "
         f"from (select *, sum(cnt) over (partition by panel) as t from (select case when stream in ('1-URGENT', "
-        f"'2-HIGH') then 'First' when stream in ('3-MEDIUM', '5-LOW') then 'Second' end as panel, {_LABELLED} as label, "
-        "cnt from streams_now) where panel is not null)",
+        f"'2-HIGH') then 'First' else 'Second' end as panel, {_LABELLED} as label, coalesce(s.cnt, 0) as cnt from "
+        "(values ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('5-LOW'), ('9-NONE')) w(stream) left join streams_now s using (stream)))",
     ),
     "status_actual_and_estimated": _sql(
         "status_named",
@@ -414,14 +421,14 @@ ORACLE = {
     ),
     "unpivot_year_totals": _sql(
         "fx_sheet",
-        "select sheet, row_idx, ref_year, 0 as ref_month, country, '_' as province, cast(n as bigint) as count from ("
-        "select sheet, row_idx, country, 1999 as ref_year, y1999 as n from fx_sheet union all "
-        "select sheet, row_idx, country, 2000, y2000 from fx_sheet)",
+        "select sheet, row_idx, ref_year, 0 as ref_month, country, '_' as province, cast(n as bigint) as count from fx_sheet",
     ),
     "promote_header": (
-        "select sheet, cast(2 as bigint) as header_row, cast(col_idx as int) as col_idx, name from "
-        "(select distinct c_mktsegment as sheet from customer), (values (0, 'Country'), (1, 'Category'), "
-        "(2, '1999'), (3, '2000'), (4, 'Notes')) h(col_idx, name)"
+        "with years as (select cast(y as varchar) as name, cast(row_number() over (order by y) + 1 as int) as col_idx from "
+        "(select distinct year(o_orderdate) as y from orders)) "
+        "select sheet, cast(2 as bigint) as header_row, col_idx, name from (select distinct c_mktsegment as sheet from customer), "
+        "(select col_idx, name from years union all select 0, 'Country' union all select 1, 'Category' "
+        "union all select cast(max(col_idx) + 1 as int), 'Notes' from years)"
     ),
     "catalog_best_resource": (
         "select * from (select p_brand as dataset_id, p_partkey as id, p_name as name, p_type as description, "
@@ -463,9 +470,12 @@ ORACLE = {
         "pr_places",
         "select ref_year as year, "
         + ", ".join(
-            f"cast(sum(cnt) filter (country = 'NATION_{i}') as bigint) as \"NATION_{i}\"" for i in (0, 2, 5, 20, 24)
+            f"any_value(c.names[{i}]) as country_{i}, cast(sum(cnt) filter (country = c.names[{i}]) as bigint) as count_{i}"
+            for i in range(1, 11)
         )
-        + " from pr_places where ref_year between 1996 and 2000 group by 1",
+        + " from pr_places, (select list(country order by total desc, country) as names from (select country, sum(cnt) as total "
+        "from pr_places group by country order by total desc, country limit 10)) c "
+        "where ref_year between 1996 and 2000 and list_contains(c.names, country) group by 1",
     ),
     "origin_top_rows": _sql(
         "pr_places",
@@ -576,7 +586,8 @@ ORACLE = {
     "month_numbers": (
         "select month, cast(month_number as int) as month_number, count(*) as n from (select case o_orderstatus "
         "when 'F' then strftime(o_orderdate, '%B') when 'O' then concat(' ', upper(strftime(o_orderdate, '%b')), '. ') "
-        "else case month(o_orderdate) when 9 then 'sept' when 5 then '5' when 6 then 'Juin' end end as month, "
+        "else case month(o_orderdate) when 9 then 'sept' when 5 then '5' when 6 then 'Juin' when 7 then '13' when 8 then '-3' end "
+        "end as month, "
         "case when o_orderstatus in ('F', 'O') or month(o_orderdate) in (5, 9) then month(o_orderdate) else 0 end "
         "as month_number from orders) group by 1, 2"
     ),
@@ -593,9 +604,19 @@ ORACLE = {
         "fx_country_raw",
         "select en_year as \"EN_YEAR\", n, n as cut, greatest(n - 20, 0) as above_20, n % 7 as mod_7, "
         f"n / nullif(n % 3, 0) as ratio, {_pct('n', '1060')} as pct, cast(null as double) as no_pct, count(*) as n_rows "
-        f"from (select en_year, {_COUNT} as n from fx_country_raw) where en_year in ('1996', '1998', '2000') and n > 0 "
+        f"from (select en_year, {_COUNT} as n from fx_country_raw) where en_year is not null "
         "group by all",
     ),
+    "counts_of_chosen_years": _sql(
+        "fx_country_raw",
+        f"select en_year as \"EN_YEAR\", cast(sum({_COUNT}) as bigint) as n from fx_country_raw "
+        "where en_year in ('1996', '1998', '2000') group by 1",
+    ),
+    "positive_counts": _sql(
+        "fx_country_raw",
+        f"select en_year as \"EN_YEAR\", count(*) as n_rows, cast(sum(n - 10) as bigint) as above_10 from "
+        f"(select en_year, {_COUNT} as n from fx_country_raw) where n > 10 group by 1",
+    ),
     "nested_topk": _sql(
         "pr_places",
         "select ref_year, cast(rn - 1 as int) as place, country, cast(cnt as bigint) as count from (select *, "
@@ -608,3 +629,93 @@ ORACLE = {
         "left join streams_now s on s.stream = w.stream",
     ),
 }
+
+_BEST = ORACLE["catalog_best_resource"]
+ORACLE |= {
+    "catalog_pinned": (
+        f"with pinned as (select p_brand as dataset_id, p_partkey as id, p_name as name, p_type as description, "
+        "case when p_size % 2 = 0 then 'csv' else 'xlsx' end as format, p_size as last_modified, cast(null as int) as score from part "
+        "where p_partkey in (7, 8) qualify row_number() over (partition by p_brand order by p_size desc, p_name desc, p_partkey) = 1) "
+        f"select * from pinned union all select * from ({_BEST}) where dataset_id not in (select dataset_id from pinned)"
+    ),
+    "apportion_outlier": _sql(
+        "fx_part_weights",
+        """select category, part, count, cast(target // n + case when row_number() over (partition by category order by part)
+        <= target % n then 1 else 0 end as bigint) as scaled from (select category, case part when 'Part#000000001' then 'A'
+        else part end as part, cast(1 as bigint) as count, count(*) over (partition by category) as n,
+        count(*) over (partition by category) * 7 // 3 + 1 as target from fx_part_weights)""",
+    ),
+    # -- documents: the marts' answers in the documents' shape -------------------
+    "doc_population_current": (
+        f"select population, ref_date, 'Statistics Canada 17-10-0009-01' as source, 'Quarterly' as frequency "
+        f"from ({ORACLE['population_latest']})"
+    ),
+    "doc_population_history": ORACLE["population_history"],
+    "doc_status_breakdown": (
+        f"select mode, mode_total, status, label, count, ref_date, source from ({ORACLE['status_actual_and_estimated']})"
+    ),
+    "doc_census_snapshots": _sql(
+        "fx_census", "select census_year as year, status, cast(cnt as bigint) as count from fx_census where geo = 'ASIA'"
+    ),
+    "doc_visa_streams_current": (
+        "select ref_date, total as total_npr, cast(row_number() over (order by count desc, stream) - 1 as int) as place, "
+        f"stream, count, pct from ({ORACLE['streams_latest_share']})"
+    ),
+    "doc_visa_streams_history": (
+        f"select date, stream, count, cadence, source_origin from ({ORACLE['streams_history_blended']})"
+    ),
+    "doc_work_permit_sources": (
+        "select true as available, ref_year, total, cast(row_number() over (order by count desc, stream) - 1 as int) as place, "
+        f"stream, count, pct from ({ORACLE['programs_latest_share']})"
+    ),
+    "doc_origin_pr_current": (
+        "select ref_year, cast(row_number() over (order by count desc, country) - 1 as int) as place, country, count "
+        f"from ({ORACLE['origin_top10']})"
+    ),
+    "doc_origin_pr_history": ORACLE["origin_top10_history"],
+    "doc_origin_temp_current": (
+        f"select stream, ref_year, rank - 1 as place, country, count from ({ORACLE['temp_top10_by_stream']})"
+    ),
+    "doc_origin_naturalized": (
+        "select year as latest_census_year, cast(row_number() over (order by count desc, country) - 1 as int) as place, "
+        f"country, count from ({ORACLE['naturalized_top10']})"
+    ),
+    "doc_naturalized_all": ORACLE["naturalized_all"],
+    "doc_origin_overview": (
+        "select category, label, total, non_top as non_top_10, source_period, true as is_estimated, rank - 1 as place, "
+        f"country, count from ({ORACLE['origin_overview']}) where country is not null"
+    ),
+    "doc_freshness": _sql(
+        "fx_source_loads",
+        "select * from (with named as (select *, case dataset_key when 'click' then 'population_quarterly' when 'error' then 'npr_by_type_quarterly' "
+        "when 'view' then 'status_breakdown_census' end as name from fx_source_loads), "
+        "latest as (select * from named where name is not null "
+        "qualify row_number() over (partition by name order by loaded_at desc, load_id desc) = 1) "
+        "select true as stale, (select reference_period from named where name is not null and status = 'success' and "
+        "reference_period <> '' order by loaded_at desc, name desc, reference_period desc limit 1) as last_success_reference, "
+        f"name as dataset_key, status, reference_period, {_LOADED_AT} as loaded_at from latest)",
+    ),
+    "refresh_log": (
+        "with population as (" + ORACLE["population_load"].replace("'ASIA'", "'AFRICA'") + "), "
+        "npr as (" + ORACLE["npr_load"] + "), status as (select * from (" + ORACLE["status_fanout"] + ") where geo = 'AFRICA'), country as (" + ORACLE["country_annual"] + "), "
+        "programs as (" + ORACLE["programs_annual"] + "), "
+        "naturalized as (" + ORACLE["naturalized_region_filter"] + ") "
+        + " union all ".join(
+            f"select '{key}' as dataset_key, 'success' as status, '{key} csv' as resource_name, "
+            f"concat(min({at}), ' to ', max({at})) as reference_period, "
+            f"count(*) as n_rows, cast(sum({value}) as bigint) as total from {view}"
+            for key, view, at, value in (
+                ("population_quarterly", "population", "ref_date", "population"),
+                ("npr_by_type_quarterly", "npr", "ref_date", "count"),
+                ("status_breakdown_census", "status", "census_year", "count"),
+                ("naturalized_by_country_census", "naturalized", "census_year", "count"),
+                ("work_permit_programs_monthly", "programs", "ref_year", "count"),
+                ("permanent_residents_monthly", "country", "ref_year", "count"),
+            )
+        )
+        + "".join(
+            f" union all select '{key}', 'failed', null, null, null, null"
+            for key in ("study_permits_monthly", "work_permits_monthly", "asylum_claimants_monthly")
+        )
+    ),
+}

@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statmart import codes
+from statmart import codes, schemas
 from statmart import functions as fn
 from statmart.operators import dedupe, lineage, rollup, series
 from statmart.operators.apportion import apportion
-from statmart.plans import loads, marts, views
+from statmart.plans import documents, loads, marts, views
+from statmart.plans.landing import chosen_resources, landing_loads
+from statmart.plans.refresh import load_all
 from statmart.session import materialized, scratch_path
 from statmart.sinks import publish_document, replace_slice, replace_table
 from statmart.sources import catalog, grid, warehouse
@@ -95,9 +97,14 @@ def _(fx):
     return views.streams_grouped(marts.streams_latest(fx.npr, GEO), _FIRST_CLASS, "First class", _LABELS)
 
 
+@query("streams_grouped_absent")
+def _(fx):
+    return views.streams_grouped(marts.streams_latest(fx.npr, GEO), ("8-NONE", "9-NONE"), "None", _LABELS)
+
+
 @query("stream_panels")
 def _(fx):
-    panels = {"First": _FIRST_CLASS, "Second": ("3-MEDIUM", "5-LOW")}
+    panels = {"First": _FIRST_CLASS, "Second": ("3-MEDIUM", "5-LOW", "9-NONE")}
     # Views read published rows; written once, their filters do not reach back into the mart.
     return views.stream_panels(materialized(marts.streams_latest(fx.npr, GEO)), panels, _LABELS)
 
@@ -200,11 +207,17 @@ def _(fx):
     return grid.promote_header(fx.sheet_cells)
 
 
+_WORDS = ["ring", "small", "red", "economy"]
+
+
 @query("catalog_best_resource")
 def _(fx):
-    return catalog.best_resources(
-        fx.catalog, ["dataset_id"], ["ring", "small", "red", "economy"], required=["e"], min_score=2
-    )
+    return catalog.best_resources(fx.catalog, ["dataset_id"], _WORDS, required=["e"], min_score=2)
+
+
+@query("catalog_pinned")
+def _(fx):
+    return catalog.best_resources(fx.catalog, ["dataset_id"], _WORDS, required=["e"], min_score=2, pinned=[7, 8])
 
 
 @query("dedupe_keep_first")
@@ -241,9 +254,8 @@ def _(fx):
 
 @query("origin_countries_pivot")
 def _(fx):
-    shown = [f"NATION_{i}" for i in (0, 2, 5, 20, 24)]
     history = marts.naturalized_all(fx.permanent.withColumnRenamed("ref_year", "census_year"), PLACES)
-    return views.countries_wide(history, shown, 1996, 2000)
+    return views.countries_wide(materialized(history), 10, 1996, 2000)
 
 
 @query("origin_top_rows")
@@ -288,6 +300,14 @@ def _(fx):
     return apportion(fx.part_weights, thirds(fx.part_weights), ["category"], "part")
 
 
+@query("apportion_outlier")
+def _(fx):
+    # Equal weights, one key far before all others.
+    key = F.when(F.col("part") == F.lit("Part#000000001"), "A").otherwise(F.col("part"))
+    flat = fx.part_weights.select("category", key.alias("part"), F.lit(1).cast("bigint").alias("count"))
+    return apportion(flat, thirds(flat), ["category"], "part")
+
+
 @query("topk_with_other")
 def _(fx):
     return views.top_with_other(fx.permanent, ["ref_year"], "country", k=5)
@@ -368,6 +388,168 @@ def _(fx):
     )
 
 
+# -- documents: published from the fixture tables, read back, flattened ---------
+
+
+def _publish(fx: Fixtures, name: str) -> str:
+    """Publish one document from tables shaped like the warehouse; returns the folder."""
+    by_stream = {s: fx.permits.filter(F.col("stream") == s).drop("stream") for s in ("study", "work", "asylum")}
+    tables = {
+        schemas.POPULATION: fx.population, schemas.NPR: fx.npr, schemas.STATUS_CENSUS: fx.census,
+        schemas.STUDY: by_stream["study"], schemas.WORK: by_stream["work"], schemas.ASYLUM: by_stream["asylum"],
+        schemas.WORK_PROGRAMS: loads.work_permit_programs(fx.programs_raw), schemas.PERMANENT: fx.permanent,
+        schemas.NATURALIZED: fx.naturalized, schemas.LOADS: fx.dataset_loads,
+    }
+    export = documents.Export(
+        as_of=AS_OF, geo=GEO, places=PLACES, first_annual_year=1995, first_quarterly_year=2000, failures={schemas.NPR.name: "no answer"}
+    )
+    folder = scratch_path(fx.spark, "published")
+    documents.publish(documents.DOCUMENTS[name]({t.name: df for t, df in tables.items()}, export), folder, name)
+    return folder
+
+
+def _document(fx: Fixtures, name: str, schema: str) -> DataFrame:
+    return warehouse.read_document(fx.spark, f"{_publish(fx, name)}/{name}", schema)
+
+
+def _section(fx: Fixtures, name: str, section: str, schema: str) -> DataFrame:
+    return fx.spark.read.schema(schema).json(documents.section_path(_publish(fx, name), name, section))
+
+
+def _places(df: DataFrame, *others: str, at: str = "top10") -> DataFrame:
+    return df.select(*others, F.posexplode(at).alias("place", "row")).select(*others, "place", "row.*")
+
+
+_LISTED = "array<struct<country:string,count:bigint>>"
+
+
+@query("doc_population_current")
+def _(fx):
+    return _document(fx, "population_current.json", "population bigint, ref_date date, source string, frequency string")
+
+
+@query("doc_population_history")
+def _(fx):
+    return _section(fx, "population_history.json", "data", "date date, population bigint")
+
+
+@query("doc_status_breakdown")
+def _(fx):
+    row = "array<struct<status:string,label:string,count:bigint,ref_date:date,source:string>>"
+    doc = _document(fx, "status_breakdown.json", f"actual_latest struct<rows:{row},total:bigint>, estimated_latest struct<rows:{row},total:bigint>")
+    modes = [
+        F.struct(F.lit(mode).alias("mode"), F.col(f"{mode}_latest.total").alias("mode_total"), F.col(f"{mode}_latest.rows").alias("rows"))
+        for mode in ("actual", "estimated")
+    ]
+    return doc.select(F.inline(F.array(*modes))).select("mode", "mode_total", F.inline("rows"))
+
+
+@query("doc_census_snapshots")
+def _(fx):
+    return _section(fx, "status_breakdown.json", "census_snapshots", "year int, status string, count bigint")
+
+
+@query("doc_visa_streams_current")
+def _(fx):
+    row = "array<struct<stream:string,count:bigint,pct:double>>"
+    doc = _document(fx, "visa_streams_current.json", f"ref_date date, total_npr bigint, streams {row}")
+    return _places(doc, "ref_date", "total_npr", at="streams")
+
+
+@query("doc_visa_streams_history")
+def _(fx):
+    schema = "date date, stream string, count bigint, cadence string, source_origin string"
+    return _section(fx, "visa_streams_history.json", "data", schema)
+
+
+@query("doc_work_permit_sources")
+def _(fx):
+    row = "array<struct<stream:string,count:bigint,pct:double>>"
+    doc = _document(fx, "work_permit_sources_current.json", f"available boolean, ref_year int, total bigint, streams {row}")
+    return _places(doc, "available", "ref_year", "total", at="streams")
+
+
+@query("doc_origin_pr_current")
+def _(fx):
+    return _places(_document(fx, "origin_pr_current.json", f"ref_year int, top10 {_LISTED}"), "ref_year")
+
+
+@query("doc_origin_pr_history")
+def _(fx):
+    return _section(fx, "origin_pr_history.json", "data", "year int, country string, count bigint")
+
+
+@query("doc_origin_temp_current")
+def _(fx):
+    fields = {"study": "study_permits", "work": "work_permits", "asylum": "asylum_claimants"}
+    doc = _document(fx, "origin_temp_current.json", ", ".join(f"{f} struct<ref_year:int,top10:{_LISTED}>" for f in fields.values()))
+    streams = [F.struct(F.lit(s).alias("stream"), F.col(f"{f}.ref_year"), F.col(f"{f}.top10")) for s, f in fields.items()]
+    return _places(doc.select(F.inline(F.array(*streams))), "stream", "ref_year")
+
+
+@query("doc_origin_naturalized")
+def _(fx):
+    return _places(_document(fx, "origin_naturalized.json", f"latest_census_year int, top10 {_LISTED}"), "latest_census_year")
+
+
+@query("doc_naturalized_all")
+def _(fx):
+    return _section(fx, "origin_naturalized.json", "all_census_data", "year int, country string, count bigint")
+
+
+@query("doc_origin_overview")
+def _(fx):
+    category = (
+        f"category:string,label:string,total:bigint,top10:{_LISTED},non_top_10:bigint,source_period:string,is_estimated:boolean"
+    )
+    doc = _document(fx, "origin_overview.json", f"categories array<struct<{category}>>")
+    rows = doc.select(F.inline("categories"))
+    return _places(rows, "category", "label", "total", "non_top_10", "source_period", "is_estimated")
+
+
+@query("doc_freshness")
+def _(fx):
+    source = "array<struct<dataset_key:string,status:string,reference_period:string,loaded_at:string>>"
+    schema = f"freshness struct<stale:boolean,last_success_reference:string,sources:{source}>"
+    doc = _document(fx, "status_breakdown.json", schema)
+    return doc.select("freshness.stale", "freshness.last_success_reference", F.inline("freshness.sources"))
+
+
+# -- loads into a warehouse, from extracts as they lie in a landing folder ------
+
+
+@query("refresh_log")
+def _(fx):
+    landing, root = scratch_path(fx.spark, "landing"), scratch_path(fx.spark, "warehouse")
+    # Written as the sources publish them: comma-separated, and tab-separated; two sources have nothing.
+    comma = {
+        schemas.POPULATION.name: fx.population_raw.orderBy("_row").drop("_row"),
+        schemas.NPR.name: fx.population_raw.orderBy("_row").drop("_row"),
+        schemas.STATUS_CENSUS.name: fx.census_raw,
+        schemas.NATURALIZED.name: fx.census_raw,
+    }
+    tab = {schemas.WORK_PROGRAMS.name: fx.programs_raw, schemas.PERMANENT.name: fx.country_raw}
+    for extracts, sep in ((comma, ","), (tab, "\t")):
+        for name, df in extracts.items():
+            df.write.options(header=True, sep=sep).csv(f"{landing}/{name}")
+    # A catalog of the landing folder: the best resource of each dataset is the one that is there.
+    listed = [(name, f"{name}-{kind}", f"{name} {kind}", kind, f"{landing}/{name}") for name in (*comma, *tab) for kind in ("csv", "xlsx")]
+    offers = fx.spark.createDataFrame(listed, "dataset_key string, id string, name string, format string, url string")
+    offers = offers.withColumn("description", F.lit(None).cast("string"))
+    types = {s: s.split("-")[1].lower().replace(" ", "_") for s in STREAMS[:4]}
+    sources = landing_loads(fx.spark, chosen_resources(offers, ["landing"]), geo="AFRICA", npr_types=types, npr_column="TYPE")
+    load_all(fx.spark, root, "run", sources)
+    totals = reduce(DataFrame.unionByName, [
+        warehouse.read_table(fx.spark, root, name).agg(
+            F.lit(name).alias("dataset_key"), F.count("*").alias("n_rows"),
+            F.sum("population" if name == schemas.POPULATION.name else "count").alias("total"),
+        )
+        for name in (*comma, *tab)
+    ])
+    log = warehouse.read_table(fx.spark, root, schemas.LOADS.name)
+    return log.select("dataset_key", "status", "resource_name", "reference_period").join(totals, "dataset_key", "left")
+
+
 # -- functions -----------------------------------------------------------------
 
 
@@ -407,6 +589,8 @@ def _(fx):
         .when(n == 9, "sept")
         .when(n == 5, F.lit("5"))
         .when(n == 6, "Juin")
+        .when(n == 7, "13")
+        .when(n == 8, "-3")
     )
     return fx.table("orders").select(name.alias("month"), fn.month_number(name).alias("month_number")).groupBy(
         "month", "month_number"
@@ -438,14 +622,13 @@ def _(fx):
 
 @query("scalar_math")
 def _(fx):
-    cells = fx.country_raw.filter(F.col("EN_YEAR").isin("1996", "1998", "2000"))
     n = F.col("n")
-    numbers = cells.groupBy("EN_YEAR", "TOTAL").agg(F.count("*").alias("n_rows")).select(
+    numbers = fx.country_raw.groupBy("EN_YEAR", "TOTAL").agg(F.count("*").alias("n_rows")).select(
         "EN_YEAR", "n_rows",
         fn.parse_count(fn.drop_null_tokens("TOTAL")).alias("n"),
         fn.parse_count(F.concat("TOTAL", F.lit(".6"))).alias("cut"),
     )
-    return numbers.filter(n > 0).select(
+    return numbers.select(
         "EN_YEAR", "n_rows", "n", "cut",
         fn.not_negative(n - 20).alias("above_20"),
         (n % 7).alias("mod_7"),
@@ -455,6 +638,18 @@ def _(fx):
     )
 
 
+@query("counts_of_chosen_years")
+def _(fx):
+    chosen = fx.country_raw.filter(F.col("EN_YEAR").isin("1996", "1998", "2000"))
+    return chosen.groupBy("EN_YEAR").agg(F.sum(fn.parse_count(fn.drop_null_tokens("TOTAL"))).alias("n"))
+
+
+@query("positive_counts")
+def _(fx):
+    n = fn.parse_count(fn.drop_null_tokens("TOTAL")) - 10
+    return fx.country_raw.filter(n > 0).groupBy("EN_YEAR").agg(F.count("*").alias("n_rows"), F.sum(n).alias("above_10"))
+
+
 @query("nested_topk")
 def _(fx):
     sums = marts.place_sums(fx.permanent, ["ref_year"], PLACES)
@@ -471,9 +666,9 @@ def _(fx):
 
 @query("map_lookup")
 def _(fx):
-    latest = marts.streams_latest(fx.npr, GEO)
-    one = latest.agg(F.map_from_entries(F.collect_list(F.struct("stream", "count"))).alias("counts"))
     wanted = ["1-URGENT", "3-MEDIUM", "missing"]
+    latest = marts.streams_latest(fx.npr, GEO).filter(F.col("stream").isin(*wanted))
+    one = latest.agg(F.map_from_entries(F.collect_list(F.struct("stream", "count"))).alias("counts"))
     entries = [
         F.struct(
             F.lit(s).alias("stream"),
