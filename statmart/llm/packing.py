@@ -48,7 +48,7 @@ SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: Letters that are the same in lower case and composed form, then marks of ASCII but the apostrophe.
 WORD_AND_MARKS = re.compile(r"([a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]*)([!-&(-/:-@\[-`{-~]*)")
 #: Parts remembered per task; cleared when full.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 def byte_characters() -> dict[int, int]:
