@@ -57,7 +57,7 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
     order = [F.col("_rest").desc(), F.col("_weight").desc(), F.col(key)]
     placed = chunked(parts, [*by, *order])
     left_over = placed.groupBy(*by).agg((F.max("_target") - F.sum("_base")).alias("_left_over"))
-    ranked = sums_before(placed, by, order, {"_before": F.lit(1)}).join(left_over, by)
+    ranked = sums_before(placed, by, {"_before": F.lit(1)}).join(left_over, by)
     extra = F.when(F.col("_before") < F.col("_left_over"), 1).otherwise(0)
     return ranked.select(*by, key, F.col("_weight").alias(weight), (F.col("_base") + extra).cast("bigint").alias(scaled))
 
