@@ -53,22 +53,26 @@ def perspectives(turns: DataFrame) -> DataFrame:
 
     ``train_start`` and ``train_end`` are null where nothing is trained on.
     """
-    order = ["conv_id", "turn", "role", "digest"]
-    rows = turns.select("conv_id", "turn", "role", "text").withColumn("digest", F.col("text"))
-    placed = sums_before(chunked(rows, order), ["conv_id"], order, {"seq": F.lit(1)}).drop("digest")
+    ordered = chunked(turns.select("conv_id", "turn", "role", "text"), ["conv_id", "turn", "role", "text"])
+    # Places and lengths are worked out on slim rows; texts are joined to them at the end.
+    slim = ordered.select(
+        "conv_id", "turn", "role", "chunk", "place", (F.length(escaped(F.col("text"))) + len(END) + 1).alias("length")
+    )
+    numbered = sums_before(slim, ["conv_id"], {"seq": F.lit(1)})
     speakers = (
         turns.where(F.col("role").isNotNull() & (F.col("role") != SYSTEM))
         .select(F.col("conv_id").alias("conv"), F.col("role").alias("participant")).distinct()
     )
-    seen = placed.join(speakers, F.col("conv_id").eqNullSafe(F.col("conv"))).drop("conv")
+    seen = numbered.join(speakers, F.col("conv_id").eqNullSafe(F.col("conv"))).drop("conv")
     is_assistant = F.coalesce(F.col("role") == F.col("participant"), F.lit(False))
     marked = seen.withColumn("is_assistant", is_assistant).withColumn(
         "marker", F.when(F.col("is_assistant"), "<|assistant|>\n").otherwise(header(F.col("role")))
-    ).withColumn("segment", F.concat("marker", escaped(F.col("text")), F.lit(END + "\n")))
-    located = sums_before(marked, ["conv_id", "participant"], ["seq"], {"start": F.length("segment").cast("long")})
-    end = F.col("start") + F.length("segment")
-    return located.select(
-        "conv_id", "participant", F.col("seq").cast("long"), "turn", F.col("role").alias("speaker"), "is_assistant", "segment",
+    ).withColumn("length", F.col("length") + F.length("marker"))
+    located = sums_before(marked, ["conv_id", "participant"], {"start": F.col("length").cast("long")})
+    end = F.col("start") + F.col("length")
+    return located.join(ordered.select("place", "text"), "place").select(
+        "conv_id", "participant", F.col("seq").cast("long"), "turn", F.col("role").alias("speaker"), "is_assistant",
+        F.concat("marker", escaped(F.col("text")), F.lit(END + "\n")).alias("segment"),
         "start", end.alias("end"),
         F.when(F.col("is_assistant"), F.col("start") + F.length("marker")).alias("train_start"),
         F.when(F.col("is_assistant"), end - 1).alias("train_end"),
