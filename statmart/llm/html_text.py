@@ -65,7 +65,8 @@ NAMED = {
         "sidebar sidebars rail menu menus nav navbar navigation navigational breadcrumb breadcrumbs footer masthead header topbar toolbar "
         "notice notices cookie cookies consent gdpr alert popup modal overlay dialog newsletter subscribe subscription signup login "
         "comment comments commentlist disqus replies reply respond discussion share sharing social related recommended recommendations "
-        "widget widgets pagination pager skip search form contentinfo complementary copyright legal disclaimer tags toc".split(), -9.0
+        "widget widgets pagination pager skip search form contentinfo complementary copyright legal disclaimer tags toc "
+        "responses feedback recent popular trending teaser teasers blogroll sitemap crumbs hidden".split(), -9.0
     ),
     **dict.fromkeys("article articlebody post entry story content main maincontent body text prose".split(), 2.0),
 }

@@ -40,7 +40,7 @@ SLACK = 0.5
 FULL_LETTERS = 200
 UNKNOWN = "und"
 #: Code points worked on at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 _TABLES: dict[str, np.ndarray] = {}
@@ -125,11 +125,13 @@ def document_frequencies(texts: DataFrame, buckets: int = BUCKETS) -> tuple[np.n
 
 
 def spherical_means(vectors: np.ndarray, clusters: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids of length 1 and the least similarity of a member to each; starts far apart, no chance."""
-    mean = vectors.mean(axis=0)
-    chosen = [int(np.argmax(vectors @ mean))]
-    while len(chosen) < min(clusters, len(vectors)):
-        chosen.append(int(np.argmin((vectors @ vectors[chosen].T).max(axis=1))))
+    """Centroids of length 1 and the least similarity of a member to each.
+
+    Starts from members spread evenly by their similarity to the mean; no chance.
+    """
+    by_mean = np.argsort(vectors @ vectors.mean(axis=0), kind="stable")
+    clusters = min(clusters, len(vectors))
+    chosen = by_mean[(2 * np.arange(clusters) + 1) * len(vectors) // (2 * clusters)]
     centroids = vectors[chosen]
     for _ in range(rounds):
         member = (vectors @ centroids.T).argmax(axis=1)
