@@ -33,6 +33,8 @@ BUCKETS = 4096
 FACTORS = 8
 FIT_ROWS = 6000
 EPOCHS = 12
+#: A small sample is gone through more often, until there are as many steps.
+LEAST_STEPS = 600
 THRESHOLD = 0.7
 N_STRUCTURE = 13
 
@@ -84,7 +86,7 @@ def fit_machine(x: np.ndarray, y: np.ndarray, factors: int = FACTORS, epochs: in
     prior = np.clip(y.mean(), 0.01, 0.99)
     w0 = float(np.log(prior / (1 - prior)))
     first, second, steps = np.zeros_like(theta), np.zeros_like(theta), 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS * batch // max(1, len(x))))):
         order = chance.permutation(len(x))
         for start in range(0, len(x), batch):
             part = order[start:start + batch]
