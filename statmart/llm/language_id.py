@@ -116,7 +116,7 @@ def document_frequencies(texts: DataFrame, buckets: int = BUCKETS) -> tuple[np.n
 
     sums = texts.mapInArrow(count, "bucket int, lang string, n long").groupBy("bucket", "lang").agg(F.sum("n").alias("n"))
     frequencies, languages = np.zeros(buckets), {}
-    for row in sums.toLocalIterator():
+    for row in sums.collect():
         if row["bucket"] is not None:
             frequencies[row["bucket"]] = row["n"]
         else:
