@@ -33,7 +33,7 @@ def chosen_resources(catalog: DataFrame, keywords: Sequence[str], by: str = "dat
                      pinned: Sequence[str] = (), path: str = "url") -> dict[str, Resource]:
     """The best resource of every dataset in a catalog: one row per dataset."""
     best = best_resources(catalog, [by], keywords, required, pinned=pinned)
-    return {r[by]: Resource(r[path], r["id"], r["name"]) for r in best.select(by, path, "id", "name").toLocalIterator()}
+    return {r[by]: Resource(r[path], r["id"], r["name"]) for r in best.select(by, path, "id", "name").collect()}
 
 
 def census_extract(spark: SparkSession, path: str) -> DataFrame:
