@@ -295,6 +295,25 @@ def test_round_trip(spark, model):
     assert pieces.digests(df.limit(0), model).count() == 0
 
 
+def test_pieces_are_those_of_the_library(spark, model):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.piece_path())
+    chance = random.Random(3)
+    letters = "  \u2581aeinst.,\n0é漢\U0001F600ｆѣla"
+    texts = TEXTS + ["".join(chance.choices(letters, k=chance.randint(1, 400))) for _ in range(100)]
+    texts += ["".join(chance.choices("aeinstthe", k=k)) for k in (63, 64, 65, 66, 500, 5000)] + [" " * 1000 + "the" * 500]
+    texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in pieces.Encoder(model, pieces.Merger).encode(texts)]
+    assert ids == library.encode(texts)
+    query = {r["doc_id"]: (r["n_ids"], r["ids_crc32"]) for r in pieces.op8_sentencepiece(spark, SF).collect()}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        want = library.encode(r["text"])
+        assert query[r["doc_id"]] == (len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+    df = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    assert all(r["ids"] == library.encode(r["text"]) for r in pieces.encode_texts(df, model).select("row.text", "ids").collect())
+
+
 # Chat
 
 def test_chat_edges(spark):
