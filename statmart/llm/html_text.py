@@ -14,7 +14,8 @@ comments of the page source, and the document head.
 
 Defined results: null and empty pages give an empty text; broken markup is read
 as far as tags can be told (an open "<" without an end is text); unknown
-entities stay as written; repeated pages are extracted each by itself; extra
+entities stay as written; a head without an end tag ends where something
+stands that no head may hold; repeated pages are extracted each by itself; extra
 columns play no part; an empty table gives no rows. Pages are read whole.
 """
 
@@ -42,6 +43,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt rtc ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
+#: What may stand in a document head; any other start tag, and text, ends it, as its end tag may be left out.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: Elements that a start tag closes if they are the open parent.
 CLOSES = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -153,8 +156,12 @@ def read_blocks(page: str) -> list[Block]:
     while at < len(page):
         tag = TAG.search(page, at)
         if not tag:
+            if current.name == "head" and page[at:].strip():
+                current = current.parent
             add(page[at:])
             break
+        if current.name == "head" and page[at:tag.start()].strip():
+            current = current.parent
         add(page[at:tag.start()])
         at = tag.end()
         closing, name, attributes = (tag[1], tag[2], tag[3]) if tag[2] else (tag[4], tag[5], tag[6])
@@ -163,6 +170,8 @@ def read_blocks(page: str) -> list[Block]:
                 add(tag[0][9:-3] if tag[0].endswith("]]>") else tag[0][9:])
             continue
         name = name.lower()
+        if current.name == "head" and not closing and name not in IN_HEAD:
+            current = current.parent
         if name == "br" or name == "wbr":
             if name == "br" and parts:
                 parts.append(" ")

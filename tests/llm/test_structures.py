@@ -221,6 +221,19 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><meta charset=utf-8><body><article><p>All of it is here.</p></article></body></html>", "All of it is here."),
+    ("<head><link rel=x><script>a</script><style>b</style>\n<article><p>No body tag here.</p></article>", "No body tag here."),
+    ("<head><noscript><p>n</p></noscript><!-- c --><title>T</title></head><p>The head is closed.</p>", "The head is closed."),
+    ("<head><title>T</title>Words end a head too.", "Words end a head too."),
+    ("<head><title>T</title>Words end it.<p>And more follows.</p>", "Words end it. And more follows."),
+    ("<head><title>T</title> \n <br>Text after a break.", "Text after a break."),
+    ("<head><meta name=x><title>Only a head</title>", ""),
+])
+def test_heads_without_an_end(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_cut_is_minimal():
     chance = random.Random(5)
     for _ in range(60):
