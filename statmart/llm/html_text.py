@@ -73,6 +73,17 @@ NAMED = {
     ),
     **dict.fromkeys("article articlebody post entry story content main maincontent body text prose".split(), 2.0),
 }
+#: Of the objecting words, those that often tell of a page's layout when a wrapper of the article has them.
+LAYOUT = frozenset(
+    "sidebar sidebars rail menu menus nav navbar navigation navigational footer masthead header topbar toolbar banner search widgets "
+    "breadcrumb breadcrumbs pagination pager tags toc share sharing social login signup".split()
+)
+#: At the end of a name they make any word one of layout ("comments-open").
+STATES = frozenset("enabled disabled open opened closed on off active visible shown collapsed expanded sticky fixed".split())
+#: Before a word they make it one of layout ("has-sidebar").
+EXEMPT = frozenset(("has", "with", "no", "without"))
+#: Kinds of objections: of elements, roles and hidden ones; of names of other content; of names of layout.
+FIRM, OTHER, SOFT = range(3)
 HYPHENS = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 TAG = re.compile(
@@ -85,10 +96,28 @@ SPACES = re.compile(r"\s+")
 SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
+def _words(value: str) -> list[str]:
+    return HYPHENS.split(CAMEL.sub(r"\1-\2", value).lower())
+
+
+def _only_layout(names: list[str]) -> bool:
+    """Whether all objecting words of names are ones of layout."""
+    for name in " ".join(names).split():
+        words = [w for w in _words(name) if w]
+        if words and words[-1] not in STATES and any(
+                NAMED.get(w, 0.0) < 0 and w not in LAYOUT and before not in EXEMPT for before, w in zip(["", *words], words)):
+            return False
+    return True
+
+
 class Element:
-    """An open or closed element: name, parent, and the log odds its name and attributes give."""
+    """An open or closed element: name, parent, and the log odds its name and attributes give.
+
+    ``own`` is its own objection and ``kind`` the kind of it; ``frame`` says whether it is an article or main outside
+    of all articles, ``wrappers`` how many elements above it object by their names only.
+    """
 
-    __slots__ = ("name", "parent", "depth", "good", "bad", "silent", "article")
+    __slots__ = ("name", "parent", "depth", "good", "bad", "silent", "article", "own", "kind", "within", "frame", "wrappers")
 
     def __init__(self, name: str, parent: Element | None, attributes: str):
         self.name, self.parent = name, parent
@@ -99,22 +128,33 @@ class Element:
         if name == "header" and self.article:
             own = 0.0
         named = 0.0
+        kind = FIRM if own < 0 else SOFT
+        names: list[str] = []
         if attributes:
             for key, *values in ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), "".join(values)
                 if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
                     named = min(named, -9.0)
+                    kind = FIRM
                 elif key in ("class", "id", "role", "aria-label") and name not in ("html", "body"):
-                    words = HYPHENS.split(CAMEL.sub(r"\1-\2", value).lower())
+                    words = _words(value)
+                    if key == "role" and any(NAMED.get(w, 0.0) < 0 for w in words):
+                        kind = FIRM
+                    names.append(value)
                     for before, word in zip(["", *words], words):
                         odds = NAMED.get(word, 0.0)
-                        if before in ("has", "with", "no", "without") or word == "header" and self.article:
+                        if before in EXEMPT or word == "header" and self.article:
                             # What a wrapper says of its layout, and the head of an article.
                             odds = 0.0
                         named = odds if abs(odds) > abs(named) else named
         # The strongest approval and the strongest objection on the way up count.
         self.good = max(parent.good if parent else 0.0, own + named)
         self.bad = min(parent.bad if parent else 0.0, own + named)
+        self.own = min(0.0, own + named)
+        self.kind = OTHER if self.own < 0 and kind == SOFT and not _only_layout(names) else kind
+        self.within = bool(parent) and (parent.within or parent.name == "article")
+        self.frame = name in ("article", "main") and not self.within
+        self.wrappers = parent.wrappers + (parent.own < 0 and parent.kind != FIRM) if parent else 0
 
 
 class Block:
@@ -124,11 +164,46 @@ class Block:
         self.text, self.linked, self.parent = text, linked, parent
 
 
+def release(blocks: list[Block], frames: list[Element]) -> None:
+    """Takes what names of wrappers around the page's article or main object to from the blocks inside.
+
+    An article lifts objections of layout, a main all that names give; those of elements (nav, footer, aside, form),
+    roles and hidden ones stay. Only the articles (or mains) with the fewest such wrappers do so: where another one
+    stands free, a wrapper is not one of the page. Articles inside articles, such as comments, lift nothing.
+    """
+    least: dict[str, int] = {}
+    for frame in frames:
+        least[frame.name] = min(frame.wrappers, least.get(frame.name, frame.wrappers))
+    lifting = {id(f): f.name for f in frames if f.wrappers == least[f.name] > 0}
+    if not lifting:
+        return
+    known: dict[int, tuple[float, float, float]] = {}
+    for block in blocks:
+        path = []
+        node = block.parent
+        while node and id(node) not in known:
+            path.append(node)
+            node = node.parent
+        firm, other, soft = known[id(node)] if node else (0.0, 0.0, 0.0)
+        for node in reversed(path):
+            if id(node) in lifting:
+                other, soft = 0.0 if node.name == "main" else other, 0.0
+            if node.kind == FIRM:
+                firm = min(firm, node.own)
+            elif node.kind == OTHER:
+                other = min(other, node.own)
+            else:
+                soft = min(soft, node.own)
+            known[id(node)] = firm, other, soft
+            node.bad = min(firm, other, soft)
+
+
 def read_blocks(page: str) -> list[Block]:
     """The page's text blocks in order, with decoded references and single spaces."""
     root = Element("#root", None, "")
     current = root
     blocks: list[Block] = []
+    frames: list[Element] = []
     parts: list[str] = []
     linked, in_link = 0, 0
 
@@ -203,6 +278,8 @@ def read_blocks(page: str) -> list[Block]:
         if name in VOID or attributes.rstrip().endswith("/") and name not in INLINE and name in SILENT:
             continue
         current = Element(name, current, attributes)
+        if current.frame:
+            frames.append(current)
         in_link += name == "a"
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -210,6 +287,7 @@ def read_blocks(page: str) -> list[Block]:
             in_link -= name == "a"
             current = current.parent
     end_block()
+    release(blocks, frames)
     return blocks
 
 

@@ -234,6 +234,32 @@ def test_heads_without_an_end(page, text):
     assert html_text.main_text(page) == text
 
 
+STORY = "<article><p>A long sentence with quite a few words in it.</p></article>"
+STORY_TEXT = "A long sentence with quite a few words in it."
+OTHERS = "<p>I liked this very much, thank you. It was good to read.</p>"
+
+
+@pytest.mark.parametrize("page, text", [
+    *[(f"<div {names}>{STORY}</div>", STORY_TEXT) for names in (
+        "class='content sidebar-right'", "class=two-sidebars", "id=page class='search-enabled'", "class=comments-open", "class='nav-collapsed wrap'",
+    )],
+    (f"<div class=two-sidebars><main><div class=sidebar-left>{STORY}</div></main></div>", STORY_TEXT),
+    (f"<div class='newsletter'><main><p>{STORY_TEXT}</p></main></div>", STORY_TEXT),
+    # What is not the page's own stays cut.
+    *[(f"<{name}>{STORY}</{end}>", "") for name, end in (
+        ("nav", "nav"), ("footer", "footer"), ("aside", "aside"), ("form", "form"), ("div hidden", "div"), ("div class=comments", "div"),
+        ("div role=navigation", "div"), ("div style='display: none'", "div"),
+    )],
+    (f"<div class=two-sidebars>{STORY}<div class=sidebar><article>{OTHERS}</article></div></div>", STORY_TEXT),
+    (f"{STORY}<div class=sidebar><article>{OTHERS}</article></div>", STORY_TEXT),
+    (f"<main>{STORY}<section class=related><article>{OTHERS}</article></section></main>", STORY_TEXT),
+    (f"<div class=sidebar-right><article><p>{STORY_TEXT}</p><div id=comments><article>{OTHERS}</article></div></article></div>", STORY_TEXT),
+    (f"<div class=sidebar-right><article><p>{STORY_TEXT}</p><div class=share>{OTHERS}</div></article></div>", STORY_TEXT),
+])
+def test_names_of_wrappers(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_cut_is_minimal():
     chance = random.Random(5)
     for _ in range(60):
