@@ -28,7 +28,7 @@ No cap on buckets or partners, and no pair is written that is not to be verified
 
 Defined results: texts without words (null, empty, blank) are a class each;
 rows without doc_id have no class (null) and are kept; rows that repeat a
-doc_id are one document; the least doc_id stands for a class, so ties cannot
+doc_id are one document, whose texts are all compared; the least doc_id stands for a class, so ties cannot
 occur; an empty table gives no rows.
 """
 
@@ -182,6 +182,22 @@ def band_keys(codes: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _key(words: list[str]) -> bytes:
+    return hashlib.md5("\n".join(words).encode("utf-8", "surrogatepass")).digest()
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """key and text of the rows (doc_id, text) with words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHUNK):
+                texts = batch.column(1).slice(start, CHUNK)
+                words = map(words_of, texts.to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array([_key(w) if w else None for w in words], pa.binary()), texts], names=["key", "text"])
+
+    return docs.mapInArrow(run, "key binary, text string").where("key is not null")
+
+
 def signed(docs: DataFrame, weights) -> DataFrame:
     """doc_id, the two halves of the text's key (null without words) and its codes; ``weights`` is broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +209,7 @@ def signed(docs: DataFrame, weights) -> DataFrame:
                 for text in rows.column(1).to_pylist():
                     words = words_of(text)
                     if words:
-                        keys.append(hashlib.md5("\n".join(words).encode("utf-8", "surrogatepass")).digest())
+                        keys.append(_key(words))
                         codes.append(samples(*weighted(words, weights.value), tables).astype("<u4").tobytes())
                     else:
                         keys.append(None)
@@ -356,12 +372,20 @@ def near_classes(docs: DataFrame) -> DataFrame:
     nodes = materialized(
         keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("codes").alias("codes"))
     )
-    classes = node_classes(nodes.select("node", "codes"), slim.select(F.col("doc_id").alias("node"), "text"), weights)
-    of_rows = keyed.select("doc_id", "key").join(nodes.select("key", "node"), "key", "left").select(
-        "doc_id", F.coalesce("node", "doc_id").alias("node")
-    )
+    if nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        classes = node_classes(nodes.select("node", "codes"), slim.select(F.col("doc_id").alias("node"), "text"), weights)
+        named = nodes.join(classes, "node", "left").select("key", F.coalesce("class_id", "node").alias("class_id"))
+    else:
+        # An id would stand for several texts: nodes are numbered, and classes are named by their least id afterwards.
+        numbered = materialized(nodes.select("key", "codes", F.col("node").alias("least"), F.monotonically_increasing_id().alias("node")))
+        texts = keyed_texts(slim).join(numbered.select("key", "node"), "key").select("node", "text")
+        classes = node_classes(numbered.select("node", "codes"), texts, weights)
+        own = numbered.join(classes, "node", "left").select("key", "least", F.coalesce("class_id", "node").alias("number"))
+        names = own.groupBy("number").agg(F.min("least").alias("class_id"))
+        named = own.join(names, "number").select("key", "class_id")
     placed = materialized(
-        of_rows.join(classes, "node", "left").groupBy("doc_id", F.coalesce("class_id", "node").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
+        keyed.select("doc_id", "key").join(named, "key", "left")
+        .groupBy("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
     )
     # An id with several texts joins their classes.
     several = placed.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a < b")

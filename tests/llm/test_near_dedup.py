@@ -73,6 +73,16 @@ def test_group_around_the_threshold(spark, monkeypatch, block_rows):
     assert 20 < len(set(want.values())) < 80
 
 
+def test_all_texts_of_an_id_are_compared(spark):
+    chance = random.Random(5)
+    bases = [[f"{c}{chance.randrange(5000)}" for _ in range(200)] for c in "abcdef"]
+    near = [edited(b, 2, chance) for b in bases]
+    rows = [(20, " ".join(bases[0])), (20, " ".join(bases[1])), (30, near[1]), (25, near[0]), (50, " ".join(bases[2])), (60, near[2]),
+            (70, " ".join(bases[3])), (70, ""), (10, near[3]), (80, " ".join(bases[4])), (81, " ".join(bases[5])), (0, None), (1, " ")]
+    want = check_against_plain(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert want[30] == want[25] == 20 and want[60] == 50 and want[70] == 10 and want[0] == 0 and want[80] != want[81]
+
+
 def test_near_dedup_edges(spark):
     text = " ".join(f"w{i}" for i in range(100))
     rows = [(5, text), (3, text.upper()), (9, text + " tail"), (9, text + " tail"), (1, None), (2, ""), (4, " \n"), (None, text), (None, None),
