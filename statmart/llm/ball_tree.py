@@ -17,8 +17,8 @@ Defined results: rows whose id is null, or whose vector is null, empty or
 holds a null or non-finite component take no part; rows that repeat an id
 count as one (the smallest vector); vectors of different lengths are not
 compared; a query with fewer than k candidates returns all; an empty table
-gives no rows. Components must be below 2^31 in size after quantisation, and
-scores below 2^63.
+gives no rows. Components are kept in 64 bits where 32 do not hold them; components
+and scores must be below 2^63 in size after quantisation.
 """
 
 from __future__ import annotations
@@ -49,7 +49,13 @@ def quantised(vector: Column, scale: int = 256) -> Column:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values, "<i4").tobytes()
+    """Integers in 32 bits, or in 64 where one does not fit."""
+    fits = not values.size or -1 << 31 <= values.min() <= values.max() < 1 << 31
+    return np.ascontiguousarray(values, "<i4" if fits else "<i8").tobytes()
+
+
+def _unpacked(data: bytes, n_rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, "<i8" if len(data) == 8 * n_rows * dim else "<i4").reshape(n_rows, dim).astype(np.int64)
 
 
 def build_tree(vectors: np.ndarray, leaf_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -176,12 +182,12 @@ def search(trees: DataFrame, blocks: DataFrame, n_blocks: int, k: int) -> DataFr
         for batch in batches:
             for row in batch.itertuples(index=False):
                 query_ids = np.frombuffer(row.query_ids, np.int64)
+                row_ids = np.frombuffer(row.ids, np.int64)
                 ids, scores = search_tree(
-                    np.frombuffer(row.ids, np.int64),
-                    np.frombuffer(row.vectors, "<i4").reshape(-1, row.dim).astype(np.int64),
+                    row_ids, _unpacked(row.vectors, len(row_ids), row.dim),
                     np.frombuffer(row.spans, np.int64).reshape(-1, 2),
                     np.frombuffer(row.centres, float).reshape(-1, row.dim), np.frombuffer(row.radii, float),
-                    query_ids, np.frombuffer(row.queries, "<i4").reshape(-1, row.dim).astype(np.int64),
+                    query_ids, _unpacked(row.queries, len(query_ids), row.dim),
                     np.frombuffer(row.bounds, np.int64), k,
                 )
                 at, _ = hit = np.nonzero(scores != LOWEST)

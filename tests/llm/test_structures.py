@@ -102,6 +102,17 @@ def test_top_k_against_all_pairs(spark):
     assert ball_tree.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_components_beyond_32_bits(spark):
+    chance = random.Random(9)
+    rows = [(i, [chance.uniform(-1, 1) * 10.0 ** chance.choice((0, 3, 7)), *[chance.uniform(-9, 9) for _ in range(3)]]) for i in range(300)]
+    rows += [(400, [float(1 << 23), 0.0, 0.0, 0.0]), (450, [float(-(1 << 23)) - 1, 1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = df.select("vec_id", ball_tree.quantised(F.col("embedding")).alias("q"))
+    for shard_rows in (1000, 40):
+        found = ball_tree.top_k(vectors, F.col("vec_id") % 50 == 0, shard_rows=shard_rows, warm_shards=2).collect()
+        assert sorted(tuple(r) for r in found) == plain_top(rows, 5)
+
+
 def test_bounds_spare_leaves(monkeypatch):
     chance = np.random.default_rng(1)
     vectors = np.concatenate([chance.integers(-20, 20, (500, 6)) + c for c in chance.integers(-400, 400, (8, 6))])
