@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from statmart.llm.ball_tree import op4_exact_top_k
 from statmart.llm.chat_format import op10_chat_perspectives
+from statmart.llm.divergence import DIVERGENCE_SQL, op11_source_divergence
+from statmart.llm.fill_middle import FILL_IN_MIDDLE_SQL, op12_fill_in_middle
 from statmart.llm.html_text import op3_html_text
 from statmart.llm.language_id import op2_language_id
 from statmart.llm.near_dedup import op1_minhash_near_dedup
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_perspectives": op10_chat_perspectives,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 
@@ -106,4 +110,6 @@ ORACLE = {
     "op4_exact_top_k": TOP_K_SQL,
     "op7_url_filter": _url_filter_sql(),
     "op10_chat_perspectives": CHAT_SQL,
+    "op11_source_divergence": DIVERGENCE_SQL,
+    "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
 }
