@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from statmart.llm.ball_tree import op4_exact_top_k
 from statmart.llm.chat_format import op10_chat_perspectives
+from statmart.llm.cross_polytope import op13_embedding_near_dedup
 from statmart.llm.divergence import DIVERGENCE_SQL, op11_source_divergence
 from statmart.llm.fill_middle import FILL_IN_MIDDLE_SQL, op12_fill_in_middle
 from statmart.llm.html_text import op3_html_text
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_chat_perspectives": op10_chat_perspectives,
     "op11_source_divergence": op11_source_divergence,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 
