@@ -34,13 +34,16 @@ gives no rows; columns other than the three named do not take part.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from statmart.functions import div, wide
 from statmart.llm.common import table
@@ -52,71 +55,123 @@ SCALE = 1_000_000_000
 TOP_TERMS = 200
 #: Bytes of the prefixes of the first level; every level doubles them.
 FIRST_BYTES = 4
-#: Distinct terms of a block of documents; bounds a task's memory.
-BLOCK_TERMS = 150_000
-
-#: Bytes that part terms become spaces, A to Z become lower case, all others stay.
-LETTERS = bytes(
-    b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
-)
-
-BLOCK = "lang string, term binary, n_bytes int, docs array<bigint>, used array<struct<source:string,n:bigint>>"
+#: Bytes of the texts of a block; bounds a task's memory.
+BLOCK_BYTES = 20 << 20
+
+#: Bytes that part terms become 0, A to Z become lower case, all others stay.
+LETTERS = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
+
+BLOCK = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("term", T.BinaryType()), T.StructField("n_bytes", T.IntegerType()),
+    T.StructField("docs", T.ArrayType(T.LongType())),
+    T.StructField("used", T.ArrayType(T.StructType([T.StructField("source", T.StringType()), T.StructField("n", T.LongType())]))),
+])
+
+
+def letters_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All terms of the texts one after the other, and how many each text has."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    size = int(offsets[-1] - offsets[0])
+    whole = texts.buffers()[2]
+    letters = LETTERS[np.frombuffer(whole, np.uint8)[offsets[0]:offsets[-1]]] if size else np.zeros(0, np.uint8)
+    begins = offsets[:-1][np.diff(offsets) > 0] - offsets[0]
+    inside = letters > 0
+    # Whether the byte before, or behind, belongs to the same term.
+    joined = inside.copy()
+    joined[1:] &= inside[:-1]
+    joined[begins] = False
+    starts = np.flatnonzero(inside & ~joined)
+    joined[:-1] = joined[1:]
+    joined[-1:] = False
+    lengths = np.flatnonzero(inside & ~joined) + 1 - starts
+    places = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=places[1:])
+    terms = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(letters[inside])])
+    return terms, np.diff(np.searchsorted(starts, offsets - offsets[0]))
+
+
+def _lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
+    """Runs of so many values as lists."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), values)
+
+
+def block_rows(terms: pa.Array, n_terms: np.ndarray, langs: list[str], sources: list[str], first_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a block: its documents' terms one after the other, and each document's number of terms, lang and source."""
+    encoded = terms.dictionary_encode()
+    order = pc.sort_indices(encoded.dictionary)
+    ordered = encoded.dictionary.take(order)
+    n = len(ordered)
+    place = np.empty(n, np.int64)
+    place[order.to_numpy()] = np.arange(n)
+    names, lang_of = np.unique(np.array(langs, object), return_inverse=True)
+    source_names, source_of = np.unique(np.array(sources, object), return_inverse=True)
+
+    # Every term of every document once, sorted.
+    of_doc = np.repeat(np.arange(len(langs)), n_terms)
+    pairs, used = np.unique(of_doc * n + place[encoded.indices.to_numpy()], return_counts=True)
+    doc, term = np.divmod(pairs, max(n, 1))
+    # By how many levels a term's document counts already with the term before.
+    level = np.zeros(len(pairs), np.int64)
+    length = first_bytes
+    while True:
+        prefix = pc.binary_slice(ordered, 0, length)
+        same_prefix = pc.equal(prefix[1:], prefix[:-1]).to_numpy(zero_copy_only=False) if n else np.zeros(0, bool)
+        number = np.append(0, np.cumsum(~same_prefix))
+        shared = (doc[1:] == doc[:-1]) & (number[term[1:]] == number[term[:-1]])
+        if not shared.any():
+            break
+        level[1:] += shared
+        length *= 2
+    of_lang = lang_of[doc] * n + term
+    rows, row = np.unique(of_lang, return_inverse=True)
+    n_levels = int(level.max(initial=0)) + 1
+    docs = np.bincount(row * n_levels + level, minlength=len(rows) * n_levels).reshape(len(rows), n_levels).cumsum(axis=1)
+    cells, cell = np.unique(row * len(source_names) + source_of[doc], return_inverse=True)
+    totals = np.bincount(cell, weights=used, minlength=len(cells)).astype(np.int64)
+    per_row = np.bincount(cells // max(1, len(source_names)), minlength=len(rows))
+    row_lang, row_term = np.divmod(rows, max(n, 1))
+    texts = ordered.take(pa.array(row_term))
+    uses = pa.StructArray.from_arrays(
+        [pa.array(source_names, pa.string()).take(pa.array(cells % max(1, len(source_names)))), pa.array(totals)], names=["source", "n"]
+    )
+    whole = pa.RecordBatch.from_arrays([
+        pa.array(names, pa.string()).take(pa.array(row_lang)), texts.cast(pa.binary()), pc.binary_length(texts).cast(pa.int32()),
+        _lists(pa.array(docs.ravel()), np.full(len(rows), n_levels)), _lists(uses, per_row),
+    ], schema=to_arrow_schema(BLOCK))
+    for start in range(0, len(rows), 20_000):
+        yield whole.slice(start, 20_000)
 
 
-def term_blocks(docs: DataFrame, first_bytes: int = FIRST_BYTES, block_terms: int = BLOCK_TERMS) -> DataFrame:
+def term_blocks(docs: DataFrame, first_bytes: int = FIRST_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per block of documents its terms by language; ``docs`` holds text, lang and source.
 
     ``docs[i]`` counts the documents of the block for the term's prefix of
     ``first_bytes`` * 2^i bytes, the last entry for all longer ones too.
     """
-    used = pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())]))
-    schema = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("n_bytes", pa.int32()), ("docs", pa.list_(pa.int64())), ("used", used)])
-
-    def flushed(block: dict) -> Iterator[pa.RecordBatch]:
-        for lang, terms in block.items():
-            rows = sorted(terms.items())
-            for start in range(0, len(rows), 10_000):
-                part = rows[start:start + 10_000]
-                sums = []
-                for _, (counts, _) in part:
-                    total, line = 0, []
-                    for count in counts:
-                        total += count
-                        line.append(total)
-                    sums.append(line)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(part), pa.string()), pa.array([t for t, _ in part], pa.binary()),
-                    pa.array([len(t) for t, _ in part], pa.int32()), pa.array(sums, schema.field("docs").type),
-                    pa.array([[{"source": s, "n": n} for s, n in sources.items()] for _, (_, sources) in part], used),
-                ], schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: dict[str, dict] = {}
-        size = 0
+        held, size = [], 0
         for batch in batches:
-            texts, langs, sources = (batch.column(i) for i in range(3))
-            for text, lang, source in zip(texts, langs.to_pylist(), sources.to_pylist()):
-                terms = block.setdefault(lang, {})
-                known = len(terms)
-                before = b""
-                for term, n in sorted(Counter(text.as_buffer().to_pybytes().translate(LETTERS).split()).items()):
-                    level, length = 0, first_bytes
-                    while before[:length] == term[:length]:
-                        level, length = level + 1, length * 2
-                    before = term
-                    entry = terms.get(term)
-                    if entry is None:
-                        terms[term] = entry = ([], {})
-                    counts, by_source = entry
-                    while len(counts) <= level:
-                        counts.append(0)
-                    counts[level] += 1
-                    by_source[source] = by_source.get(source, 0) + n
-                size += len(terms) - known
-                if size >= block_terms:
-                    yield from flushed(block)
-                    block, size = {}, 0
-        yield from flushed(block)
+            texts = batch.column(0).cast(pa.large_binary())
+            langs, sources = (batch.column(i).to_pylist() for i in (1, 2))
+            # Cut so that no part is much larger than a block; a longer text is a part of its own.
+            ends = np.cumsum(pc.binary_length(texts).to_numpy())
+            start = 0
+            while start < len(texts):
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + block_bytes, "right")))
+                terms, n_terms = letters_of(texts.slice(start, stop - start))
+                held.append((terms, n_terms, langs[start:stop], sources[start:stop]))
+                size += int(ends[stop - 1] - before)
+                start = stop
+                if size >= block_bytes:
+                    yield from flushed(held)
+                    held, size = [], 0
+        if held:
+            yield from flushed(held)
+
+    def flushed(held: list) -> Iterator[pa.RecordBatch]:
+        terms, n_terms, langs, sources = zip(*held)
+        return block_rows(pa.concat_arrays(terms), np.concatenate(n_terms), sum(langs, []), sum(sources, []), first_bytes)
 
     return docs.select("text", "lang", "source").mapInArrow(run, BLOCK)
 
@@ -147,19 +202,22 @@ def share(n: Column, total: Column, n_terms: Column, scale: int = SCALE) -> Colu
 
 
 def gap(p: Column, q: Column) -> Column:
-    """floor((p - q)^2 / q); shares stay below 2^31, so the square fits."""
-    return div((p - q) * (p - q), q)
+    """floor((p - q)^2 / q); shares lie between 1 and ``SCALE`` + 1, so the square fits 64 bits."""
+    return F.call_function("div", (p - q) * (p - q), q)
 
 
-def exact_sum(value: Column | str) -> Column:
-    return F.sum(wide(value)).cast("decimal(38,0)")
+def exact_sum(value: Column) -> Column:
+    """A sum of 64-bit numbers that cannot overflow: halves are added up apart."""
+    high = F.shiftright(value, 32)
+    low = value - F.shiftleft(high, 32)
+    return (wide(F.sum(high)) * F.lit(1 << 32) + wide(F.sum(low))).cast("decimal(38,0)")
 
 
 def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = TOP_TERMS, first_bytes: int = FIRST_BYTES,
-               block_terms: int = BLOCK_TERMS) -> DataFrame:
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """lang, source, part, item, value and rank: all other sources (``pair``) and the source's most telling terms (``term``)."""
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    blocks = materialized(term_blocks(rows, first_bytes, block_terms))
+    blocks = materialized(term_blocks(rows, first_bytes, block_bytes))
     kept = materialized(kept_terms(blocks, least_docs, first_bytes))
     counts = materialized(
         blocks.join(kept, ["lang", "term"], "left_semi").select("lang", "term", F.inline("used"))
@@ -202,14 +260,18 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
         F.struct(F.col("other_source").alias("source"), F.col("source").alias("other_source"),
                  (wide(n) * wide(gap(q0, p) - gap(q0, p0))).cast("decimal(38,0)").alias("value")),
     )))
-    # What terms of both sides change beyond that.
+    # What terms of both sides change beyond that: both directions from one meeting of the two.
     q = F.col("other_p")
-    met = shares.join(other(shares).withColumnRenamed("other_term", "term"), ["lang", "term"]).where(is_pair)
+    met = shares.join(other(shares).withColumnRenamed("other_term", "term"), ["lang", "term"]).where("source < other_source")
     both = met.groupBy("lang", "source", "other_source").agg(
-        exact_sum(gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)).alias("value")
-    )
+        exact_sum(gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)).alias("there"),
+        exact_sum(gap(q, p) - gap(q, p0) - gap(q0, p) + gap(q0, p0)).alias("back"),
+    ).select("lang", F.inline(F.array(
+        F.struct("source", "other_source", F.col("there").alias("value")),
+        F.struct(F.col("other_source").alias("source"), F.col("source").alias("other_source"), F.col("back").alias("value")),
+    )))
     summed = reduce(DataFrame.unionByName, [empty, changes, both]).groupBy("lang", "source", "other_source").agg(
-        exact_sum("value").cast("bigint").alias("value")
+        F.sum("value").cast("bigint").alias("value")
     )
     # All ranks: as many rows as the language has other sources.
     ranked = top_per_key(summed, ["lang", "source"], [F.desc("value"), F.col("other_source")], 1 << 30, rank_as="rank")
