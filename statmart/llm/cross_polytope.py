@@ -37,13 +37,13 @@ compared. An empty table gives no rows; extra columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statmart.llm.common import table
 from statmart.llm.components import components
@@ -79,75 +79,60 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(size)
 
 
-def _size(dim: int) -> int:
-    """The power of two a vector is padded to; in few dimensions, signs alone would not make enough different rotations."""
-    return max(LEAST_SIZE, 1 << (dim - 1).bit_length())
-
-
-@lru_cache(maxsize=1024)
-def _signs(size: int, table_nr: int, function: int) -> np.ndarray:
-    return np.random.default_rng([size, table_nr, function]).choice([-1.0, 1.0], (3, size))
-
-
-@lru_cache(maxsize=64)
-def _combinations(functions: int) -> np.ndarray:
-    return np.array(list(product((0, 1), repeat=functions)))
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ x >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ x >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ x >> np.uint64(33)
 
 
-def table_keys(units: np.ndarray, table_nr: int, functions: int, probes: int) -> np.ndarray:
-    """The keys of the buckets of one table that each vector probes, nearest first."""
-    n, dim = units.shape
-    size = _size(dim)
-    padded = np.zeros((n, size))
-    padded[:, :dim] = units
-    vertices, gaps = [], []
-    for function in range(functions):
-        turned = padded
-        for signs in _signs(size, table_nr, function):
-            turned = hadamard(turned * signs)
-        near = np.argpartition(-np.abs(turned), 1, axis=1)[:, :2]
-        parts = np.take_along_axis(turned, near, axis=1)
-        order = np.argsort(-np.abs(parts), axis=1, kind="stable")
-        near, parts = np.take_along_axis(near, order, axis=1), np.take_along_axis(parts, order, axis=1)
-        vertices.append(2 * near + (parts < 0))
-        gaps.append((np.abs(parts[:, 0]) - np.abs(parts[:, 1])) ** 2)
-    choices = _combinations(functions)
-    far = np.stack(gaps, axis=1) @ choices.T
-    chosen = choices[np.argsort(far, axis=1, kind="stable")[:, :probes]]
-    keys = np.full(chosen.shape[:2], np.uint64(dim) << np.uint64(32) | np.uint64(table_nr), np.uint64)
-    for function in range(functions):
-        keys = _mixed(keys) ^ np.take_along_axis(vertices[function], chosen[:, :, function], axis=1).astype(np.uint64)
-    return _mixed(keys)
-
-
-@lru_cache(maxsize=256)
-def hash_plan(dim: int, n_rows: int, threshold: float, miss: float) -> tuple[int, int, int]:
-    """Functions per table, probes per table, and tables for this many vectors."""
-    vertices = 2 * _size(dim)
-    functions = 1
-    # Unrelated vectors meet in a table a few times at most.
-    while functions < MOST_FUNCTIONS and n_rows * min(2 ** functions, MOST_PROBES) ** 2 > 4 * vertices ** functions:
-        functions += 1
-    probes = min(2 ** functions, MOST_PROBES)
-    chance = np.random.default_rng(dim)
-    one, other = chance.normal(size=(2, 500, dim))
-    one /= np.linalg.norm(one, axis=1, keepdims=True)
-    other -= (other * one).sum(axis=1, keepdims=True) * one
-    other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-300)
-    near = threshold * one + np.sqrt(1 - threshold ** 2) * other
-    met = np.mean([
-        (table_keys(one, t, functions, probes)[:, :, None] == table_keys(near, t, functions, probes)[:, None, :]).any(axis=(1, 2)).mean()
-        for t in range(4)
-    ])
-    # Rather too many tables than too few.
-    met = min(max(met - 0.02, 0.01), 0.99)
-    return functions, probes, int(np.ceil(np.log(miss) / np.log(1 - met)))
+class HashTables:
+    """The hash tables for vectors of one length, so many of them: functions and probes per table, and how many tables."""
+
+    def __init__(self, dim: int, n_rows: int, threshold: float = THRESHOLD, miss: float = MISS):
+        # In few dimensions, signs alone would not make enough different rotations.
+        self.dim, self.size = dim, max(LEAST_SIZE, 1 << (dim - 1).bit_length())
+        self.functions = 1
+        # Unrelated vectors meet in a table a few times at most.
+        while self.functions < MOST_FUNCTIONS and n_rows * self.probes ** 2 > 4 * (2 * self.size) ** self.functions:
+            self.functions += 1
+        self.choices = np.array(list(product((0, 1), repeat=self.functions)))
+        chance = np.random.default_rng(dim)
+        one, other = chance.normal(size=(2, 500, dim))
+        one /= np.linalg.norm(one, axis=1, keepdims=True)
+        other -= (other * one).sum(axis=1, keepdims=True) * one
+        other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-300)
+        near = threshold * one + np.sqrt(1 - threshold ** 2) * other
+        met = np.mean([(self.keys(one, t)[:, :, None] == self.keys(near, t)[:, None, :]).any(axis=(1, 2)).mean() for t in range(4)])
+        # Rather too many tables than too few.
+        met = min(max(met - 0.02, 0.01), 0.99)
+        self.n_tables = int(np.ceil(np.log(miss) / np.log(1 - met)))
+
+    @property
+    def probes(self) -> int:
+        return min(2 ** self.functions, MOST_PROBES)
+
+    def keys(self, units: np.ndarray, table_nr: int) -> np.ndarray:
+        """The keys of the buckets of one table that each vector probes, nearest first."""
+        n, dim = units.shape
+        padded = np.zeros((n, self.size))
+        padded[:, :dim] = units
+        vertices, gaps = [], []
+        for function in range(self.functions):
+            turned = padded
+            for signs in np.random.default_rng([self.size, table_nr, function]).choice([-1.0, 1.0], (3, self.size)):
+                turned = hadamard(turned * signs)
+            near = np.argpartition(-np.abs(turned), 1, axis=1)[:, :2]
+            parts = np.take_along_axis(turned, near, axis=1)
+            order = np.argsort(-np.abs(parts), axis=1, kind="stable")
+            near, parts = np.take_along_axis(near, order, axis=1), np.take_along_axis(parts, order, axis=1)
+            vertices.append(2 * near + (parts < 0))
+            gaps.append((np.abs(parts[:, 0]) - np.abs(parts[:, 1])) ** 2)
+        far = np.stack(gaps, axis=1) @ self.choices.T
+        chosen = self.choices[np.argsort(far, axis=1, kind="stable")[:, :self.probes]]
+        keys = np.full(chosen.shape[:2], np.uint64(dim) << np.uint64(32) | np.uint64(table_nr), np.uint64)
+        for function in range(self.functions):
+            keys = _mixed(keys) ^ np.take_along_axis(vertices[function], chosen[:, :, function], axis=1).astype(np.uint64)
+        return _mixed(keys)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -159,16 +144,18 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 def buckets_of(nodes: DataFrame, n_nodes: int, threshold: float, miss: float) -> DataFrame:
     """key and node: all buckets each node probes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[int, HashTables] = {}
         for batch in batches:
             dims, ids = batch.column(2).to_numpy(), batch.column(0).to_numpy()
-            for dim in np.unique(dims):
+            for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
-                functions, probes, tables = hash_plan(int(dim), n_nodes, threshold, miss)
+                if dim not in tables:
+                    tables[dim] = HashTables(dim, n_nodes, threshold, miss)
                 for start in range(0, len(at), 2048):
                     part = at[start:start + 2048]
                     units = _matrix(batch.column(1).take(pa.array(part)))
-                    for table_nr in range(tables):
-                        keys = table_keys(units, table_nr, functions, probes)
+                    for table_nr in range(tables[dim].n_tables):
+                        keys = tables[dim].keys(units, table_nr)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(ids[part], keys.shape[1]))], names=["key", "node"]
                         )
@@ -374,24 +361,39 @@ def link_counts(classes: DataFrame, nodes: DataFrame, n_nodes: int, threshold: f
 # -- the operator --------------------------------------------------------------
 
 
-def unit_vector(vector: Column) -> Column:
-    """The vector scaled to length 1 in double precision; null if it takes no part."""
-    whole = F.transform(vector, lambda x: x.cast("double"))
-    finite = F.forall(whole, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    greatest = F.array_max(F.transform(whole, lambda x: F.abs(x)))
-    # First by the greatest component, so that no square overflows.
-    scaled = F.transform(whole, lambda x: x / greatest)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x))
-    return F.when((F.size(vector) > 0) & finite & (greatest > 0), F.transform(scaled, lambda x: x / length))
+def unit_vectors(rows: DataFrame) -> DataFrame:
+    """Rows with vec_id and v, and ``unit``: v scaled to length 1 in double precision; null if it takes no part."""
+    kind = rows.schema["v"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(1)
+            flat = vectors.flatten().cast(pa.float64())
+            values = flat.fill_null(np.nan).to_numpy(zero_copy_only=False)
+            lengths = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            usable = (lengths > 0) & (np.bincount(row, ~np.isfinite(values), len(lengths)) == 0)
+            greatest = np.zeros(len(lengths))
+            np.maximum.at(greatest, row, np.where(usable[row], np.abs(values), 0.0))
+            usable &= greatest > 0
+            # First by the greatest component, so that no square overflows.
+            kept = usable[row]
+            scaled = values[kept] / greatest[row[kept]]
+            norms = np.sqrt(np.bincount(row[kept], scaled * scaled, len(lengths)))
+            ends = np.append(0, np.cumsum(np.where(usable, lengths, 0)))
+            units = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(scaled / norms[row[kept]]), mask=pa.array(~usable))
+            yield pa.RecordBatch.from_arrays([batch.column(0), vectors, units], names=["vec_id", "v", "unit"])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["vec_id"], kind, T.StructField("unit", T.ArrayType(T.DoubleType()))]))
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD,
                  miss: float = MISS) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row."""
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"))
+    rows = unit_vectors(vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v")))
     # Two independent 64-bit hashes stand for a vector.
     prints = [F.xxhash64(F.lit(seed), "v").alias(f"print_{seed}") for seed in (1, 2)]
-    taking_part = rows.where("vec_id is not null").select("vec_id", "v", unit_vector(F.col("v")).alias("unit")).where("unit is not null")
+    taking_part = rows.where("vec_id is not null and unit is not null")
     nodes = materialized(
         taking_part.select("vec_id", "unit", *prints).groupBy("print_1", "print_2")
         .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit"))
@@ -414,7 +416,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     asked = taking_part.select("vec_id", F.struct(*prints).alias("print"))
     n_rows = nodes.agg(F.sum("n")).first()[0] or 0
     done = joined_by(asked, results, "print", F.col("n"), hot_limit(n_rows)).select("vec_id", "n_links", "component_id")
-    apart = rows.where(F.col("vec_id").isNull() | unit_vector(F.col("v")).isNull()).select(
+    apart = rows.where("vec_id is null or unit is null").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return done.unionByName(apart).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

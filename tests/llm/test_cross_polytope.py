@@ -100,7 +100,7 @@ def test_large_groups_are_split(spark, monkeypatch):
 @pytest.mark.parametrize("dim, n_rows", [(64, 10_000), (64, 10**7), (48, 10**5), (3, 1000)])
 def test_recall_at_the_threshold(dim, n_rows):
     """Pairs at exactly the threshold share a bucket in all but about one of a thousand cases."""
-    functions, probes, tables = cross_polytope.hash_plan(dim, n_rows, 0.95, cross_polytope.MISS)
+    tables = cross_polytope.HashTables(dim, n_rows)
     chance = np.random.default_rng(8)
     x = chance.normal(size=(3000, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -109,17 +109,17 @@ def test_recall_at_the_threshold(dim, n_rows):
     z /= np.linalg.norm(z, axis=1, keepdims=True)
     y = 0.95 * x + np.sqrt(1 - 0.95 ** 2) * z
     met = np.zeros(len(x), bool)
-    for t in range(tables):
-        keys = [cross_polytope.table_keys(v, t, functions, probes) for v in (x, y)]
+    for t in range(tables.n_tables):
+        keys = [tables.keys(v, t) for v in (x, y)]
         met |= (keys[0][:, :, None] == keys[1][:, None, :]).any(axis=(1, 2))
     assert met.mean() >= 0.99
 
 
 def test_unrelated_vectors_share_few_buckets():
     for n_rows in (1000, 100_000):
-        functions, probes, _ = cross_polytope.hash_plan(64, n_rows, 0.95, cross_polytope.MISS)
+        tables = cross_polytope.HashTables(64, n_rows)
         x = np.random.default_rng(9).normal(size=(2000, 64))
-        keys = cross_polytope.table_keys(x / np.linalg.norm(x, axis=1, keepdims=True), 0, functions, probes)
+        keys = tables.keys(x / np.linalg.norm(x, axis=1, keepdims=True), 0)
         _, n = np.unique(keys, return_counts=True)
         assert (n * (n - 1)).sum() / len(x) * n_rows / len(x) < 12
 
