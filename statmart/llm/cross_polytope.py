@@ -58,7 +58,9 @@ LEAST_SIZE = 32
 FEW, MANY = 512, 2048
 #: Buckets and components up to this size share a task's group with others.
 SMALL = 256
-GROUP_ROWS = 16_384
+GROUP_ROWS = 2048
+#: Pairs of vectors compared at a time.
+PAIRS = 1 << 15
 #: Keys with more than one in so many rows are joined by broadcast, so they are at most as many.
 HOT_SHARE = 1000
 #: Angles are rounded: this much less counts as certain.
@@ -92,8 +94,8 @@ class HashTables:
         # In few dimensions, signs alone would not make enough different rotations.
         self.dim, self.size = dim, max(LEAST_SIZE, 1 << (dim - 1).bit_length())
         self.functions = 1
-        # Unrelated vectors meet in a table a few times at most.
-        while self.functions < MOST_FUNCTIONS and n_rows * self.probes ** 2 > 4 * (2 * self.size) ** self.functions:
+        # Two unrelated vectors meet in a table by chance for one vector in two.
+        while self.functions < MOST_FUNCTIONS and 2 * n_rows * self.probes ** 2 > (2 * self.size) ** self.functions:
             self.functions += 1
         self.choices = np.array(list(product((0, 1), repeat=self.functions)))
         chance = np.random.default_rng(dim)
@@ -205,15 +207,30 @@ def in_blocks(rows: DataFrame, key: str, n_rows: int) -> DataFrame:
     return sides.withColumn("i", F.explode(i)).withColumn("j", F.explode(j)).drop("n_few", "n_many", "few")
 
 
-def _by_key(group: pa.Table, key: str) -> Iterator[pa.Table]:
-    """The rows of every key of a group."""
-    keys = group.column(key).to_numpy()
-    order = np.argsort(keys, kind="stable")
-    ends = np.append(np.flatnonzero(np.diff(keys[order])) + 1, len(keys))
-    start = 0
-    for end in ends.tolist():
-        yield group.take(pa.array(order[start:end]))
-        start = end
+def near_pairs(group: pa.Table, key: str, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the few and rows of the many that are near enough, of the same key, as they are found."""
+    keys, few = group.column(key).to_numpy(), group.column("as_few").to_numpy()
+    units = _matrix(group.column("unit"))
+    x, y = np.flatnonzero(few), np.flatnonzero(~few)
+    if not group.column("small")[0].as_py():
+        # One key, in blocks.
+        at, to = np.nonzero(units[x] @ units[y].T >= threshold)
+        yield x[at], y[to]
+        return
+    y = y[np.argsort(keys[y], kind="stable")]
+    starts, ends = (np.searchsorted(keys[y], keys[x], side) for side in ("left", "right"))
+    n_pairs = np.cumsum(ends - starts)
+    begin = 0
+    while begin < len(x):
+        done = n_pairs[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(n_pairs, done + PAIRS, "right")))
+        counts = (ends - starts)[begin:end]
+        at = np.repeat(x[begin:end], counts)
+        first = np.repeat(starts[begin:end] - (np.cumsum(counts) - counts), counts)
+        to = y[np.arange(len(at)) + first]
+        near = np.einsum("ij,ij->i", units[at], units[to]) >= threshold
+        yield at[near], to[near]
+        begin = end
 
 
 MEET = ("dim", "small", "meet", "i", "j")
@@ -256,15 +273,11 @@ def _class_links(members: DataFrame, nodes: DataFrame, threshold: float) -> Data
     )
 
     def compare(group: pa.Table) -> pa.Table:
-        found = []
-        for rows in _by_key(group, "key"):
-            few = rows.column("as_few").to_numpy()
-            units, classes = _matrix(rows.column("unit")), rows.column("class_id").to_numpy()
-            x, y = np.flatnonzero(few), np.flatnonzero(~few)
-            near = (units[x] @ units[y].T >= threshold) & (classes[x][:, None] != classes[y])
-            at, to = np.nonzero(near)
-            pairs = np.stack([classes[x][at], classes[y][to]], axis=1)
-            found.append(np.unique(np.sort(pairs, axis=1), axis=0))
+        classes = group.column("class_id").to_numpy()
+        found = [np.zeros((0, 2), np.int64)]
+        for x, y in near_pairs(group, "key", threshold):
+            pairs = np.stack([classes[x], classes[y]], axis=1)
+            found.append(np.unique(np.sort(pairs[pairs[:, 0] != pairs[:, 1]], axis=1), axis=0))
         links = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
 
@@ -335,20 +348,16 @@ def link_counts(classes: DataFrame, nodes: DataFrame, n_nodes: int, threshold: f
     ))
 
     def count(group: pa.Table) -> pa.Table:
-        ids, sums = [], []
-        for rows in _by_key(group, "class_id"):
-            few, rim = rows.column("as_few").to_numpy(), rows.column("rim").to_numpy()
-            units, own = _matrix(rows.column("unit")), rows.column("node").to_numpy()
-            n = rows.column("n").to_numpy()
-            x, y = np.flatnonzero(few), np.flatnonzero(~few)
-            near = (units[x] @ units[y].T >= threshold) & (own[x][:, None] != own[y])
-            ids.append(own[x])
-            sums.append(near @ n[y])
-            # Rim nodes ask for themselves.
-            core = np.flatnonzero(~rim[y])
-            ids.append(own[y[core]])
-            sums.append(n[x] @ near[:, core])
-        return pa.table({"node": pa.array(np.concatenate(ids), pa.int64()), "n_links": pa.array(np.concatenate(sums), pa.int64())})
+        nodes_of, n, rim = (group.column(c).to_numpy() for c in ("node", "n", "rim"))
+        few = group.column("as_few").to_numpy()
+        sums = np.zeros(len(n), np.int64)
+        for x, y in near_pairs(group, "class_id", threshold):
+            others = nodes_of[x] != nodes_of[y]
+            np.add.at(sums, x[others], n[y[others]])
+            np.add.at(sums, y[others], n[x[others]])
+        # Rim nodes ask for themselves.
+        told = few | ~rim
+        return pa.table({"node": pa.array(nodes_of[told], pa.int64()), "n_links": pa.array(sums[told], pa.int64())})
 
     vectors = inside.select("node", "unit", "dim")
     placed = in_blocks(to_compare.join(vectors, "node").withColumn("rim", F.col("few")), "class_id", to_compare.count())
