@@ -14,9 +14,9 @@ Which terms are kept is found by iceberg prefix refinement:
    prefix with the first of its sorted terms that begins with it - the one that
    shares less than the prefix with the term before it - so the sums over all
    terms of a prefix are distinct documents, and blocks simply add up.
-2. Prefixes of 4 bytes are counted and those in too few documents discarded;
-   terms that go on below a prefix that is left are counted by 8 bytes, then by
-   16, and so on. A prefix that holds a whole term decides it. Levels end when no longer prefix is left,
+2. Prefixes of 6 bytes are counted and those in too few documents discarded;
+   terms that go on below a prefix that is left are counted by 12 bytes, then by
+   24, and so on. A prefix that holds a whole term decides it. Levels end when no longer prefix is left,
    so their number grows with the logarithm of the longest kept term. The long
    tail of rare terms is never shuffled: it ends with its rare prefixes.
 3. Only kept terms are counted by source.
@@ -54,9 +54,9 @@ LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 #: Bytes of the prefixes of the first level; every level doubles them.
-FIRST_BYTES = 4
+FIRST_BYTES = 6
 #: Bytes of the texts of a block; bounds a task's memory.
-BLOCK_BYTES = 20 << 20
+BLOCK_BYTES = 10 << 20
 
 #: Bytes that part terms become 0, A to Z become lower case, all others stay.
 LETTERS = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
@@ -107,8 +107,10 @@ def block_rows(terms: pa.Array, n_terms: np.ndarray, langs: list[str], sources:
     source_names, source_of = np.unique(np.array(sources, object), return_inverse=True)
 
     # Every term of every document once, sorted.
-    of_doc = np.repeat(np.arange(len(langs)), n_terms)
-    pairs, used = np.unique(of_doc * n + place[encoded.indices.to_numpy()], return_counts=True)
+    pairs = np.repeat(np.arange(len(langs)) * n, n_terms)
+    pairs += place[encoded.indices.to_numpy()]
+    del encoded, terms
+    pairs, used = np.unique(pairs, return_counts=True)
     doc, term = np.divmod(pairs, max(n, 1))
     # By how many levels a term's document counts already with the term before.
     level = np.zeros(len(pairs), np.int64)
@@ -218,77 +220,85 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = T
     """lang, source, part, item, value and rank: all other sources (``pair``) and the source's most telling terms (``term``)."""
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     blocks = materialized(term_blocks(rows, first_bytes, block_bytes))
-    kept = materialized(kept_terms(blocks, least_docs, first_bytes))
+    # Terms and groups go by numbers from here on; texts come back at the end.
+    kept = materialized(kept_terms(blocks, least_docs, first_bytes).withColumn("term_id", F.monotonically_increasing_id()))
+    named = materialized(rows.select("lang", "source").distinct().withColumn("group", F.monotonically_increasing_id()))
+    used = blocks.select("lang", "term", "used").join(kept, ["lang", "term"]).select("lang", "term", "term_id", F.inline("used"))
+    # Grouped by the text as well, which the rows are already dealt by.
     counts = materialized(
-        blocks.join(kept, ["lang", "term"], "left_semi").select("lang", "term", F.inline("used"))
-        .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+        used.join(named, ["lang", "source"]).groupBy("lang", "term", "term_id", "group").agg(F.sum("n").alias("n")).select("term_id", "group", "n")
     )
 
     # One row per group, and what its absent terms are worth.
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = named.join(counts.groupBy("group").agg(F.sum("n").alias("total")), "group", "left")
+    per_lang = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
     sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))
-    in_lang = counts.groupBy("lang").agg(F.sum("n").alias("lang_total"))
     groups = materialized(
-        rows.select("lang", "source").distinct()
-        .join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").join(in_lang, "lang", "left")
-        .select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("total", "n_terms", "lang_total")])
+        totals.join(per_lang, "lang").join(sizes, "lang", "left")
+        .select("group", "lang", "source", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("total", "n_terms", "lang_total")])
         .withColumn("absent", share(F.lit(0), F.col("total"), F.col("n_terms")))
     )
     shares = materialized(
-        counts.join(groups.select("lang", "source", "total", "n_terms", "absent"), ["lang", "source"])
-        .select("lang", "source", "term", share(F.col("n"), F.col("total"), F.col("n_terms")).alias("p"), "absent")
+        counts.join(groups.select("group", "total", "n_terms", "absent"), "group")
+        .select("term_id", "group", share(F.col("n"), F.col("total"), F.col("n_terms")).alias("p"), "absent")
     )
-    return _pairs(groups, shares).unionByName(_terms(groups, counts, shares, top_terms))
+    return _pairs(groups, shares).unionByName(_terms(groups, kept, counts, shares, top_terms))
 
 
-def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
-    def other(df: DataFrame) -> DataFrame:
-        return df.select("lang", *[F.col(c).alias(f"other_{c}") for c in df.columns if c != "lang"])
+def _other(df: DataFrame, *same: str) -> DataFrame:
+    """The same rows as the other side of a pair."""
+    return df.select(*same, *[F.col(c).alias(f"other_{c}") for c in df.columns if c not in same])
+
 
-    is_pair = "source <> other_source"
+def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
+    """Every other source of the language with the sum of all gaps."""
+    slim = groups.select("group", "lang", "absent")
     p0, q0 = F.col("absent"), F.col("other_absent")
     # No term at all, as if both were empty.
-    empty = groups.join(other(groups.select("lang", "source", "absent")), "lang").where(is_pair).select(
-        "lang", "source", "other_source", F.coalesce(wide("n_terms") * wide(gap(p0, q0)), wide(F.lit(0))).cast("decimal(38,0)").alias("value")
+    empty = groups.select("group", "lang", "n_terms", "absent").join(_other(slim, "lang"), "lang").where("group <> other_group").select(
+        "group", "other_group", F.coalesce(wide("n_terms") * wide(gap(p0, q0)), wide(F.lit(0))).cast("decimal(38,0)").alias("value")
     )
     # What the terms of one side change; shares repeat, so there are few distinct ones in a source.
-    levels = materialized(shares.groupBy("lang", "source", "absent", "p").agg(F.count(F.lit(1)).alias("n")))
-    alone = levels.join(other(groups.select("lang", "source", "absent")), "lang").where(is_pair)
+    levels = materialized(shares.groupBy("group", "absent", "p").agg(F.count(F.lit(1)).alias("n")))
+    alone = levels.join(groups.select("group", "lang"), "group").join(_other(slim, "lang"), "lang").where("group <> other_group")
     n, p = F.col("n"), F.col("p")
-    changes = alone.select("lang", F.inline(F.array(
-        F.struct("source", "other_source", (wide(n) * wide(gap(p, q0) - gap(p0, q0))).cast("decimal(38,0)").alias("value")),
-        F.struct(F.col("other_source").alias("source"), F.col("source").alias("other_source"),
+    changes = alone.select(F.inline(F.array(
+        F.struct("group", "other_group", (wide(n) * wide(gap(p, q0) - gap(p0, q0))).cast("decimal(38,0)").alias("value")),
+        F.struct(F.col("other_group").alias("group"), F.col("group").alias("other_group"),
                  (wide(n) * wide(gap(q0, p) - gap(q0, p0))).cast("decimal(38,0)").alias("value")),
     )))
     # What terms of both sides change beyond that: both directions from one meeting of the two.
     q = F.col("other_p")
-    met = shares.join(other(shares).withColumnRenamed("other_term", "term"), ["lang", "term"]).where("source < other_source")
-    both = met.groupBy("lang", "source", "other_source").agg(
+    met = shares.join(_other(shares, "term_id"), "term_id").where("group < other_group")
+    both = met.groupBy("group", "other_group").agg(
         exact_sum(gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)).alias("there"),
         exact_sum(gap(q, p) - gap(q, p0) - gap(q0, p) + gap(q0, p0)).alias("back"),
-    ).select("lang", F.inline(F.array(
-        F.struct("source", "other_source", F.col("there").alias("value")),
-        F.struct(F.col("other_source").alias("source"), F.col("source").alias("other_source"), F.col("back").alias("value")),
+    ).select(F.inline(F.array(
+        F.struct("group", "other_group", F.col("there").alias("value")),
+        F.struct(F.col("other_group").alias("group"), F.col("group").alias("other_group"), F.col("back").alias("value")),
     )))
-    summed = reduce(DataFrame.unionByName, [empty, changes, both]).groupBy("lang", "source", "other_source").agg(
+    summed = reduce(DataFrame.unionByName, [empty, changes, both]).groupBy("group", "other_group").agg(
         F.sum("value").cast("bigint").alias("value")
     )
+    names = groups.select("group", "lang", "source")
+    told = summed.join(names, "group").join(_other(names), "other_group")
     # All ranks: as many rows as the language has other sources.
-    ranked = top_per_key(summed, ["lang", "source"], [F.desc("value"), F.col("other_source")], 1 << 30, rank_as="rank")
+    ranked = top_per_key(told, ["lang", "source"], [F.desc("value"), F.col("other_source")], 1 << 30, rank_as="rank")
     return ranked.select("lang", "source", F.lit("pair").alias("part"), F.col("other_source").alias("item"), "value", "rank")
 
 
-def _terms(groups: DataFrame, counts: DataFrame, shares: DataFrame, top_terms: int) -> DataFrame:
+def _terms(groups: DataFrame, kept: DataFrame, counts: DataFrame, shares: DataFrame, top_terms: int) -> DataFrame:
+    """The terms a source uses more than its language does, with the greatest gaps."""
     langs = groups.groupBy("lang").agg(F.max("lang_total").alias("lang_total"), F.max("n_terms").alias("n_terms"))
-    usual = counts.groupBy("lang", "term").agg(F.sum("n").alias("n")).join(langs, "lang").select(
-        "lang", "term", share(F.col("n"), F.col("lang_total"), F.col("n_terms")).alias("q")
+    usual = counts.groupBy("term_id").agg(F.sum("n").alias("n")).join(kept, "term_id").join(langs, "lang").select(
+        "term_id", "term", share(F.col("n"), F.col("lang_total"), F.col("n_terms")).alias("q")
     )
     p, q = F.col("p"), F.col("q")
-    telling = shares.join(usual, ["lang", "term"]).where(p > q).select(
-        "lang", "source", F.col("term").cast("string").alias("item"), gap(p, q).alias("value")
+    telling = shares.join(usual, "term_id").where(p > q).select("group", F.col("term").cast("string").alias("item"), gap(p, q).alias("value"))
+    ranked = top_per_key(telling, ["group"], [F.desc("value"), F.col("item")], top_terms, rank_as="rank")
+    return ranked.join(groups.select("group", "lang", "source"), "group").select(
+        "lang", "source", F.lit("term").alias("part"), "item", "value", "rank"
     )
-    ranked = top_per_key(telling, ["lang", "source"], [F.desc("value"), F.col("item")], top_terms, rank_as="rank")
-    return ranked.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,15 +83,15 @@ def test_ranks_end_at_the_limit_and_ties_follow_bytes(spark):
 
 def test_prefixes_count_distinct_documents(spark):
     """A prefix that many terms of two documents share is in two documents."""
-    docs = [(" ".join("abcd" + c for c in "efghijk"), "en", "s")] * 2 + [("abcdz", "en", "s")]
+    docs = [(" ".join("abcdef" + c for c in "efghijk"), "en", "s")] * 2 + [("abcdefz", "en", "s")]
     df = spark.createDataFrame(docs, "text string, lang string, source string")
     for partitions in (1, 3):
         blocks = divergence.term_blocks(df.repartition(partitions))
         kept = {r["term"].decode() for r in divergence.kept_terms(blocks.cache()).collect()}
         assert kept == set()
-    assert {r["term"].decode() for r in divergence.kept_terms(blocks, least_docs=2).collect()} == {"abcd" + c for c in "efghijk"}
+    assert {r["term"].decode() for r in divergence.kept_terms(blocks, least_docs=2).collect()} == {"abcdef" + c for c in "efghijk"}
     sums = {r["term"].decode(): list(r["docs"]) for r in divergence.term_blocks(df.coalesce(1)).collect()}
-    assert sums["abcde"] == [2, 2] and sums["abcdf"] == [0, 2] and sums["abcdz"] == [1, 1]
+    assert sums["abcdefe"] == [2, 2] and sums["abcdeff"] == [0, 2] and sums["abcdefz"] == [1, 1]
 
 
 def test_very_long_texts_and_terms(spark):
