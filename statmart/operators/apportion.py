@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statmart.functions import all_present, div, not_negative, wide
 from statmart.operators.dedupe import top_per_key
-from statmart.operators.prefix import chunked, sums_before
 from statmart.operators.rollup import sum_by
+from statmart.session import materialized
 
 
 def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: str, weight: str = "count",
@@ -28,11 +28,10 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
     positive target; with ``"even"`` all rows stay, and a group of zeros shares
     its target evenly in key order.
 
-    Built for groups of any size: shares and remainders are worked out row by
-    row from the group's sums, and a key's rank by remainder is the number of
-    rows in the range partitions before its own plus its rank inside that
-    partition (``operators.prefix``). No task holds a whole group, however its
-    keys and weights are spread.
+    Built for groups of any size, without sorting them (``_cut_offs``): shares
+    and remainders are worked out row by row from the group's sums, and a row
+    gets one unit more if it does not come after the group's cut-off row. Per
+    group one row is joined back.
     """
     by = list(by)
     if zero_policy == "other":
@@ -41,25 +40,115 @@ def apportion(weights: DataFrame, targets: DataFrame, by: Sequence[str], key: st
         rows = weights.withColumn(weight, F.greatest(F.coalesce(weight, F.lit(0)), F.lit(0)))
     else:
         raise ValueError(f"unknown zero_policy {zero_policy!r}")
-    rows = rows.filter(all_present(*by, key)).select(*by, key, F.col(weight).alias("_weight"))
+    rows = rows.filter(all_present(*by, key)).select(*by, F.col(key).alias("_key"), F.col(weight).alias("_weight"))
     sums = rows.groupBy(*by).agg(F.sum(wide("_weight")).cast("decimal(38,0)").alias("_sum"), F.count("*").alias("_n"))
     goals = sums.join(targets.select(*by, not_negative(target).alias("_target")), by)
+    state, cuts = _cut_offs(rows, goals, by)
+    placed = _shares(rows.join(state.select(*by, "_sum", "_n", "_target"), by)).join(cuts, by, "left")
+    # Before the cut-off row: by remainder, then weight, then key.
+    first = F.col("_rest") > F.col("_cut._rest")
+    same = F.col("_rest") == F.col("_cut._rest")
+    heavier = F.col("_weight") > F.col("_cut._weight")
+    level = F.col("_weight") == F.col("_cut._weight")
+    more = F.coalesce(first | (same & (heavier | (level & (F.col("_key") <= F.col("_cut._key"))))), F.lit(False))
+    return placed.select(
+        *by, F.col("_key").alias(key), F.col("_weight").alias(weight), (F.col("_base") + more.cast("int")).cast("bigint").alias(scaled)
+    )
+
+
+#: Ranges a group's undecided rows are counted by, at each step.
+BUCKETS = 1024
+#: Undecided rows of a group that are few enough to be ranked.
+FEW = 10_000
+#: What rows are ranked by, and whether great values come first.
+ORDER = (("_rest", True), ("_weight", True), ("_key", False))
+
+
+def _shares(rows: DataFrame) -> DataFrame:
+    """The whole share of every row, and the remainder."""
     # A group of zeros is dealt like a group of ones.
     empty = F.col("_sum") == 0
     product = (wide("_target") * F.when(empty, wide(F.lit(1))).otherwise(wide("_weight"))).cast("decimal(38,0)")
-    whole = F.when(empty, F.col("_n")).otherwise(F.col("_sum"))
-    parts = (
-        rows.join(goals, by)
-        .withColumns({"_product": product, "_whole": whole})
-        .withColumns({"_base": div(F.col("_product"), F.col("_whole")).cast("bigint"), "_rest": F.col("_product") % F.col("_whole")})
-        .select(*by, key, "_weight", "_base", "_rest", "_target")
+    whole = F.when(empty, F.col("_n")).otherwise(F.col("_sum")).cast("decimal(38,0)")
+    return rows.withColumns({"_product": product, "_whole": whole}).withColumns({
+        "_base": div(F.col("_product"), F.col("_whole")).cast("bigint"), "_rest": (F.col("_product") % F.col("_whole")).cast("decimal(38,0)"),
+    })
+
+
+def _cut_offs(rows: DataFrame, goals: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """What is known of every group, and the last row of each that gets a unit of those left over.
+
+    Selection by counting: the rows of a group are counted by ranges of
+    remainder; the range in which the units run out holds the cut-off row, all
+    rows before it get a unit, all behind it none. That is enough if few rows
+    are in that range. Otherwise - many equal remainders - the range is counted
+    by finer ranges, then by ranges of weight and of key, until few rows are
+    left in every group; those are ranked. Counts are added up before they are
+    shuffled, so a group of any size sends at most ``BUCKETS`` rows per task.
+    """
+    bounds = {f"_{side}{c}": F.lit(None).cast(dict(_shares(rows.join(goals, list(by))).dtypes)[c]) for c, _ in ORDER for side in ("low", "high")}
+    whole = F.col("_whole")
+    width = (div(whole - 1, F.lit(BUCKETS).cast("decimal(38,0)")) + 1).cast("decimal(38,0)")
+    counted = _shares(rows.join(goals, list(by))).groupBy(*by, "_sum", "_n", "_target", div(whole - 1 - F.col("_rest"), width).alias("_bucket")).agg(
+        F.count("*").alias("_rows"), F.sum("_base").alias("_given"), F.min("_rest").alias("_low_rest"), F.max("_rest").alias("_high_rest")
+    )
+    group = Window.partitionBy(*by)
+    needed = counted.withColumn("_need", F.col("_target") - F.sum("_given").over(group))
+    state = _crossing(needed, by).withColumns({n: c for n, c in bounds.items() if not n.endswith("_rest")})
+    state = materialized(state.select(*by, "_sum", "_n", "_target", "_need", "_rows", *bounds))
+    for column, descending in ORDER:
+        while not state.where((F.col("_rows") > FEW) & _is_open(column)).isEmpty():
+            settled = state.where((F.col("_rows") <= FEW) | ~_is_open(column))
+            finer = _finer(rows, state.where((F.col("_rows") > FEW) & _is_open(column)), by, column, descending)
+            state = materialized(settled.unionByName(finer.select(*state.columns)))
+    undecided = _shares(rows.join(state.where("_need > 0"), list(by))).where(_in_bounds())
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c, descending in ORDER]
+    ranked = undecided.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rank") == F.col("_need"))
+    return state, ranked.select(*by, F.struct(*[c for c, _ in ORDER]).alias("_cut"))
+
+
+def _is_open(column: str) -> Column:
+    """Whether a group's undecided rows may differ in a column; unknown bounds may."""
+    return F.coalesce(F.col(f"_low{column}") < F.col(f"_high{column}"), F.lit(True))
+
+
+def _in_bounds() -> Column:
+    """Whether a row is undecided."""
+    tests = [F.coalesce(F.col(c).between(F.col(f"_low{c}"), F.col(f"_high{c}")), F.lit(True)) for c, _ in ORDER]
+    return tests[0] & tests[1] & tests[2]
+
+
+def _crossing(counted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Of each group the range in which the units run out, and how many of them its rows get; the first one if there are none."""
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    crosses = (F.col("_before") < F.col("_need")) & (F.col("_need") <= F.col("_before") + F.col("_rows"))
+    none = (F.col("_need") <= 0) & (F.col("_before") == 0)
+    return placed.where(crosses | none).withColumn("_need", F.greatest(F.col("_need") - F.col("_before"), F.lit(0)))
+
+
+def _finer(rows: DataFrame, state: DataFrame, by: Sequence[str], column: str, descending: bool) -> DataFrame:
+    """The state of groups after one more count of their undecided rows, by ranges of a column."""
+    low, high, value = F.col(f"_low{column}"), F.col(f"_high{column}"), F.col(column)
+    kind = dict(state.dtypes)[f"_low{column}"]
+    if kind == "string":
+        # All texts between two others begin like both; ranges are what follows.
+        shared = F.length(F.regexp_extract(F.concat(low, F.lit("\0"), high), r"(?s)^(.*).*\x00\1", 1))
+        state = state.withColumn("_shared", shared)
+        bucket = F.when(low.isNotNull(), F.substring(value, F.lit(1), F.col("_shared") + 2)).otherwise(F.lit(""))
+    elif kind in ("tinyint", "smallint", "int", "bigint") or kind.startswith("decimal"):
+        first, last, at = (wide(c) for c in (low, high, value))
+        width = (div(last - first, F.lit(BUCKETS).cast("decimal(38,0)")) + 1).cast("decimal(38,0)")
+        bucket = F.coalesce(div((last - at if descending else at - first).cast("decimal(38,0)"), width), F.lit(0).cast("bigint"))
+    else:
+        # Other keys are counted one by one.
+        bucket = value
+    kept = [c for c in state.columns if c not in (*by, "_rows", f"_low{column}", f"_high{column}")]
+    counted = _shares(rows.join(state, list(by))).where(_in_bounds()).groupBy(*by, bucket.alias("_bucket")).agg(
+        F.count("*").alias("_rows"), F.min(column).alias(f"_low{column}"), F.max(column).alias(f"_high{column}"),
+        *[F.first(c).alias(c) for c in kept],
     )
-    order = [F.col("_rest").desc(), F.col("_weight").desc(), F.col(key)]
-    placed = chunked(parts, [*by, *order])
-    left_over = placed.groupBy(*by).agg((F.max("_target") - F.sum("_base")).alias("_left_over"))
-    ranked = sums_before(placed, by, {"_before": F.lit(1)}).join(left_over, by)
-    extra = F.when(F.col("_before") < F.col("_left_over"), 1).otherwise(0)
-    return ranked.select(*by, key, F.col("_weight").alias(weight), (F.col("_base") + extra).cast("bigint").alias(scaled))
+    return _crossing(counted, by)
 
 
 def apportion_codes(weights: Sequence[tuple[str, Column]], target: Column) -> Column:

@@ -1,8 +1,10 @@
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from statmart.operators import apportion as module
 from statmart.operators.apportion import apportion, apportion_codes, topk_with_other, with_other_row
 from statmart.operators.prefix import chunked, sums_before
 
@@ -89,6 +91,64 @@ def test_many_equal_weights(spark):
     assert run(spark, {"g": weights, "h": {"x": 1}}, {"g": 4567, "h": 9}) == {"g": shares(weights, 4567), "h": {"x": 9}}
 
 
+KEYS = {
+    "string": lambda i: ["Part#", "Part", "", "Pärt#é"][i % 4] + f"{i * 7919 % 1000:05d}"[: 1 + i % 6] + "x" * (i % 3) + str(i),
+    "int": lambda i: (i * 7919) % 100_003 - 50_000,
+    "bigint": lambda i: (-1) ** i * (i * 10**15 + 7),
+    "date": lambda i: datetime.date(2000, 1, 1) + datetime.timedelta(days=i * 37),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(KEYS))
+@pytest.mark.parametrize("policy", ["other", "even"])
+def test_cut_offs_by_finer_and_finer_ranges(spark, monkeypatch, kind, policy):
+    """With few ranges and hardly any rows that may be ranked, remainders, weights and keys are all narrowed down."""
+    monkeypatch.setattr(module, "FEW", 2)
+    monkeypatch.setattr(module, "BUCKETS", 3)
+    rng = random.Random(11)
+    made = {
+        "flat": [1] * 90, "two": [1 + (i % 2) for i in range(60)], "zeros": [0] * 25, "spread": [rng.randint(0, 10**9) for _ in range(80)],
+        "ties": [rng.choice([3, 3, 3, 6, 10**12]) for _ in range(70)], "one": [5],
+    }
+    targets = {g: rng.choice([7, 41, 10**6 + 3, 10**15 + 1]) for g in made}
+    weights = {g: {KEYS[kind](i): w for i, w in enumerate(ws)} for g, ws in made.items()}
+    rows = [(g, k, w) for g, ws in weights.items() for k, w in ws.items()]
+    df = spark.createDataFrame(rows, f"g string, key {kind}, count bigint")
+    goals = spark.createDataFrame(list(targets.items()), "g string, target bigint")
+    got = {}
+    for r in apportion(df, goals, ["g"], "key", zero_policy=policy).collect():
+        got.setdefault(r["g"], {})[r["key"]] = r["scaled"]
+    want = {g: shares(w, targets[g], policy) for g, w in weights.items()}
+    assert got == {g: s for g, s in want.items() if s}
+
+
+@pytest.mark.parametrize("weight", ["1", "id % 1000 + 1"])
+def test_groups_are_not_sorted_and_not_written(spark, monkeypatch, weight):
+    """Selection: no range exchange, and what is written is a row per group. Equal weights are the hard case."""
+    written = []
+
+    def watched(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        kept = real(df)
+        written.append((kept.count(), plan))
+        return kept
+
+    real = module.materialized
+    monkeypatch.setattr(module, "materialized", watched)
+    monkeypatch.setattr(module, "FEW", 100)
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "h").otherwise("g").alias("g"),
+        F.concat(F.lit("Part#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("key"), F.expr(weight).alias("count"),
+    )
+    goals = df.groupBy("g").agg((F.sum("count") * 7 / 3).cast("bigint").alias("target"))
+    result = apportion(df, goals, ["g"], "key")
+    sums = {r["g"]: (r["n"], r["t"]) for r in result.join(goals, "g").groupBy("g").agg(F.sum("scaled").alias("n"), F.max("target").alias("t")).collect()}
+    assert len(sums) == 2 and all(n == t for n, t in sums.values())
+    assert written and all(n == 2 for n, _ in written)
+    plans = [p for _, p in written] + [result._jdf.queryExecution().executedPlan().toString()]
+    assert not any("rangepartitioning" in p for p in plans)
+
+
 def test_no_task_holds_a_large_group(spark):
     """One hot weight, one outlier key: the chunks of the group stay even."""
     rows = spark.range(4000).select(
