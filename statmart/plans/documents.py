@@ -20,7 +20,16 @@ from statmart.functions import code_for
 from statmart.operators import lineage
 from statmart.plans import marts
 from statmart.session import one_row
-from statmart.sinks import publish_document, publish_rows
+from statmart.sources.warehouse import latest_rows
+from statmart.sinks.documents import (
+    PublishedSet,
+    discard_set,
+    new_set,
+    publish_document,
+    publish_rows,
+    publish_set,
+)
+from statmart.sources.warehouse import latest_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -181,12 +190,16 @@ def visa_streams_current(tables: Tables, export: Export) -> Document:
     }, facts), if_any="ref_date")
 
 
+PERMITS = {"study": schemas.STUDY.name, "work": schemas.WORK.name, "asylum": schemas.ASYLUM.name}
+
+
 def _permits(tables: Tables) -> DataFrame:
-    return marts.tag_facts({
-        "study": tables[schemas.STUDY.name],
-        "work": tables[schemas.WORK.name],
-        "asylum": tables[schemas.ASYLUM.name],
-    })
+    return marts.tag_facts({stream: tables[name] for stream, name in PERMITS.items()})
+
+
+def _latest_permits(tables: Tables, export: Export) -> DataFrame:
+    """Every permit table, in its own latest complete year."""
+    return marts.tag_facts({stream: latest_rows(tables, name, export.as_of) for stream, name in PERMITS.items()})
 
 
 def visa_streams_history(tables: Tables, export: Export) -> Document:
@@ -208,7 +221,7 @@ def visa_streams_history(tables: Tables, export: Export) -> Document:
 
 
 def work_permit_sources(tables: Tables, export: Export) -> Document:
-    programs = tables[schemas.WORK_PROGRAMS.name]
+    programs = latest_rows(tables, schemas.WORK_PROGRAMS.name)
     # One row per program code.
     facts = marts.program_shares(programs).agg(
         F.max("ref_year").alias("listed_year"), F.count("*").alias("n"), F.sum("count").alias("total"),
@@ -228,7 +241,7 @@ def work_permit_sources(tables: Tables, export: Export) -> Document:
 
 
 def origin_pr_current(tables: Tables, export: Export) -> Document:
-    top = marts.origin_top(tables[schemas.PERMANENT.name], export.as_of, export.k, export.places)
+    top = marts.origin_top(latest_rows(tables, schemas.PERMANENT.name, export.as_of), export.as_of, export.k, export.places)
     facts = top.agg(F.max("ref_year").alias("ref_year"), _list(_by_count(), ["country", "count"]).alias("top"))
     return Document(_one(tables, {
         "ref_year": F.col("ref_year"),
@@ -251,7 +264,7 @@ def origin_pr_history(tables: Tables, export: Export) -> Document:
 
 def origin_temp_current(tables: Tables, export: Export) -> Document:
     # The year and the list of each stream come out of the same sums.
-    facts = marts.temporary_lists(_permits(tables), export.as_of, export.k, export.places).agg(
+    facts = marts.temporary_lists(_latest_permits(tables, export), export.as_of, export.k, export.places).agg(
         F.map_from_entries(F.collect_list(F.struct("stream", F.struct("ref_year", "top")))).alias("streams")
     )
     nothing = F.array().cast("array<struct<country:string,count:bigint>>")
@@ -295,7 +308,8 @@ ESTIMATION_BASIS = {
 
 def origin_overview(tables: Tables, export: Export) -> Document:
     facts = marts.origin_facts(
-        tables[schemas.NATURALIZED.name], tables[schemas.PERMANENT.name], _permits(tables)
+        latest_rows(tables, schemas.NATURALIZED.name), latest_rows(tables, schemas.PERMANENT.name, export.as_of),
+        _latest_permits(tables, export),
     )
     rows = marts.origin_categories(facts, _status(tables, export), export.as_of, export.k, export.places)
     named = rows.withColumnsRenamed({"top": f"top{export.k}", "non_top": f"non_top_{export.k}"}).withColumns({
@@ -354,6 +368,22 @@ def publish(document: Document, folder: str, name: str) -> bool:
     return publish_document(head, f"{folder.rstrip('/')}/{name}")
 
 
-def export_all(tables: Tables, folder: str, export: Export) -> list[str]:
-    """Publish every document that has rows and return their names."""
-    return [name for name, build in DOCUMENTS.items() if publish(build(tables, export), folder, name)]
+def export_all(tables: Tables, folder: str, export: Export, run_id: str = "") -> list[str]:
+    """Publish every document that has rows as one set, and return their names.
+
+    If one of them fails, the set published before stays as it is.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    at = new_set(folder)
+    written: dict[str, dict[str, str]] = {}
+    try:
+        for name, build in DOCUMENTS.items():
+            document = build(tables, export)
+            if publish(document, at, name):
+                written[name] = {section: section_path("", name, section).lstrip("/") for section in document.rows}
+        skipped = [name for name in DOCUMENTS if name not in written]
+        publish_set(spark, folder, PublishedSet(run_id, at, written, skipped))
+    except Exception:
+        discard_set(spark, folder, at)
+        raise
+    return list(written)

@@ -18,12 +18,17 @@ _TYPES = {
 
 @dataclass(frozen=True)
 class Table:
-    """A warehouse table: columns, key, and the column its slices are cut by."""
+    """A warehouse table: columns, key, and the column its slices are cut by.
+
+    Tables that are replaced whole may be laid out by their period, so that a
+    reader of one period opens no other file.
+    """
 
     name: str
     columns: tuple[tuple[str, str, bool], ...]
     key: tuple[str, ...]
     slice_by: str | None = None
+    laid_out_by: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -34,13 +39,13 @@ class Table:
         return tuple(n for n, _, nullable in self.columns if not nullable)
 
 
-def _table(name: str, ddl: str, key: tuple[str, ...], slice_by: str | None = None) -> Table:
+def _table(name: str, ddl: str, key: tuple[str, ...], slice_by: str | None = None, laid_out_by: str | None = None) -> Table:
     """A table from its column list: name, type, and ``NOT NULL`` where a value is required."""
     columns = []
     for item in ddl.split(","):
         column, kind, *required = item.split()
         columns.append((column, kind, required != ["NOT", "NULL"]))
-    return Table(name, tuple(columns), key, slice_by)
+    return Table(name, tuple(columns), key, slice_by, laid_out_by)
 
 
 # Names, columns, types and keys of the warehouse tables.
@@ -80,6 +85,7 @@ NPR = _table(
     loaded_at timestamp NOT NULL
     """,
     ("ref_date", "geo", "npr_type"),
+    laid_out_by="ref_date",
 )
 STUDY = _table(
     "study_permits_monthly",
@@ -94,6 +100,7 @@ STUDY = _table(
     loaded_at timestamp NOT NULL
     """,
     ("ref_year", "ref_month", "country", "study_level", "province"),
+    laid_out_by="ref_year",
 )
 WORK = _table(
     "work_permits_monthly",
@@ -108,6 +115,7 @@ WORK = _table(
     loaded_at timestamp NOT NULL
     """,
     ("ref_year", "ref_month", "program_stream", "country", "province"),
+    laid_out_by="ref_year",
 )
 WORK_PROGRAMS = _table(
     "work_permit_programs_monthly",
@@ -120,6 +128,7 @@ WORK_PROGRAMS = _table(
     loaded_at timestamp NOT NULL
     """,
     ("ref_year", "ref_month", "program_stream"),
+    laid_out_by="ref_year",
 )
 ASYLUM = _table(
     "asylum_claimants_monthly",
@@ -133,6 +142,7 @@ ASYLUM = _table(
     loaded_at timestamp NOT NULL
     """,
     ("ref_year", "ref_month", "country", "province"),
+    laid_out_by="ref_year",
 )
 PERMANENT = _table(
     "permanent_residents_monthly",
@@ -147,6 +157,7 @@ PERMANENT = _table(
     loaded_at timestamp NOT NULL
     """,
     ("ref_year", "ref_month", "immigration_category", "country", "province"),
+    laid_out_by="ref_year",
 )
 NATURALIZED = _table(
     "naturalized_by_country_census",
@@ -158,6 +169,7 @@ NATURALIZED = _table(
     loaded_at timestamp NOT NULL
     """,
     ("census_year", "country"),
+    laid_out_by="census_year",
 )
 RUNS = _table(
     "pipeline_runs",
@@ -189,6 +201,20 @@ LOADS = _table(
     """,
     ("load_id",),
 )
+#: Rows of extracts that no load could use; kept beside the tables, not one of them.
+REJECTS = _table(
+    "rejected_rows",
+    """
+    run_id string NOT NULL,
+    dataset_key string NOT NULL,
+    file string NOT NULL,
+    reason string NOT NULL,
+    first_field string,
+    line string NOT NULL,
+    loaded_at timestamp NOT NULL
+    """,
+    ("run_id", "dataset_key", "file", "line"),
+)
 
 TABLES = {
     t.name: t

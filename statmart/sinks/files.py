@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from urllib.parse import quote, unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -18,35 +21,15 @@ def beside(path: str, purpose: str) -> str:
     return f"{parent}/.{name}.{purpose}-{uuid.uuid4().hex}"
 
 
-def recover(spark: SparkSession, path: str) -> bool:
-    """Whether a folder or file exists; one that a swap broke off has put aside comes back."""
+def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
-    if fs.exists(target):
-        return True
-    parent, _, name = path.rstrip("/").rpartition("/")
-    _, folder = _fs(spark, parent)
-    if not fs.exists(folder):
-        return False
-    aside = [s for s in fs.listStatus(folder) if s.getPath().getName().startswith(f".{name}.old-")]
-    if not aside:
-        return False
-    _rename(fs, max(aside, key=lambda s: s.getModificationTime()).getPath(), target)
-    return True
-
-
-def recover_parts(spark: SparkSession, path: str) -> None:
-    """Bring back the parts of a folder that broken swaps have put aside."""
-    fs, folder = _fs(spark, path)
-    for s in fs.listStatus(folder):
-        hidden, mark, _ = s.getPath().getName().rpartition(".old-")
-        if mark and hidden.startswith("."):
-            recover(spark, f"{path.rstrip('/')}/{hidden[1:]}")
+    return fs.exists(target)
 
 
 def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Put a finished folder or file in place; the old one comes back if that fails.
 
-    If the process dies between the two renames, ``recover`` finds the old one.
+    For what is read under a fixed name. Tables are not moved (``sinks.versions``).
     """
     fs, target = _fs(spark, path)
     _, source = _fs(spark, staged)
@@ -64,6 +47,16 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     fs.delete(aside, True)
 
 
+def copy(spark: SparkSession, source: str, path: str) -> None:
+    """Put a copy of a small file under a name; it appears there when it is complete."""
+    fs, origin = _fs(spark, source)
+    staged = beside(path, "staged")
+    to_fs, target = _fs(spark, staged)
+    if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, origin, to_fs, target, False, spark._jsc.hadoopConfiguration()):
+        raise OSError(f"cannot copy {source} to {staged}")
+    swap_in(spark, staged, path)
+
+
 def _rename(fs, source, target) -> None:
     if not fs.rename(source, target):
         raise OSError(f"cannot rename {source} to {target}")
@@ -81,10 +74,68 @@ def only_part(spark: SparkSession, folder: str) -> str | None:
     return names[0]
 
 
+def _listed(spark: SparkSession, path: str) -> list:
+    fs, target = _fs(spark, path)
+    return list(fs.listStatus(target)) if fs.exists(target) else []
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; nothing if there is none."""
+    return sorted(s.getPath().getName() for s in _listed(spark, path))
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder."""
+    return sorted(s.getPath().getName() for s in _listed(spark, path) if s.isDirectory())
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file or folder was last written to."""
     fs, target = _fs(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+    return time.time() - fs.getFileStatus(target).getModificationTime() / 1000
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file if there is none of the name; whether this call has made it."""
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target.getParent())
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as error:
+        if fs.exists(target):
+            return False
+        raise error
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file; None if it is not there."""
+    fs, target = _fs(spark, path)
+    try:
+        source = fs.open(target)
+    except Py4JJavaError as error:
+        if not fs.exists(target):
+            return None
+        raise error
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def quoted(text: str) -> str:
+    """A text as part of a path."""
+    return quote(text, safe="")
+
+
+def partition_value(name: str) -> str | None:
+    """The value in the name of a partition's folder, as ``column=value``."""
+    value = unquote(name.partition("=")[2])
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else value
 
 
 def remove(spark: SparkSession, path: str) -> None:

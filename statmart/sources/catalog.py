@@ -1,15 +1,57 @@
-"""Choosing the best resource of each dataset from a catalog."""
+"""Resource catalogs: package responses as rows, and the best resource of each dataset."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The fields of a package response that are read.
+RESOURCE = ("id", "name", "description", "format", "url", "last_modified", "metadata_modified", "created")
+PACKAGE = (
+    "success boolean, result struct<id: string, title: string, "
+    f"resources: array<struct<{', '.join(f'{name}: string' for name in RESOURCE)}>>>, _broken string"
+)
+
 RECENCY = ("last_modified", "metadata_modified", "created", "name")
 
 
+def read_packages(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
+    """Package responses as they were fetched: one JSON document per file, or one per line.
+
+    Fields that a response lacks are null, fields beyond the known ones are not
+    read. ``error`` says why a response cannot be used; null for good ones.
+    """
+    reader = spark.read.schema(PACKAGE).option("columnNameOfCorruptRecord", "_broken").option("multiLine", one_per_file)
+    read = reader.json(path if isinstance(path, str) else list(path))
+    error = (
+        F.when(F.col("_broken").isNotNull(), "not a package response")
+        .when(~F.coalesce("success", F.lit(False)), "the request has failed")
+        .when(F.coalesce(F.size("result.resources"), F.lit(0)) < 1, "no resources")
+    )
+    return read.select(
+        F.col("_metadata.file_path").alias("file"), error.alias("error"),
+        F.col("result.id").alias("dataset_id"), F.col("result.title").alias("title"), F.col("result.resources").alias("resources"),
+    )
+
+
+def read_catalog(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
+    """One row per resource of all usable package responses, for ``best_resources``.
+
+    A resource without an id is left out. A dataset that was fetched more than
+    once counts with each of its responses; equal resources come once.
+    """
+    usable = read_packages(spark, path, one_per_file).where(F.col("error").isNull())
+    rows = usable.select("dataset_id", "title", F.inline("resources")).where(F.col("id").isNotNull())
+    return rows.distinct()
+
+
+def broken_packages(spark: SparkSession, path: str | Sequence[str], one_per_file: bool = True) -> DataFrame:
+    """The responses that cannot be used: file and reason."""
+    return read_packages(spark, path, one_per_file).where(F.col("error").isNotNull()).select("file", "dataset_id", "error")
+
+
 def score_resources(catalog: DataFrame, keywords: Sequence[str], required: Sequence[str] = (),
                     format_wanted: str = "csv", min_score: int = 1) -> DataFrame:
     """Resources that hold every required word, with 2 points per keyword and 1 for the format."""

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType
 
 from statmart import schemas
-from statmart.sinks import files
+from statmart.sinks import logs, versions
+
+#: Append-only tables.
+LOGS = (schemas.LOADS.name, schemas.RUNS.name)
 
 
 class MissingSource(RuntimeError):
@@ -25,20 +29,71 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A warehouse table; an empty frame of its schema before the first load.
+    """The current version of a warehouse table; an empty frame of its schema before the first load.
 
-    A table left aside by a broken replacement comes back. One that the load
-    log says was loaded, and that is not there, is an error.
+    One that the load log says was loaded, and that is not there, is an error.
     """
     table = schemas.TABLES[name]
     path = table_path(root, name)
-    if not files.recover(spark, path):
-        if name not in (schemas.LOADS.name, schemas.RUNS.name) and _was_loaded(spark, root, name):
+    if name in LOGS:
+        rows = logs.frame(spark, path, table.schema)
+    else:
+        rows = versions.frame(spark, path, table.schema)
+    if rows is None:
+        if name not in LOGS and _was_loaded(spark, root, name):
             raise LostTable(f"{name} has been loaded, but {path} is missing")
         return spark.createDataFrame([], table.schema)
-    if table.slice_by:
-        files.recover_parts(spark, path)
-    return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
+    return rows.select(*table.schema.names)
+
+
+def periods(spark: SparkSession, root: str, name: str) -> list:
+    """The periods a table holds, oldest first, from its folders alone; for tables laid out by period."""
+    table = schemas.TABLES[name]
+    kind = table.schema[table.laid_out_by].dataType
+    read = date.fromisoformat if isinstance(kind, DateType) else int
+    return sorted(read(v) for v in versions.partitions(spark, table_path(root, name), table.laid_out_by) if v is not None)
+
+
+def read_latest(spark: SparkSession, root: str, name: str, as_of: int | None = None) -> DataFrame:
+    """The rows of the newest complete period, or of the newest one if none is complete.
+
+    Periods before ``as_of`` are complete, without it all are. The period comes
+    from the list of partitions, so the scan opens the files of that period only,
+    and an operator that looks for the latest period of these rows finds it.
+    """
+    rows, at = read_table(spark, root, name), schemas.TABLES[name].laid_out_by
+    found = periods(spark, root, name)
+    if not found:
+        # Nothing loaded, or a folder written by other means.
+        return rows
+    complete = [p for p in found if as_of is None or p < as_of]
+    return rows.filter(F.col(at) == F.lit(max(complete or found)))
+
+
+class Warehouse(Mapping[str, DataFrame]):
+    """All tables of a warehouse, by name."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+        self._read = {name: read_table(spark, root, name) for name in schemas.TABLES}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._read[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._read)
+
+    def __len__(self) -> int:
+        return len(self._read)
+
+    def latest(self, name: str, as_of: int | None = None) -> DataFrame:
+        """``read_latest`` of the same version of the table as the mapping holds, if it has not been replaced since."""
+        return read_latest(self.spark, self.root, name, as_of)
+
+
+def latest_rows(tables: Mapping[str, DataFrame], name: str, as_of: int | None = None) -> DataFrame:
+    """A table for operators that look at its latest period: pruned to it where the tables are a warehouse."""
+    return tables.latest(name, as_of) if isinstance(tables, Warehouse) else tables[name]
 
 
 def _was_loaded(spark: SparkSession, root: str, name: str) -> bool:
