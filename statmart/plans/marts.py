@@ -273,13 +273,45 @@ def origin_categories(facts: DataFrame, status: DataFrame, as_of: int, k: int =
     foreign-born total adds the three lists; their remainders compete with the
     countries for a place in its top-k.
     """
-    stocks = status.filter((F.col("mode") == "estimated") & F.col("status").isin(*STATUS_OF_CATEGORY.values()))
-    category_of_status = {status: category for category, status in STATUS_OF_CATEGORY.items()}
+    own, latest = _own_lists(facts, status, as_of, k, places, list(STATUS_OF_CATEGORY))
+    return _with_foreign_born(own, k).select(
+        "category", code_for("category", codes.ORIGIN_CATEGORIES).alias("label"), "total", "top", "non_top",
+        _source_period(latest).alias("source_period"),
+    )
+
+
+def origin_category(facts: DataFrame, status: DataFrame, as_of: int, category: str, k: int = 10,
+                    places: codes.PlaceRules = codes.DEFAULT_PLACES) -> DataFrame:
+    """One category of ``origin_categories``: its name, total, top-k and remainder.
+
+    A category of its own reads its own streams and scales its own countries;
+    the total over all categories, or an unknown name, takes all of them.
+    """
+    if category not in STATUS_OF_CATEGORY:
+        first = category if category in codes.ORIGIN_CATEGORIES else next(iter(codes.ORIGIN_CATEGORIES))
+        return origin_categories(facts, status, as_of, k, places).where(F.col("category") == first).select("category", "total", "top", "non_top")
+    own, _ = _own_lists(facts, status, as_of, k, places, [category])
+    listed = F.filter("top", lambda e: e["count"] > 0)
+    in_top = F.aggregate(listed, F.lit(0).cast("bigint"), lambda acc, e: acc + e["count"])
+    ordered = F.transform(
+        F.array_sort(F.transform(listed, lambda e: F.struct((-e["count"]).alias("less"), e["country"].alias("country"), e["count"].alias("count")))),
+        lambda e: F.struct(e["country"].alias("country"), e["count"].alias("count")),
+    )
+    return own.select("category", F.col("target").alias("total"), ordered.alias("top"), not_negative(F.col("target") - in_top).alias("non_top"))
+
+
+def _own_lists(facts: DataFrame, status: DataFrame, as_of: int, k: int, places: codes.PlaceRules,
+               categories: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Stock, top-k and remainder of the categories, without the total over them; and the rows they rest on."""
+    category_of_status = {STATUS_OF_CATEGORY[category]: category for category in categories}
+    stocks = status.filter((F.col("mode") == "estimated") & F.col("status").isin(*category_of_status))
     targets = materialized(
         stocks.select(code_for("status", category_of_status).alias("category"), not_negative("count").alias("target"))
     )
+    streams = [stream for stream, category in CATEGORY_OF_STREAM.items() if category in categories]
+    wanted = facts if len(streams) == len(CATEGORY_OF_STREAM) else facts.where(F.col("stream").isin(*streams))
     complete = (F.col("stream") == "naturalized") | (F.col("ref_year") < as_of)
-    latest = materialized(rows_of_latest_period(place_sums(facts, ["stream", "ref_year"], places), complete, ["stream"]))
+    latest = materialized(rows_of_latest_period(place_sums(wanted, ["stream", "ref_year"], places), complete, ["stream"]))
 
     weights = sum_by(
         _ranked(latest, places).withColumn("category", code_for("stream", CATEGORY_OF_STREAM)), ["category", "country"]
@@ -297,10 +329,7 @@ def origin_categories(facts: DataFrame, status: DataFrame, as_of: int, k: int =
         F.coalesce("top", nothing).alias("top"),
         not_negative(F.col("target") - F.coalesce("_listed", F.lit(0))).alias("_rest"),
     )
-    return _with_foreign_born(own, k).select(
-        "category", code_for("category", codes.ORIGIN_CATEGORIES).alias("label"), "total", "top", "non_top",
-        _source_period(latest).alias("source_period"),
-    )
+    return own, latest
 
 
 def _with_foreign_born(own: DataFrame, k: int) -> DataFrame:

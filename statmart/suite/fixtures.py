@@ -282,6 +282,59 @@ class Fixtures:
         )
         return top.unionByName(body).filter(F.col("value").isNotNull())
 
+    @cached_property
+    def asylum_cells(self) -> DataFrame:
+        """A pivoted worksheet with a row per nation: admissions by year, every fifth count suppressed."""
+        years = sorted(r[0] for r in self.permanent.select("ref_year").distinct().collect())
+        counts = self.permanent.join(self.table("nation"), F.col("country") == F.col("n_name")).select(
+            (F.col("n_nationkey") + 5).cast("bigint").alias("row_idx"),
+            (F.col("ref_year") - F.lit(years[0] if years else 0) + 2).cast("int").alias("col_idx"),
+            F.when(F.col("count") % 5 == 0, "--").otherwise(F.format_number("count", 0)).alias("value"),
+        )
+        names = self.table("nation").select(
+            (F.col("n_nationkey") + 5).cast("bigint").alias("row_idx"), F.lit(0).alias("col_idx"), F.col("n_name").alias("value")
+        )
+        preamble = [(0, 0, "Claimants by country"), (2, 0, "Country"), (2, 1, "Category"), (4, 0, "All countries")]
+        preamble += [(2, y - years[0] + 2, str(y)) for y in years] + [(3, y - years[0] + 2, f"{y} Total") for y in years]
+        top = self.spark.createDataFrame(preamble, "row_idx bigint, col_idx int, value string")
+        return top.unionByName(names).unionByName(counts).select(
+            F.lit("claimants").alias("sheet"), "row_idx", "col_idx", "value", F.lit(True).alias("is_text")
+        )
+
+    @cached_property
+    def country_lines(self) -> DataFrame:
+        """The permit extract as lines of text; some have a field too many."""
+        columns = ["EN_YEAR", "EN_COUNTRY_OF_CITIZENSHIP", "TOTAL"]
+        country = F.when(F.col("s_nationkey") != 7, F.col("n_name"))
+        rows = self.shipments.select(F.year("l_shipdate").cast("string").alias(columns[0]), country.alias(columns[1]),
+                                     self._dirty_total().alias(columns[2]), "l_orderkey")
+        line = F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in columns])
+        return rows.select(
+            F.pmod(F.xxhash64("l_orderkey"), F.lit(8)).alias("file"), F.lit(1).alias("place"),
+            F.when(F.col("l_orderkey") % 97 == 0, F.concat(line, F.lit("\tsurplus"))).otherwise(line).alias("value"),
+        ).unionByName(self.spark.range(8).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("\t".join(columns)).alias("value")))
+
+    @cached_property
+    def packages(self) -> DataFrame:
+        """Package responses as JSON lines, of twenty resources each: with fields nobody knows, without fields
+        one might expect, with failed requests, and with lines cut off."""
+        number = F.call_function("div", F.col("p_partkey"), F.lit(20))
+        resource = F.struct(
+            F.concat(F.lit("r"), F.lpad(F.col("p_partkey").cast("string"), 12, "0")).alias("id"), F.col("p_name").alias("name"),
+            F.when(F.col("p_size") % 3 > 0, F.col("p_type")).alias("description"),
+            F.when(F.col("p_size") % 2 == 0, "CSV").when(F.col("p_size") % 5 > 0, "xlsx").alias("format"),
+            F.lpad(F.col("p_size").cast("string"), 3, "0").alias("last_modified"),
+            F.struct(F.col("p_retailprice").alias("price")).alias("extras"),
+        )
+        whole = self.table("part").groupBy(number.alias("number")).agg(F.collect_list(resource).alias("resources")).select(
+            "number",
+            F.to_json(F.struct(
+                (F.col("number") % 11 != 3).alias("success"), F.lit("x").alias("help"),
+                F.struct(F.concat(F.lit("set "), F.col("number").cast("string")).alias("id"), "resources").alias("result"),
+            )).alias("value"),
+        )
+        return whole.select(F.when(F.col("number") % 13 == 5, F.substring("value", 1, 100)).otherwise(F.col("value")).alias("value"))
+
     @cached_property
     def source_loads(self) -> DataFrame:
         failed = F.col("value") < 3

@@ -715,7 +715,107 @@ ORACLE |= {
         )
         + "".join(
             f" union all select '{key}', 'failed', null, null, null, null"
-            for key in ("study_permits_monthly", "work_permits_monthly", "asylum_claimants_monthly")
+            for key in ("study_permits_monthly", "work_permits_monthly")
         )
     ),
 }
+
+_CELLS = """
+with years as (select y, row_number() over (order by y) + 1 as col from (select distinct cast(year(o_orderdate) as int) as y from orders)),
+last as (select max(col) + 1 as notes, max(y) as y from years),
+people as (select * from customer join nation on c_nationkey = n_nationkey),
+spent as (select o_custkey, year(o_orderdate) as y, cast(sum(cast(floor(o_totalprice) as bigint)) as bigint) as n from orders group by 1, 2),
+cells as (
+    select c_mktsegment as sheet, c_custkey + 5 as row_idx, 0 as col_idx, case when c_custkey % 7 = 0 then ' ' else n_name end as value, true as is_text from people
+    union all select c_mktsegment, c_custkey + 5, 1, 'sub', true from people where c_custkey % 5 = 0
+    union all select c_mktsegment, c_custkey + 5, col, coalesce(format('{:,}', n), '--'), true
+        from people cross join years left join spent on o_custkey = c_custkey and spent.y = years.y
+    union all select c_mktsegment, c_custkey + 5, notes, cast(c_custkey as varchar), false from people cross join last
+    union all select sheet, 0, 0, 'Claimants by country', true from (select distinct c_mktsegment as sheet from people)
+    union all select sheet, 2, col, name, true from (select distinct c_mktsegment as sheet from people)
+        cross join (select 0 as col, 'Country' as name union all select 1, 'Category' union all select col, cast(y as varchar) from years union all select notes, 'Notes' from last)
+    union all select sheet, 3, col, name, true from (select distinct c_mktsegment as sheet from people)
+        cross join (select col, concat(y, ' Total') as name from years union all select notes, concat(y + 1, ' YTD') from last)
+    union all select sheet, 4, 0, 'All countries', true from (select distinct c_mktsegment as sheet from people)
+    union all select sheet, 4, col, cast(col - 1 as varchar), false from (select distinct c_mktsegment as sheet from people)
+        cross join (select col from years union all select notes from last)
+)
+"""
+_RUN_LOADS = {
+    "population_quarterly": "success", "npr_by_type_quarterly": "success", "status_breakdown_census": "success",
+    "naturalized_by_country_census": "failed", "study_permits_monthly": "failed", "work_permits_monthly": "failed",
+    "work_permit_programs_monthly": "skipped", "asylum_claimants_monthly": "skipped", "permanent_residents_monthly": "failed",
+}
+_RUN_DOCUMENTS = {
+    "population_current.json": 0, "population_history.json": 1, "status_breakdown.json": 1, "visa_streams_current.json": 0,
+    "visa_streams_history.json": 1, "work_permit_sources_current.json": 0, "origin_pr_current.json": None, "origin_pr_history.json": 1,
+    "origin_temp_current.json": 0, "origin_naturalized.json": None, "origin_overview.json": 0,
+}
+_PART = (
+    "select *, p_partkey // 20 as number, concat('r', lpad(cast(p_partkey as varchar), 12, '0')) as id, "
+    "case when p_size % 3 > 0 then p_type end as description, "
+    "case when p_size % 2 = 0 then 'CSV' when p_size % 5 > 0 then 'xlsx' end as format, "
+    "lpad(cast(p_size as varchar), 3, '0') as last_modified, lower(concat(p_name, ' ', coalesce(case when p_size % 3 > 0 then p_type end, ''))) as hay from part"
+)
+
+ORACLE |= {
+    "grid_cells": _CELLS + "select sheet, cast(row_idx as bigint) as row_idx, cast(col_idx as int) as col_idx, value, is_text from cells",
+    "grid_year_totals": ORACLE["unpivot_year_totals"],
+    "unpivot_repeated_cells": _sql(
+        "fx_sheet",
+        "select sheet, row_idx, ref_year, 0 as ref_month, country, '_' as province, "
+        "cast(case when row_idx % 3 = 0 then greatest(coalesce(n, 7), 7) else n end as bigint) as count from fx_sheet",
+    ),
+    "refresh_log": (
+        ORACLE["refresh_log"]
+        + " union all select 'asylum_claimants_monthly', 'success', 'asylum_claimants_monthly csv', concat(min(y), ' to ', max(y)), count(*), "
+        "cast(sum(n) filter (n % 5 <> 0) as bigint) from (select y, n_nationkey, count(o_orderkey) as n from "
+        "(select distinct year(o_orderdate) as y from orders) cross join nation "
+        "left join (select * from orders join customer on o_custkey = c_custkey) on c_nationkey = n_nationkey and year(o_orderdate) = y group by 1, 2)"
+    ),
+    "rejected_rows": (
+        "with good as (select cast(year(l_shipdate) as int) as ref_year, n_name as country, "
+        f"sum(try_cast(replace({_DIRTY}, ',', '') as bigint)) as n from {_SHIPMENTS} where l_orderkey % 97 <> 0 and s_nationkey <> 7 group by 1, 2), "
+        f"bad as (select count(*) as n_rejected from {_SHIPMENTS} where l_orderkey % 97 = 0) "
+        "select 'study_permits_monthly' as dataset_key, 'success' as status, concat(n_rejected, ' malformed rows left out') as notes, "
+        "'more fields than columns' as reason, n_rejected, (select count(*) from good) as n_rows, "
+        "(select cast(sum(coalesce(n, 0)) as bigint) from good) as total from bad "
+        "union all select 'work_permits_monthly', 'failed', null, 'more fields than columns', n_rejected, 0, null from bad"
+    ),
+    "load_metrics": _sql(
+        "fx_pr fx_population fx_npr",
+        " union all ".join(
+            f"select '{key}' as dataset_key, count(*) as n_written, concat(min({at}), ' to ', max({at})) as period, "
+            f"cast(0 as bigint) as n_null, count(*) as n_read from {view}"
+            for key, view, at in (
+                ("permanent_residents_monthly", "fx_pr", "ref_year"), ("population_quarterly", "fx_population", "ref_date"),
+                ("npr_by_type_quarterly", "fx_npr", "ref_date"),
+            )
+        ),
+    ),
+    "latest_complete_year_pruned": ORACLE["latest_complete_year"],
+    "origin_top10_pruned": ORACLE["origin_top10"],
+    "temp_top10_pruned": ORACLE["temp_top10_by_stream"],
+    "log_compaction": ORACLE["latest_load_per_key"],
+    "catalog_scan": (
+        "select concat('set ', number) as dataset_id, id, p_name as name, description, format, last_modified, cast(null as varchar) as url, score from "
+        "(select *, cast(case when format = 'CSV' then 1 else 0 end + case when contains(hay, 'ring') then 2 else 0 end "
+        "+ case when contains(hay, 'small') then 2 else 0 end + case when contains(hay, 'red') then 2 else 0 end "
+        f"+ case when contains(hay, 'economy') then 2 else 0 end as int) as score from ({_PART}) "
+        "where contains(hay, 'e') and number % 11 <> 3 and number % 13 <> 5) where score >= 2 "
+        "qualify row_number() over (partition by number order by score desc, last_modified desc, p_name desc, id) = 1"
+    ),
+    "catalog_errors": (
+        f"select case when number % 13 = 5 then 'not a package response' else 'the request has failed' end as error, count(distinct number) as n "
+        f"from ({_PART}) where number % 13 = 5 or number % 11 = 3 group by 1"
+    ),
+    "refresh_run": (
+        "with population as (" + ORACLE["population_load"] + ") select 'run' as part, 'run' as name, 'success' as status, cast(3 as bigint) as n"
+        + "".join(f" union all select 'load', '{key}', '{status}', null" for key, status in _RUN_LOADS.items())
+        + "".join(
+            f" union all select 'document', '{name}', '{'skipped' if n is None else 'published'}', {'null' if n is None else n}"
+            for name, n in _RUN_DOCUMENTS.items()
+        )
+        + " union all select 'view', geo, null, cast(sum(population) as bigint) from population where year(ref_date) = 1997 group by geo"
+    ),
+}

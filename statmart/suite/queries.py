@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statmart import codes, schemas
@@ -13,10 +13,20 @@ from statmart import functions as fn
 from statmart.operators import dedupe, lineage, rollup, series
 from statmart.operators.apportion import apportion
 from statmart.plans import documents, loads, marts, views
-from statmart.plans.landing import chosen_resources, landing_loads
-from statmart.plans.refresh import load_all
+from statmart.plans.landing import Resource, chosen_resources, landing_loads
+from statmart.plans.refresh import load_all, refresh
 from statmart.session import materialized, scratch_path
-from statmart.sinks import publish_document, replace_slice, replace_table
+from statmart.sinks import (
+    append_rows,
+    logs,
+    publish_document,
+    rejects,
+    replace_slice,
+    replace_table,
+    shape_for,
+    versions,
+)
+from statmart.sinks.documents import published_set
 from statmart.sources import catalog, grid, warehouse
 from statmart.suite.fixtures import AS_OF, GEO, PLACES, STREAMS, Fixtures, thirds
 
@@ -323,7 +333,7 @@ def _(fx):
 @query("category_select")
 def _(fx):
     facts = marts.origin_facts(fx.naturalized, fx.permanent, fx.permits)
-    return views.category_rows(marts.origin_categories(facts, _status(fx), AS_OF, 10, PLACES), "temporary_resident")
+    return views.category_rows(marts.origin_category(facts, _status(fx), AS_OF, "temporary_resident", 10, PLACES), "temporary_resident")
 
 
 # -- lineage -------------------------------------------------------------------
@@ -362,16 +372,16 @@ def _(fx):
     replace_slice(rows, path, "geo")
     doubled = rows.filter(F.col("geo") == GEO).withColumn("population", F.col("population") * 2)
     replace_slice(doubled, path, "geo")
-    return fx.spark.read.schema("ref_date date, population bigint, geo string").parquet(path)
+    return versions.frame(fx.spark, path, rows.schema)
 
 
 @query("table_replace")
 def _(fx):
     path = scratch_path(fx.spark, "naturalized")
     replace_table(fx.naturalized, path)
-    kept = fx.spark.read.schema("census_year int, country string, count bigint").parquet(path)
+    kept = versions.frame(fx.spark, path, fx.naturalized.schema)
     replace_table(kept.filter(F.col("census_year") == 2000), path)
-    return fx.spark.read.schema("census_year int, country string, count bigint").parquet(path)
+    return versions.frame(fx.spark, path, fx.naturalized.schema)
 
 
 @query("mart_json")
@@ -518,10 +528,44 @@ def _(fx):
 # -- loads into a warehouse, from extracts as they lie in a landing folder ------
 
 
+def _write_sheets(cells: DataFrame, path: str) -> None:
+    """Worksheets as delimited text without a header, one file each; rows a sheet lacks are blank lines, texts are quoted."""
+    field = F.when(F.col("is_text"), F.concat(F.lit('"'), F.replace("value", F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.col("value"))
+    rows = cells.groupBy("sheet", "row_idx").agg(
+        F.map_from_entries(F.collect_list(F.struct("col_idx", field))).alias("fields"), F.max("col_idx").alias("last")
+    )
+    line = F.array_join(F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.coalesce(F.try_element_at("fields", i), F.lit(""))), ",")
+    above = F.lag("row_idx").over(Window.partitionBy("sheet").orderBy("row_idx"))
+    gap = (F.col("row_idx") - F.coalesce(above, F.lit(-1)) - 1).cast("int")
+    lines = rows.withColumn("value", F.concat(F.repeat(F.lit("\n"), gap), line))
+    # A file per sheet, its lines in order: that is what makes it a sheet.
+    lines.repartition("sheet").sortWithinPartitions("sheet", "row_idx").select("sheet", "value").write.partitionBy("sheet").text(path)
+
+
+@query("grid_cells")
+def _(fx):
+    path = scratch_path(fx.spark, "sheets")
+    _write_sheets(fx.sheet_cells, path)
+    return grid.read_grid(fx.spark, path)
+
+
+@query("grid_year_totals")
+def _(fx):
+    path = scratch_path(fx.spark, "sheets")
+    _write_sheets(fx.sheet_cells, path)
+    return grid.unpivot_year_totals(grid.read_grid(fx.spark, path))
+
+
+@query("unpivot_repeated_cells")
+def _(fx):
+    again = fx.sheet_cells.where((F.col("row_idx") > 4) & (F.col("row_idx") % 3 == 0) & (F.col("col_idx") > 1)).withColumn("value", F.lit("7"))
+    return grid.unpivot_year_totals(fx.sheet_cells.unionByName(again))
+
+
 @query("refresh_log")
 def _(fx):
     landing, root = scratch_path(fx.spark, "landing"), scratch_path(fx.spark, "warehouse")
-    # Written as the sources publish them: comma-separated, and tab-separated; two sources have nothing.
+    # Written as the sources publish them: comma-separated, tab-separated, and a worksheet; two sources have nothing.
     comma = {
         schemas.POPULATION.name: fx.population_raw.orderBy("_row").drop("_row"),
         schemas.NPR.name: fx.population_raw.orderBy("_row").drop("_row"),
@@ -532,8 +576,10 @@ def _(fx):
     for extracts, sep in ((comma, ","), (tab, "\t")):
         for name, df in extracts.items():
             df.write.options(header=True, sep=sep).csv(f"{landing}/{name}")
+    _write_sheets(fx.asylum_cells, f"{landing}/{schemas.ASYLUM.name}")
+    loaded = (*comma, *tab, schemas.ASYLUM.name)
     # A catalog of the landing folder: the best resource of each dataset is the one that is there.
-    listed = [(name, f"{name}-{kind}", f"{name} {kind}", kind, f"{landing}/{name}") for name in (*comma, *tab) for kind in ("csv", "xlsx")]
+    listed = [(name, f"{name}-{kind}", f"{name} {kind}", kind, f"{landing}/{name}") for name in loaded for kind in ("csv", "xlsx")]
     offers = fx.spark.createDataFrame(listed, "dataset_key string, id string, name string, format string, url string")
     offers = offers.withColumn("description", F.lit(None).cast("string"))
     types = {s: s.split("-")[1].lower().replace(" ", "_") for s in STREAMS[:4]}
@@ -544,12 +590,159 @@ def _(fx):
             F.lit(name).alias("dataset_key"), F.count("*").alias("n_rows"),
             F.sum("population" if name == schemas.POPULATION.name else "count").alias("total"),
         )
-        for name in (*comma, *tab)
+        for name in loaded
     ])
     log = warehouse.read_table(fx.spark, root, schemas.LOADS.name)
     return log.select("dataset_key", "status", "resource_name", "reference_period").join(totals, "dataset_key", "left")
 
 
+@query("rejected_rows")
+def _(fx):
+    landing, root = scratch_path(fx.spark, "landing"), scratch_path(fx.spark, "warehouse")
+    lines = fx.country_lines.repartition("file").sortWithinPartitions("file", "place")
+    lines.select("file", "value").write.partitionBy("file").text(landing)
+    extract = Resource(f"{landing}/file=*")
+    # One source allows malformed rows, the other does not.
+    for name, most in ((schemas.STUDY.name, 1 << 40), (schemas.WORK.name, 0)):
+        sources = [s for s in landing_loads(fx.spark, {name: extract}, most_rejects=most) if s.meta.dataset_key == name]
+        load_all(fx.spark, root, name, sources)
+    log = warehouse.read_table(fx.spark, root, schemas.LOADS.name).select(
+        "dataset_key", "status", F.when(F.col("status") == "success", F.col("notes")).alias("notes")
+    )
+    kept = rejects.read_rejects(fx.spark, root).groupBy("dataset_key", "reason").agg(F.count("*").alias("n_rejected"))
+    totals = reduce(DataFrame.unionByName, [
+        warehouse.read_table(fx.spark, root, name).agg(F.lit(name).alias("dataset_key"), F.count("*").alias("n_rows"), F.sum("count").alias("total"))
+        for name in (schemas.STUDY.name, schemas.WORK.name)
+    ])
+    return log.join(kept, "dataset_key").join(totals, "dataset_key")
+
+
+@query("load_metrics")
+def _(fx):
+    root = scratch_path(fx.spark, "warehouse")
+    seen = []
+    for table, rows, fill, period in (
+        (schemas.PERMANENT, fx.permanent, {"ref_month": 0, "immigration_category": "all", "province": "_", "source_dataset": "x"}, "ref_year"),
+        (schemas.POPULATION, fx.population, {"source_table": "x"}, "ref_date"),
+        (schemas.NPR, fx.npr, {"source_table": "x"}, "ref_date"),
+    ):
+        shaped, path = shape_for(rows, table, fill), warehouse.table_path(root, table.name)
+        stated = rollup.period_text(period, codes.NO_PERIOD)
+        if table.slice_by:
+            done = replace_slice(shaped, path, table.slice_by, table, stated)
+        else:
+            done = replace_table(shaped, path, table, period=stated)
+        seen.append((table.name, done.rows, done.period, done.null_rows))
+    stated = fx.spark.createDataFrame(seen, "dataset_key string, n_written bigint, period string, n_null bigint")
+    counted = reduce(DataFrame.unionByName, [
+        warehouse.read_table(fx.spark, root, name).agg(F.lit(name).alias("dataset_key"), F.count("*").alias("n_read")) for name, *_ in seen
+    ])
+    return stated.join(counted, "dataset_key")
+
+
+def _by_year(fx: Fixtures) -> str:
+    """A warehouse whose yearly tables are laid out by year."""
+    root = scratch_path(fx.spark, "warehouse")
+    whole = {"ref_month": 0, "province": "_", "source_dataset": "x", "immigration_category": "all", "study_level": "_", "program_stream": "all"}
+    # Streams come from one pass over the facts.
+    permits = materialized(fx.permits)
+    tables = {schemas.PERMANENT: fx.permanent}
+    tables |= {t: permits.where(F.col("stream") == s) for s, t in _STREAM_TABLES.items()}
+    for table, rows in tables.items():
+        replace_table(shape_for(rows, table, whole), warehouse.table_path(root, table.name), table)
+    return root
+
+
+_STREAM_TABLES = {"study": schemas.STUDY, "work": schemas.WORK, "asylum": schemas.ASYLUM}
+
+
+def _latest_permits(fx: Fixtures, root: str) -> DataFrame:
+    return marts.tag_facts({s: warehouse.read_latest(fx.spark, root, t.name, AS_OF) for s, t in _STREAM_TABLES.items()})
+
+
+@query("latest_complete_year_pruned")
+def _(fx):
+    root = _by_year(fx)
+    permanent = marts.tag_facts({"permanent": warehouse.read_latest(fx.spark, root, schemas.PERMANENT.name, AS_OF)})
+    sums = rollup.sum_by(permanent.unionByName(_latest_permits(fx, root)), ["stream", "ref_year"])
+    return rollup.latest_period(sums, AS_OF, ["stream"])
+
+
+@query("origin_top10_pruned")
+def _(fx):
+    return marts.origin_top(warehouse.read_latest(fx.spark, _by_year(fx), schemas.PERMANENT.name, AS_OF), AS_OF, places=PLACES)
+
+
+@query("temp_top10_pruned")
+def _(fx):
+    return marts.temporary_top(_latest_permits(fx, _by_year(fx)), AS_OF, places=PLACES)
+
+
+@query("log_compaction")
+def _(fx):
+    path = scratch_path(fx.spark, "log")
+    records = shape_for(fx.source_loads.withColumns({
+        "load_id": F.lpad(F.col("load_id").cast("string"), 12, "0"), "run_id": F.col("run_id").cast("string"),
+    }), schemas.LOADS, {"source_family": "x", "source_id": "x", "resource_id": None, "resource_name": None, "cadence": None, "notes": None})
+    part = F.pmod(F.xxhash64("load_id"), F.lit(3))
+    # Two lots become a snapshot, the third one is the tail.
+    for lot in range(3):
+        append_rows(records.where(part == lot), path)
+        if lot == 1:
+            logs.compact(fx.spark, path, schemas.LOADS.schema)
+    log = logs.frame(fx.spark, path, schemas.LOADS.schema)
+    return lineage.latest_loads(log, ["click", "error", "view"], ["dataset_key", "reference_period", "status", "loaded_at"])
+
+
+@query("catalog_scan")
+def _(fx):
+    path = scratch_path(fx.spark, "packages")
+    fx.packages.write.text(path)
+    offers = catalog.read_catalog(fx.spark, path, one_per_file=False)
+    best = catalog.best_resources(offers, ["dataset_id"], _WORDS, required=["e"], min_score=2)
+    return best.select("dataset_id", "id", "name", "description", "format", "last_modified", "url", "score")
+
+
+@query("catalog_errors")
+def _(fx):
+    path = scratch_path(fx.spark, "packages")
+    fx.packages.write.text(path)
+    return catalog.broken_packages(fx.spark, path, one_per_file=False).groupBy("error").agg(F.count("*").alias("n"))
+
+
+@query("refresh_run")
+def _(fx):
+    """A whole refresh, with an extract that is empty, one that is missing and one that is malformed; and a view by bound SQL."""
+    landing, root, folder = (scratch_path(fx.spark, name) for name in ("landing", "warehouse", "published"))
+    found = {name: Resource(f"{landing}/{name}") for name in (schemas.POPULATION.name, schemas.NPR.name, schemas.STATUS_CENSUS.name)}
+    for name in (schemas.POPULATION.name, schemas.NPR.name):
+        fx.population_raw.orderBy("_row").drop("_row").write.options(header=True).csv(f"{landing}/{name}")
+    fx.census_raw.write.options(header=True).csv(f"{landing}/{schemas.STATUS_CENSUS.name}")
+    found[schemas.ASYLUM.name] = Resource(f"{landing}/{schemas.ASYLUM.name}")
+    _write_sheets(fx.asylum_cells.where("row_idx < 5"), found[schemas.ASYLUM.name].path)
+    types = {s: s.split("-")[1].lower().replace(" ", "_") for s in STREAMS[:4]}
+    sources = landing_loads(fx.spark, found, geo=GEO, npr_types=types, npr_column="TYPE")
+    export = documents.Export(as_of=AS_OF, geo=GEO, places=PLACES, first_annual_year=1995, first_quarterly_year=2000)
+    refresh(fx.spark, root, sources, folder, export)
+
+    runs = lineage.current_runs(warehouse.read_table(fx.spark, root, schemas.RUNS.name)).select(
+        F.lit("run").alias("part"), F.lit("run").alias("name"), "status", F.size("sources_fetched").cast("bigint").alias("n")
+    )
+    loaded = warehouse.read_table(fx.spark, root, schemas.LOADS.name).select(
+        F.lit("load").alias("part"), F.col("dataset_key").alias("name"), "status", F.lit(None).cast("bigint").alias("n")
+    )
+    published = published_set(fx.spark, folder)
+    listed = [("document", name, "published", len(sections)) for name, sections in published.documents.items()]
+    listed += [("document", name, "skipped", None) for name in published.skipped]
+    shown = fx.spark.createDataFrame(listed, "part string, name string, status string, n bigint")
+    warehouse.register_views({f"{name}_{published.run_id}": warehouse.read_table(fx.spark, root, name) for name in (schemas.POPULATION.name,)})
+    view = fx.spark.sql(
+        f"select 'view' as part, geo as name, cast(null as string) as status, sum(population) as n "
+        f"from {schemas.POPULATION.name}_{published.run_id} where year(ref_date) = :year group by geo", args={"year": 1997},
+    )
+    return reduce(DataFrame.unionByName, [runs, loaded, shown, view])
+
+
 # -- functions -----------------------------------------------------------------
 
 
