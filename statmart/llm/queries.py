@@ -14,7 +14,7 @@ from statmart.llm.packing import op5_best_fit_packing
 from statmart.llm.pieces import op8_sentencepiece
 from statmart.llm.quality_model import op9_quality_classifier
 from statmart.llm.quality_rules import op6_quality_rules
-from statmart.llm.url_filter import BLOCKED_HOSTS, RULES, op7_url_filter
+from statmart.llm.url_filter import RULES, op7_url_filter
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -35,9 +35,8 @@ QUERIES = {
 
 def _url_filter_sql() -> str:
     rules = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in RULES)
-    hosts = ", ".join(f"('{host}')" for host in BLOCKED_HOSTS)
     return rf"""
-with rules(rule, verdict) as (values {rules}), hosts(name) as (values {hosts}),
+with rules(rule, verdict) as (values {rules}),
 split as (
     select page_id,
            coalesce(case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end, '') as rest
@@ -55,11 +54,9 @@ fits as (
     from parts, rules
     where (host = split_part(rule, '/', 1) or ends_with(host, '.' || split_part(rule, '/', 1)))
       and starts_with(path, substr(rule, strpos(rule, '/')))
-),
-listed as (select distinct nr from parts, hosts where host = name or ends_with(host, '.' || name))
-select p.page_id, p.host, p.path, f.rule,
-       coalesce(f.verdict, case when l.nr is not null then 'block' else 'allow' end) as verdict
-from parts p left join fits f on f.nr = p.nr and f.best = 1 left join listed l on l.nr = p.nr
+)
+select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') as verdict
+from parts p left join fits f on f.nr = p.nr and f.best = 1
 """
 
 

@@ -48,17 +48,38 @@ URLS = [
 ]
 
 
-@pytest.mark.parametrize("max_bytes", [url_filter.MAX_BYTES, 0])
-def test_urls_against_plain_python(spark, max_bytes):
+@pytest.mark.parametrize("blocked", [(), ("spam-farm.example.org", "b.c.com", "a.com", "a.com", "nowhere.test")])
+def test_urls_against_plain_python(spark, blocked):
     rows = [(i, url, "host", 1) for i, url in enumerate(URLS * 2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, host string, rule int")
-    found = url_filter.judge_urls(pages, max_bytes=max_bytes).select("row.page_id", "host", "path", "rule", "verdict").collect()
+    given = spark.createDataFrame([(f" {b.upper()}", 1) for b in blocked] + [("",  2), (None, 3), ("com/", 4)], "domain string, n int") if blocked else None
+    found = url_filter.judge_urls(pages, blocked=given).select("row.page_id", "host", "path", "rule", "verdict").collect()
     assert len(found) == len(rows)
     for r in found:
-        assert tuple(r)[1:] == plain_verdict(rows[r["page_id"]][1], dict(url_filter.RULES), url_filter.BLOCKED_HOSTS)
+        assert tuple(r)[1:] == plain_verdict(rows[r["page_id"]][1], dict(url_filter.RULES), blocked)
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_verdicts_follow_the_list(spark):
+    """Hosts are blocked because they are listed, whatever they are called."""
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(("casino.test", "www.casino.test", "mild.test"))], "page_id long, url string")
+    for listed, want in (("casino.test", ["block", "block", "allow"]), ("mild.test", ["allow", "allow", "block"])):
+        domains = spark.createDataFrame([(listed,)], "domain string")
+        found = url_filter.judge_urls(pages, blocked=domains).select("row.page_id", "verdict").collect()
+        assert [r["verdict"] for r in sorted(found)] == want
+
+
+def test_a_cascade_grows_with_the_list_and_not_with_the_universe(spark):
+    sizes = []
+    for n in (2_000, 200_000):
+        keys = spark.range(n).select(F.xxhash64("id").alias("h"))
+        cascade = url_filter.build_cascade(keys, spark.range(20).select(F.xxhash64("id").alias("h")))
+        held = cascade.holds(np.array([r["h"] for r in keys.collect()], np.int64).view(np.uint64))
+        assert held[:20].all() and not held[20:].any()
+        sizes.append(sum(len(level.bits) for level in cascade.levels))
+    assert sizes[1] <= 2 * sizes[0] and sizes[1] <= 16 * url_filter.LEAST_WORDS
+
+
 @pytest.mark.parametrize("bits, hashes", [(1, 1), (3, 2), (12, 6)])
 def test_cascade_is_exact_over_its_keys(spark, bits, hashes):
     keys = spark.range(5000).select(F.xxhash64("id").alias("h"), (F.col("id") % 17 == 0).alias("listed"))
