@@ -11,7 +11,7 @@ per hash bucket, less the mean of the other buckets.
 
 1. Every text gets ``SAMPLES`` improved consistent weighted samples: two texts
    agree in one with the probability of their weighted Jaccard similarity.
-   Texts with equal words are one node from here on.
+   Texts with equal words are one node from here on, whatever their ids.
 2. Bands of ``BAND_ROWS`` samples hash nodes into buckets. At a similarity of
    0.8 two nodes share a bucket with probability 0.999, at 0.5 with 0.3.
 3. Each bucket links its members to its least node, where the weighted Jaccard
@@ -26,10 +26,13 @@ per hash bucket, less the mean of the other buckets.
 
 No cap on buckets or partners, and no pair is written that is not to be verified.
 
-Defined results: texts without words (null, empty, blank) are a class each;
-rows without doc_id have no class (null) and are kept; rows that repeat a
-doc_id are one document, whose texts are all compared; the least doc_id stands for a class, so ties cannot
-occur; an empty table gives no rows.
+Defined results: every row is compared by its own text, whether its doc_id is
+null, or repeated with the same or another text. A class is named by its least
+doc_id; a class without any has the name null. Texts without words (null,
+empty, blank) are a class each, named by their own id. Of each class one row is
+kept: of the least id (rows without one last), then of the least text by hash,
+then of the least other columns by hash, so a rerun keeps the same. An empty table gives no
+rows; columns of other names are carried along, whatever they are called.
 """
 
 from __future__ import annotations
@@ -37,15 +40,16 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.llm.common import CHUNK, table
 from statmart.llm.components import components
+from statmart.operators.dedupe import top_per_key
 from statmart.session import materialized
 
 SHINGLE = 5
@@ -186,27 +190,31 @@ def _key(words: list[str]) -> bytes:
     return hashlib.md5("\n".join(words).encode("utf-8", "surrogatepass")).digest()
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
-    """key and text of the rows (doc_id, text) with words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, CHUNK):
-                texts = batch.column(1).slice(start, CHUNK)
-                words = map(words_of, texts.to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array([_key(w) if w else None for w in words], pa.binary()), texts], names=["key", "text"])
+#: What tells a document from all others: its id and its text, by two hashes of 64 bits each.
+DOC = ("doc_id", "print_1", "print_2")
+
 
-    return docs.mapInArrow(run, "key binary, text string").where("key is not null")
+def printed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the two hashes of the text."""
+    prints = [F.xxhash64(F.lit(seed), "text").alias(f"print_{seed}") for seed in (1, 2)]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *prints, "text")
+
+
+def same_doc(one: str, other: str) -> Column:
+    """Whether two rows hold the same document; null ids are equal."""
+    tests = [F.col(f"{one}.{c}").eqNullSafe(F.col(f"{other}.{c}")) for c in DOC]
+    return tests[0] & tests[1] & tests[2]
 
 
 def signed(docs: DataFrame, weights) -> DataFrame:
-    """doc_id, the two halves of the text's key (null without words) and its codes; ``weights`` is broadcast."""
+    """The columns of ``DOC``, the key of the text's words (null without words) and its codes; ``weights`` is broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = sampling_tables()
         for batch in batches:
             for start in range(0, batch.num_rows, CHUNK):
                 rows = batch.slice(start, CHUNK)
                 keys, codes = [], []
-                for text in rows.column(1).to_pylist():
+                for text in rows.column(3).to_pylist():
                     words = words_of(text)
                     if words:
                         keys.append(_key(words))
@@ -215,11 +223,10 @@ def signed(docs: DataFrame, weights) -> DataFrame:
                         keys.append(None)
                         codes.append(None)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).cast(pa.int64()), pa.array(keys, pa.binary()), pa.array(codes, pa.binary())],
-                    names=["doc_id", "key", "codes"],
+                    [*rows.columns[:3], pa.array(keys, pa.binary()), pa.array(codes, pa.binary())], names=[*DOC, "key", "codes"]
                 )
 
-    return docs.mapInArrow(run, "doc_id long, key binary, codes binary")
+    return docs.mapInArrow(run, "doc_id long, print_1 long, print_2 long, key binary, codes binary")
 
 
 def in_buckets(nodes: DataFrame) -> DataFrame:
@@ -326,15 +333,15 @@ def _block_links(members: DataFrame, weights) -> DataFrame:
     return dealt.groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
 
 
-def node_classes(nodes: DataFrame, texts: DataFrame, weights) -> DataFrame:
-    """``node`` and ``class_id`` of the nodes that are linked to another one."""
+def node_classes(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], weights) -> DataFrame:
+    """``node`` and ``class_id`` of the nodes that are linked to another one; ``texts`` gives node and text of some nodes."""
     buckets = in_buckets(nodes)
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = materialized(buckets.join(shared, "bucket").where("node <> pivot").select("bucket", "node", "pivot", "n"))
     stars = members.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     involved = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    # Only texts that share a bucket with another one are needed again; repeated rows of an id give one.
-    needed = materialized(texts.join(involved, "node").groupBy("node").agg(F.min("text").alias("text")))
+    # Only texts that share a bucket with another one are needed again; rows that repeat a document give one.
+    needed = materialized(texts(involved).groupBy("node").agg(F.min("text").alias("text")))
     classes = components(verified(stars, needed, weights))
 
     # The least node of a bucket has met all others; two others are left to compare from three members on.
@@ -362,53 +369,65 @@ def joined_classes(classes: DataFrame, merged: DataFrame) -> DataFrame:
     return materialized(both)
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id of every row; needs doc_id and text."""
+def _first(doc: str = "") -> Column:
+    """The least document of a group: rows without an id come last."""
+    at = [F.col(f"{doc}{c}") for c in DOC]
+    return F.min(F.struct(at[0].isNull().alias("nameless"), *at))
+
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """Every row of (doc_id, text) as ``DOC``, with the number of its class (null without words), the class's least
+    document ``first`` and its least id."""
     spark = docs.sparkSession
-    slim = docs.select(F.col("doc_id").cast("long"), "text")
+    slim = printed(docs)
     weights = spark.sparkContext.broadcast(bucket_weights(*sketch_frequencies(slim.select("text"))))
-    keyed = materialized(signed(slim.where("doc_id is not null"), weights))
-    # Texts with equal words are one node; the least id stands for them.
+    keyed = materialized(signed(slim, weights))
+    # Texts with equal words are one node.
     nodes = materialized(
-        keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("node"), F.min("codes").alias("codes"))
-    )
-    if nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        classes = node_classes(nodes.select("node", "codes"), slim.select(F.col("doc_id").alias("node"), "text"), weights)
-        named = nodes.join(classes, "node", "left").select("key", F.coalesce("class_id", "node").alias("class_id"))
-    else:
-        # An id would stand for several texts: nodes are numbered, and classes are named by their least id afterwards.
-        numbered = materialized(nodes.select("key", "codes", F.col("node").alias("least"), F.monotonically_increasing_id().alias("node")))
-        texts = keyed_texts(slim).join(numbered.select("key", "node"), "key").select("node", "text")
-        classes = node_classes(numbered.select("node", "codes"), texts, weights)
-        own = numbered.join(classes, "node", "left").select("key", "least", F.coalesce("class_id", "node").alias("number"))
-        names = own.groupBy("number").agg(F.min("least").alias("class_id"))
-        named = own.join(names, "number").select("key", "class_id")
-    placed = materialized(
-        keyed.select("doc_id", "key").join(named, "key", "left")
-        .groupBy("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
+        keyed.where("key is not null").groupBy("key").agg(_first().alias("first"), F.min("codes").alias("codes"), F.count(F.lit(1)).alias("n"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
-    # An id with several texts joins their classes.
-    several = placed.groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a < b")
-    if not several.isEmpty():
-        links = placed.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("class_id").alias("b"))
-        merged = components(links).select(F.col("node").alias("class_id"), F.col("class_id").alias("joined"))
-        placed = placed.join(merged, "class_id", "left").select("doc_id", F.coalesce("joined", "class_id").alias("class_id"), "n")
-    ids = placed.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.sum("n").alias("n"))
-    # As many rows as came in.
-    repeated = ids.select("doc_id", "class_id", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("row")).drop("row")
-    nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"))
-    return repeated.unionByName(nameless)
+    # The text of a node is that of its least document.
+    def texts(wanted: DataFrame) -> DataFrame:
+        place = nodes.join(wanted, "node").select("node", "first.*").alias("place")
+        return slim.alias("own").join(place, same_doc("own", "place")).select("place.node", "own.text")
+
+    classes = node_classes(nodes.select("node", "codes"), texts, weights)
+    own = nodes.join(classes, "node", "left").select("key", "n", "first", F.coalesce("class_id", "node").alias("class"))
+    named = materialized(own.groupBy("class").agg(F.min("first").alias("least")))
+    of_key = materialized(own.join(named, "class").select("key", "n", "class", F.col("least").alias("first")))
+    # A text that fills a thousandth of the rows or more is joined by broadcast: there are a thousand of them at most.
+    often = F.col("n") > max(1000, keyed.count() // 1000)
+    frequent, other = F.broadcast(of_key.where(often)), of_key.where(~often)
+    worded = keyed.where("key is not null").drop("codes")
+    found = worded.join(frequent, "key").unionByName(worded.join(frequent.select("key"), "key", "left_anti").join(other, "key"))
+    alone = keyed.where("key is null").select(*DOC, F.lit(None).cast("long").alias("class"), F.struct(F.col("doc_id").isNull().alias("nameless"), *DOC).alias("first"))
+    return found.select(*DOC, "class", "first").unionByName(alone)
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """doc_id and class_id of every row, and whether its document stands for the class; needs doc_id and text."""
+    rows = _classed(docs.select("doc_id", "text"))
+    is_first = F.struct(F.col("doc_id").isNull().alias("nameless"), *DOC).eqNullSafe(F.col("first"))
+    return rows.select("doc_id", F.col("first.doc_id").alias("class_id"), is_first.alias("is_kept"))
 
 
 def keep_first_of_class(docs: DataFrame) -> DataFrame:
-    """One document of each class, with its columns."""
-    firsts = near_classes(docs).where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(firsts, "doc_id", "left_semi")
-    # Rows that repeat an id are one document.
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """One row of each class, with its columns."""
+    rows = materialized(_classed(docs.select("doc_id", "text")))
+    firsts = rows.where("class is not null").select("first.*").distinct().drop("nameless")
+    alone = rows.where("class is null").select(*DOC).distinct()
+    wanted = firsts.withColumn("single", F.lit(True)).unionByName(alone.withColumn("single", F.lit(False))).alias("wanted")
+    # All columns are packed, so their names cannot clash with those added.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    prints = [F.xxhash64(F.lit(seed), "row.text").alias(f"print_{seed}") for seed in (1, 2)]
+    own = whole.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), *prints).alias("own")
+    met = own.join(wanted, same_doc("own", "wanted")).select("own.*", "wanted.single")
+    # Rows that repeat a document: one of them, by the hash of all columns.
+    ranked = top_per_key(met.where("single"), DOC, [F.xxhash64("row")])
+    return ranked.select("row.*").unionByName(met.where(~F.col("single")).select("row.*"))
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class and whether it stands for it."""
-    classes = near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return classes.withColumn("is_kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    return near_classes(table(spark, sf_dir, "documents"))

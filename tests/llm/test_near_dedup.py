@@ -29,23 +29,39 @@ def classes_of(ids, links):
 
 
 def plain_classes(rows, weights):
-    """Classes by comparing all pairs of texts."""
-    vectors = [(i, near_dedup.weighted(near_dedup.words_of(t), weights)) for i, t in rows]
+    """The class number of every row (id, text), by comparing all pairs; rows without words are alone."""
+    vectors = [near_dedup.weighted(near_dedup.words_of(t), weights) for _, t in rows]
     links = [
-        (i, j) for (i, x), (j, y) in combinations(vectors, 2)
-        if i == j or len(x[0]) and len(y[0]) and near_dedup.weighted_jaccard(x, y) >= near_dedup.THRESHOLD
+        (i, j) for (i, x), (j, y) in combinations(enumerate(vectors), 2)
+        if len(x[0]) and len(y[0]) and near_dedup.weighted_jaccard(x, y) >= near_dedup.THRESHOLD
     ]
-    return classes_of([i for i, _ in rows], links)
+    number = classes_of(range(len(rows)), links)
+    return [number[i] for i in range(len(rows))]
+
+
+def names_of(rows, numbers):
+    """The least id of every row's class."""
+    ids = {}
+    for (i, _), number in zip(rows, numbers):
+        ids.setdefault(number, []).append(i)
+    return [min((i for i in ids[number] if i is not None), default=None) for number in numbers]
 
 
 def check_against_plain(spark, docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     weights = near_dedup.bucket_weights(*near_dedup.sketch_frequencies(docs.select("text")))
+    numbers = plain_classes(rows, weights)
+    names = names_of(rows, numbers)
     found = near_dedup.near_classes(docs).collect()
-    assert sorted(r["doc_id"] for r in found) == sorted(i for i, _ in rows)
-    want = plain_classes(rows, weights)
-    assert {r["doc_id"]: r["class_id"] for r in found} == want
-    return want
+    assert sorted(((r["doc_id"], r["class_id"]) for r in found), key=str) == sorted(zip([i for i, _ in rows], names), key=str)
+    # One row of each class stays, of its least id.
+    kept = [(r["doc_id"], r["text"]) for r in near_dedup.keep_first_of_class(docs).select("doc_id", "text").collect()]
+    assert len(kept) == len(set(numbers))
+    known = dict(zip(rows, zip(numbers, names)))
+    assert all(known[row][1] == row[0] for row in kept)
+    alone = sum(1 for _, t in rows if not near_dedup.words_of(t))
+    assert len({known[row][0] for row in kept if near_dedup.words_of(row[1])}) == len(kept) - alone
+    return dict(zip([i for i, _ in rows], names))
 
 
 def test_documents_against_all_pairs(spark):
@@ -73,14 +89,27 @@ def test_group_around_the_threshold(spark, monkeypatch, block_rows):
     assert 20 < len(set(want.values())) < 80
 
 
-def test_all_texts_of_an_id_are_compared(spark):
+def test_every_row_is_compared_by_its_own_text(spark):
+    """Ids with several texts, and rows without an id."""
     chance = random.Random(5)
-    bases = [[f"{c}{chance.randrange(5000)}" for _ in range(200)] for c in "abcdef"]
+    bases = [[f"{c}{chance.randrange(5000)}" for _ in range(200)] for c in "abcdefg"]
     near = [edited(b, 2, chance) for b in bases]
     rows = [(20, " ".join(bases[0])), (20, " ".join(bases[1])), (30, near[1]), (25, near[0]), (50, " ".join(bases[2])), (60, near[2]),
-            (70, " ".join(bases[3])), (70, ""), (10, near[3]), (80, " ".join(bases[4])), (81, " ".join(bases[5])), (0, None), (1, " ")]
+            (70, " ".join(bases[3])), (70, ""), (10, near[3]), (80, " ".join(bases[4])), (81, " ".join(bases[5])), (0, None), (1, " "),
+            (None, near[4]), (None, " ".join(bases[6])), (None, near[6]), (None, near[6]), (None, None), (None, "")]
     want = check_against_plain(spark, spark.createDataFrame(rows, "doc_id long, text string"))
-    assert want[30] == want[25] == 20 and want[60] == 50 and want[70] == 10 and want[0] == 0 and want[80] != want[81]
+    assert want[30] == want[25] == 20 and want[60] == 50 and want[10] == 10 and want[0] == 0 and want[80] != want[81]
+
+
+def test_no_text_is_lost_with_its_id(spark):
+    """Id 1 has the texts x and y, id 2 has x, id 3 has y: one x and one y stay."""
+    x, y = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    docs = spark.createDataFrame([(1, x, "a"), (1, y, "b"), (2, x, "c"), (3, y, "d"), (3, y, "e")], "doc_id long, text string, more string")
+    for partitions in (1, 4):
+        kept = near_dedup.keep_first_of_class(docs.repartition(partitions)).collect()
+        assert sorted((r["doc_id"], r["text"], r["more"]) for r in kept) == [(1, x, "a"), (1, y, "b")]
+    again = spark.createDataFrame([(3, y, m) for m in "abcdef"], "doc_id long, text string, more string")
+    assert len({near_dedup.keep_first_of_class(again.repartition(n)).collect()[0]["more"] for n in (1, 2, 5)}) == 1
 
 
 def test_near_dedup_edges(spark):
@@ -90,11 +119,13 @@ def test_near_dedup_edges(spark):
     docs = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, class_id int, key string")
     found = near_dedup.near_classes(docs).collect()
     assert len(found) == len(rows)
-    assert {r["doc_id"]: r["class_id"] for r in found} == {
-        5: 3, 3: 3, 9: 3, 1: 1, 2: 2, 4: 4, None: None, 6: 6, 7: 6, 8: 8, 11: 11, 12: 11, 13: 13}
+    assert {r["doc_id"]: r["class_id"] for r in found if r["doc_id"]} == {
+        5: 3, 3: 3, 9: 3, 1: 1, 2: 2, 4: 4, 6: 6, 7: 6, 8: 8, 11: 11, 12: 11, 13: 13}
+    # A row without an id is a copy like others; one without a text is alone.
+    assert {(r["class_id"], r["is_kept"]) for r in found if r["doc_id"] is None} == {(3, False), (None, True)}
     kept = near_dedup.keep_first_of_class(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 6, 8, 11, 13]
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 8, 11, 11, 13]
     assert near_dedup.near_classes(docs.limit(0)).count() == 0
 
 
@@ -145,8 +176,8 @@ def test_pipeline_stages(spark):
     kept = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     all_good = seen["quality_rules"]
     weights = near_dedup.bucket_weights(*near_dedup.sketch_frequencies(all_good.select("text")))
-    want = plain_classes([(r["doc_id"], r["text"]) for r in all_good.collect()], weights)
-    assert sorted(i for i, _ in kept) == sorted(set(want.values()))
+    good = [(r["doc_id"], r["text"]) for r in all_good.select("doc_id", "text").collect()]
+    assert sorted(i for i, _ in kept) == sorted(set(names_of(good, plain_classes(good, weights))))
     encoder = packing.PartEncoder(packing.word_bpe_path())
     pieces = [(i, *p) for i, t in kept for p in packing.cut(encoder.encode([t])[0] + np.array([1], "<u4").tobytes())]
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
