@@ -1,8 +1,9 @@
 """Exact top-k by inner product: ball trees per shard (operator 4).
 
 Candidates are dealt by hash into shards of about ``shard_rows`` rows. Each
-shard becomes one ball tree, stored as a row of the shared folder. Queries
-travel in blocks; every block meets every shard once.
+shard becomes one ball tree, stored as a row of the shared folder. Trees stay
+in one place; queries travel to them in blocks, and every block meets every
+shard once, so a search has as many keys as there are shards.
 
 In a tree the inner product of a query q with any row of a node with centre c
 and radius r is at most q.c + |q| r. A query drops the nodes whose bound is
@@ -14,8 +15,9 @@ the k-th score found there, so most of their nodes are never opened.
 Scores are exact integers. Ties go to the smaller id.
 
 Defined results: rows whose id is null, or whose vector is null, empty or
-holds a null or non-finite component take no part; rows that repeat an id
-count as one (the smallest vector); vectors of different lengths are not
+holds a null or non-finite component take no part; every other row is a
+candidate for all queries but its own, also where ids repeat, and each row of
+a repeated query id is a query of its own; vectors of different lengths are not
 compared; a query with fewer than k candidates returns all; an empty table
 gives no rows. Components are kept in 64 bits where 32 do not hold them; components
 and scores must be below 2^63 in size after quantisation.
@@ -138,68 +140,77 @@ def search_tree(ids: np.ndarray, vectors: np.ndarray, spans: np.ndarray, centres
     return best_ids, best_scores
 
 
-TREE = "dim int, shard long, ids binary, vectors binary, spans binary, centres binary, radii binary"
-HITS = "query_id long, vec_id long, score long"
+TREE = "dim int, shard long, ids binary, keys binary, places binary, vectors binary, spans binary, centres binary, radii binary"
+HITS = "query_key long, query_id long, vec_id long, key long, score long"
 
 
-def build_shards(candidates: DataFrame, shard_rows: int = SHARD_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """One row per shard with its tree; candidates have vec_id and the integer vector q."""
-    n_shards = max(1, -(-candidates.count() // shard_rows))
+def build_shards(candidates: DataFrame, n_shards: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """One row per shard with its tree; candidates have vec_id, the number of their row (key) and the integer vector q.
 
+    In a tree, rows go by their place in the order of ids and keys, so the smaller place wins a tie.
+    """
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id", kind="stable")
+        pdf = pdf.sort_values(["vec_id", "key"], kind="stable")
         vectors = np.array(pdf["q"].tolist(), np.int64)
         order, spans, centres, radii = build_tree(vectors, leaf_rows)
         return pd.DataFrame({
             "dim": [vectors.shape[1]], "shard": [pdf["shard"].iloc[0]],
-            "ids": [pdf["vec_id"].to_numpy(np.int64)[order].tobytes()], "vectors": [_packed(vectors[order])],
+            "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "keys": [pdf["key"].to_numpy(np.int64).tobytes()],
+            "places": [order.astype(np.int64).tobytes()], "vectors": [_packed(vectors[order])],
             "spans": [spans.tobytes()], "centres": [centres.tobytes()], "radii": [radii.tobytes()],
         })
 
-    dealt = candidates.withColumns({"dim": F.size("q"), "shard": F.pmod(F.xxhash64("vec_id"), F.lit(n_shards))})
+    dealt = candidates.withColumns({"dim": F.size("q"), "shard": F.pmod(F.xxhash64("key"), F.lit(n_shards))})
     return dealt.groupBy("dim", "shard").applyInPandas(build, TREE)
 
 
 def blocks_of(queries: DataFrame, n_queries: int, query_rows: int = QUERY_ROWS) -> DataFrame:
-    """Queries (query_id, q, bound) in blocks, a row each."""
+    """Queries (query_key, query_id, q, bound) in blocks, a row each."""
     n_blocks = max(1, -(-n_queries // query_rows))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({
             "dim": [pdf["dim"].iloc[0]], "block": [pdf["block"].iloc[0]],
-            "query_ids": [pdf["query_id"].to_numpy(np.int64).tobytes()],
+            "query_keys": [pdf["query_key"].to_numpy(np.int64).tobytes()], "query_ids": [pdf["query_id"].to_numpy(np.int64).tobytes()],
             "queries": [_packed(np.array(pdf["q"].tolist(), np.int64))],
             "bounds": [pdf["bound"].to_numpy(np.int64).tobytes()],
         })
 
-    dealt = queries.withColumns({"dim": F.size("q"), "block": F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(n_blocks))})
-    return dealt.groupBy("dim", "block").applyInPandas(pack, "dim int, block long, query_ids binary, queries binary, bounds binary")
+    dealt = queries.withColumns({"dim": F.size("q"), "block": F.pmod(F.xxhash64("query_key", F.lit(1)), F.lit(n_blocks))})
+    return dealt.groupBy("dim", "block").applyInPandas(pack, "dim int, block long, query_keys binary, query_ids binary, queries binary, bounds binary")
 
 
-def search(trees: DataFrame, blocks: DataFrame, n_blocks: int, k: int) -> DataFrame:
-    """Up to k hits for each query and shard that reach the query's bound."""
+def search(trees: DataFrame, blocks: DataFrame, first: int, last: int, k: int) -> DataFrame:
+    """Up to k hits for each query and each shard from ``first`` to ``last`` that reach the query's bound."""
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                query_ids = np.frombuffer(row.query_ids, np.int64)
-                row_ids = np.frombuffer(row.ids, np.int64)
-                ids, scores = search_tree(
-                    row_ids, _unpacked(row.vectors, len(row_ids), row.dim),
+                query_keys, query_ids = (np.frombuffer(b, np.int64) for b in (row.query_keys, row.query_ids))
+                ids, keys, places = (np.frombuffer(b, np.int64) for b in (row.ids, row.keys, row.places))
+                # A query's own place in this shard; -1 if it lies elsewhere.
+                by_key = np.argsort(keys)
+                at = np.minimum(np.searchsorted(keys[by_key], query_keys), len(keys) - 1)
+                own = np.where(keys[by_key[at]] == query_keys, by_key[at], -1)
+                found, scores = search_tree(
+                    places, _unpacked(row.vectors, len(keys), row.dim),
                     np.frombuffer(row.spans, np.int64).reshape(-1, 2),
                     np.frombuffer(row.centres, float).reshape(-1, row.dim), np.frombuffer(row.radii, float),
-                    query_ids, _unpacked(row.queries, len(query_ids), row.dim),
+                    own, _unpacked(row.queries, len(query_ids), row.dim),
                     np.frombuffer(row.bounds, np.int64), k,
                 )
-                at, _ = hit = np.nonzero(scores != LOWEST)
-                yield pd.DataFrame({"query_id": query_ids[at], "vec_id": ids[hit], "score": scores[hit]})
+                asked, _ = hit = np.nonzero(scores != LOWEST)
+                yield pd.DataFrame({
+                    "query_key": query_keys[asked], "query_id": query_ids[asked], "vec_id": ids[found[hit]], "key": keys[found[hit]], "score": scores[hit],
+                })
 
-    spread = trees.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-    return spread.join(blocks, ["dim", "block"]).mapInPandas(find, HITS)
+    # Every block goes to every shard.
+    sent = blocks.withColumn("shard", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))))
+    return trees.join(sent, ["dim", "shard"]).mapInPandas(find, HITS)
 
 
 def best(hits: DataFrame, k: int) -> DataFrame:
     """The k best hits of each query, ranked."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id", "key")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -207,23 +218,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard_rows: int = SH
           warm_shards: int = WARM_SHARDS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score of the k greatest inner products; ``vectors`` has vec_id and the integer q."""
     rows = materialized(
-        vectors.where("vec_id is not null and q is not null").groupBy("vec_id").agg(F.min("q").alias("q"))
+        vectors.where("vec_id is not null and q is not null").select("vec_id", "q").withColumn("key", F.monotonically_increasing_id())
     )
-    asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "q")
+    asked = rows.where(is_query).select(F.col("key").alias("query_key"), F.col("vec_id").alias("query_id"), "q")
     n_queries = asked.count()
-    n_blocks = max(1, -(-n_queries // query_rows))
-    trees = materialized(build_shards(rows, shard_rows))
+    n_shards = max(1, -(-rows.count() // shard_rows))
+    warm_shards = min(warm_shards, n_shards)
+    trees = materialized(build_shards(rows, n_shards))
 
     cold = blocks_of(asked.withColumn("bound", F.lit(int(LOWEST)).cast("long")), n_queries, query_rows)
-    warm = materialized(best(search(trees.where(F.col("shard") < warm_shards), cold, n_blocks, k), k))
+    warm = materialized(best(search(trees, cold, 0, warm_shards - 1, k), k))
+    if warm_shards == n_shards:
+        return warm.select("query_id", "rank", "vec_id", "score")
     # A query's k-th score so far; without k hits there is no bound yet.
-    reached = warm.groupBy("query_id").agg(
+    reached = warm.groupBy("query_key").agg(
         F.when(F.count(F.lit(1)) == k, F.min("score")).otherwise(int(LOWEST)).alias("bound")
     )
-    bounded = asked.join(reached, "query_id", "left").select(
-        "query_id", "q", F.coalesce("bound", F.lit(int(LOWEST))).cast("long").alias("bound")
+    bounded = asked.join(reached, "query_key", "left").select(
+        "query_key", "query_id", "q", F.coalesce("bound", F.lit(int(LOWEST))).cast("long").alias("bound")
     )
-    rest = search(trees.where(F.col("shard") >= warm_shards), blocks_of(bounded, n_queries, query_rows), n_blocks, k)
+    rest = search(trees, blocks_of(bounded, n_queries, query_rows), warm_shards, n_shards - 1, k)
     return best(warm.drop("rank").unionByName(rest), k).select("query_id", "rank", "vec_id", "score")
 
 

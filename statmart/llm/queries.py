@@ -62,19 +62,19 @@ from parts p left join fits f on f.nr = p.nr and f.best = 1
 
 TOP_K_SQL = """
 with whole as (
-    select vec_id, min(list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint))) as q
+    select row_number() over () as nr, vec_id,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
     from embeddings
     where vec_id is not null and len(embedding) > 0
       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-    group by vec_id
 ),
 scored as (
-    select a.vec_id as query_id, b.vec_id,
+    select a.nr, a.vec_id as query_id, b.vec_id,
            cast(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) as bigint) as score
-    from whole a join whole b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+    from whole a join whole b on a.nr <> b.nr and len(a.q) = len(b.q)
     where a.vec_id % 50 = 0
 )
-select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+select query_id, cast(row_number() over (partition by nr order by score desc, vec_id) as integer) as rank, vec_id, score
 from scored
 qualify rank <= 5
 """

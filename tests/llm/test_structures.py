@@ -95,18 +95,27 @@ def test_cascade_is_exact_over_its_keys(spark, bits, hashes):
 # Exact top-k
 
 def plain_top(rows, k):
-    valid = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            q = [int(np.floor(256 * float(x))) for x in v]
-            valid[i] = min(valid.get(i, q), q)
+    valid = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
+             if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     result = []
-    for i in (i for i in valid if i % 50 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(valid[i], v)), j) for j, v in valid.items() if j != i and len(v) == len(valid[i]))
-        result += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored[:k], 1)]
+    for at, (i, q) in enumerate(valid):
+        if i % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for other, (j, v) in enumerate(valid) if other != at and len(v) == len(q))
+            result += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored[:k], 1)]
     return sorted(result)
 
 
+def test_every_row_is_a_candidate(spark):
+    """Rows that repeat an id, of candidates and of queries."""
+    rows = [(0, [1.0, 0.0]), (1, [0.1, 0.0]), (1, [0.9, 0.0]), (0, [2.0, 0.0]), (50, [1.0, 0.0]), (50, [1.0, 0.0]), (2, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = df.select("vec_id", ball_tree.quantised(F.col("embedding")).alias("q"))
+    for shard_rows in (100, 2):
+        found = ball_tree.top_k(vectors, F.col("vec_id") % 50 == 0, shard_rows=shard_rows, warm_shards=1).collect()
+        assert sorted(tuple(r) for r in found) == plain_top(rows, 5)
+    assert (0, 4, 1, 58_880) in [tuple(r) for r in found]
+
+
 def test_top_k_against_all_pairs(spark):
     chance = random.Random(4)
     centres = [[chance.gauss(0, 0.3) for _ in range(8)] for _ in range(5)]
