@@ -51,7 +51,7 @@ from statmart.session import materialized
 
 THRESHOLD = 0.95
 MISS = 0.001
-MOST_PROBES = 16
+MOST_PROBES = 8
 MOST_FUNCTIONS = 8
 LEAST_SIZE = 32
 #: Rows of a block: those that are compared, and those they are compared with.
@@ -182,7 +182,7 @@ def joined_by(many: DataFrame, one: DataFrame, key: str, n_many: Column, limit:
 
 
 def hot_limit(n_rows: int) -> int:
-    return max(1000, n_rows // HOT_SHARE)
+    return max(100, n_rows // HOT_SHARE)
 
 
 def in_blocks(rows: DataFrame, key: str, n_rows: int) -> DataFrame:
