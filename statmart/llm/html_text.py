@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,16 +86,57 @@ EXEMPT = frozenset(("has", "with", "no", "without"))
 FIRM, OTHER, SOFT = range(3)
 HYPHENS = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+ENDS_OR_QUOTES = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"(class|id|role|aria-label|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 SPACES = re.compile(r"\s+")
 SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
+class Tags:
+    """The tags of a page, one after the other; no part of the page is looked through twice.
+
+    A tag ends at the first ">" outside quotes; at the first one at all, if quotes are left open from there
+    to the end of the page. Quotes that were followed to the end in vain are remembered.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        self.in_vain: set[int] = set()
+
+    def _end(self, at: int) -> int:
+        """Behind the end of a tag whose name ends at ``at``; -1 if it has none."""
+        seen, place = [], at
+        while place <= self.last[">"]:
+            found = ENDS_OR_QUOTES.search(self.page, place)
+            if found[0] == ">":
+                return found.end()
+            quote = found.start()
+            if quote in self.in_vain or quote == self.last[found[0]]:
+                seen.append(quote)
+                break
+            seen.append(quote)
+            place = self.page.index(found[0], quote + 1) + 1
+        self.in_vain.update(seen)
+        return self.page.find(">", at) + 1 or -1
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start, end, whether it is an end tag, name and attributes of the next tag; comments and the like have no name."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            for opening, ending in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">")):
+                if page.startswith(opening, start):
+                    found = page.find(ending, start + len(opening))
+                    return start, found + len(ending) if found >= 0 else len(page), False, "", ""
+            if start < self.last[">"] and (named := NAME.match(page, start)):
+                end = self._end(named.end())
+                if end > 0:
+                    return start, end, page[start + 1] == "/", named[1], page[named.end():end - 1]
+            at = start + 1
+        return None
+
+
 def _words(value: str) -> list[str]:
     return HYPHENS.split(CAMEL.sub(r"\1-\2", value).lower())
 
@@ -227,26 +268,36 @@ def read_blocks(page: str) -> list[Block]:
             if in_link:
                 linked += len(text.strip())
 
-    at = 0
+    #: How many elements of a name are open, so that no end tag looks for one that is not.
+    opens: Counter = Counter()
+
+    def leave_to(holder: Element) -> None:
+        nonlocal current, in_link
+        while current is not holder:
+            opens[current.name] -= 1
+            in_link -= current.name == "a"
+            current = current.parent
+
+    at, tags = 0, Tags(page)
     while at < len(page):
-        tag = TAG.search(page, at)
+        tag = tags.after(at)
         if not tag:
             if current.name == "head" and page[at:].strip():
-                current = current.parent
+                leave_to(current.parent)
             add(page[at:])
             break
-        if current.name == "head" and page[at:tag.start()].strip():
-            current = current.parent
-        add(page[at:tag.start()])
-        at = tag.end()
-        closing, name, attributes = (tag[1], tag[2], tag[3]) if tag[2] else (tag[4], tag[5], tag[6])
+        start, end, closing, name, attributes = tag
+        if current.name == "head" and page[at:start].strip():
+            leave_to(current.parent)
+        add(page[at:start])
+        at = end
         if not name:
-            if tag[0].startswith("<![CDATA["):
-                add(tag[0][9:-3] if tag[0].endswith("]]>") else tag[0][9:])
+            if page.startswith("<![CDATA[", start):
+                add(page[start + 9:end].removesuffix("]]>"))
             continue
         name = name.lower()
         if current.name == "head" and not closing and name not in IN_HEAD:
-            current = current.parent
+            leave_to(current.parent)
         if name == "br" or name == "wbr":
             if name == "br" and parts:
                 parts.append(" ")
@@ -254,16 +305,14 @@ def read_blocks(page: str) -> list[Block]:
         if name not in INLINE:
             end_block()
         if closing:
+            if not opens[name]:
+                continue
             opened = current
             # An end tag closes up to its start tag; inline ones do not reach past a block.
             while opened.parent and opened.name != name and (name not in INLINE or opened.name in INLINE):
                 opened = opened.parent
             if opened.name == name and opened.parent:
-                node = current
-                while node is not opened.parent:
-                    in_link -= node.name == "a"
-                    node = node.parent
-                current = opened.parent
+                leave_to(opened.parent)
             continue
         if name in ENDS_PARAGRAPH or name in CLOSES:
             closable = CLOSES.get(name, set()) | ({"p"} if name in ENDS_PARAGRAPH else set())
@@ -271,21 +320,19 @@ def read_blocks(page: str) -> list[Block]:
             while node.parent and node.name in INLINE:
                 node = node.parent
             while node.parent and node.name in closable:
-                while current is not node.parent:
-                    in_link -= current.name == "a"
-                    current = current.parent
+                leave_to(node.parent)
                 node = current
         if name in VOID or attributes.rstrip().endswith("/") and name not in INLINE and name in SILENT:
             continue
         current = Element(name, current, attributes)
+        opens[name] += 1
         if current.frame:
             frames.append(current)
         in_link += name == "a"
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
-            in_link -= name == "a"
-            current = current.parent
+            leave_to(current.parent)
     end_block()
     release(blocks, frames)
     return blocks

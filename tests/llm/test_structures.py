@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -315,6 +316,47 @@ def test_cut_is_minimal():
         assert cost(html_text.minimum_cut(odds, edges)) == pytest.approx(min(map(cost, itertools.product((False, True), repeat=n))))
 
 
+def plain_tag(page, at):
+    """The next tag by looking at every "<" anew: start, end, name."""
+    while (start := page.find("<", at)) >= 0:
+        for opening, ending in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">")):
+            if page.startswith(opening, start):
+                found = page.find(ending, start + len(opening))
+                return start, found + len(ending) if found >= 0 else len(page), ""
+        name = re.match(r"</?([a-zA-Z][^\s/>]*)", page[start:])
+        if name:
+            rest = page[start + name.end():]
+            end = re.match(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""", rest) or re.match(r"[^>]*>", rest)
+            if end:
+                return start, start + name.end() + end.end(), name[1]
+        at = start + 1
+    return None
+
+
+def test_tags_against_a_plain_reader():
+    chance = random.Random(6)
+    parts = ["<a ", "<p ", "</p ", ">", '"', "'", "<", "x ", "=", " ", "<!--", "-->", "<![CDATA[", "]]>", "<!", "<?", "</", '<i c="d" ']
+    for _ in range(5000):
+        page = "".join(chance.choice(parts) for _ in range(chance.randint(1, 30)))
+        tags, at = html_text.Tags(page), 0
+        while True:
+            found, want = tags.after(at), plain_tag(page, at)
+            assert (found and (found[0], found[1], found[3])) == want, page
+            if not found:
+                break
+            at = found[1]
+
+
+@pytest.mark.parametrize("page", [
+    '<a "' * 250_000, '<a ">"' * 170_000 + "'", "<a" * 500_000, "<" * 1_000_000, "<div>" * 18_000 + "</x>" * 18_000, "<div>" * 40_000, "<a '\"" * 200_000,
+], ids=["quotes", "quoted ends", "starts", "brackets", "end tags", "nested", "both quotes"])
+def test_broken_pages_take_time_by_their_length(page):
+    """A megabyte of what no browser wrote; the square of its length would be minutes."""
+    started = time.perf_counter()
+    html_text.read_blocks(page)
+    assert time.perf_counter() - started < 15
+
+
 def test_html_query(spark):
     rows = html_text.op3_html_text(spark, SF).collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
