@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statmart.functions import all_present, code_for, parse_count
@@ -89,6 +89,19 @@ def latest_row(df: DataFrame, at: str, values: Sequence[str], by: Sequence[str]
     return df.filter(F.col(at).isNotNull()).groupBy(*by).agg(chosen).select(*by, "_chosen.*")
 
 
+def rows_of_top_keys(df: DataFrame, key: str, at: str, k: int, value: str = "count", total: str = "total") -> DataFrame:
+    """All periods of the keys with the greatest sums, with the sum and the key's rank (from 1); ties go to the lower key.
+
+    ``df`` has one row per key and period, so a key's rows travel as one list:
+    one shuffle, and no join back. Keys whose values are all null come last.
+    """
+    lists = df.groupBy(key).agg(F.sum(value).alias(total), F.collect_list(F.struct(at, value)).alias("_rows"))
+    order = [F.col(total).desc_nulls_last(), F.col(key)]
+    # k keys from here on.
+    top = lists.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    return top.select(key, total, "rank", F.inline("_rows"))
+
+
 def merge_counts(frames: Sequence[DataFrame], keys: Sequence[str], value: str = "count") -> DataFrame:
     """Add keyed counts from several inputs."""
     stacked = reduce(DataFrame.unionByName, [f.select(*keys, value) for f in frames])

@@ -16,7 +16,7 @@ from statmart import codes
 from statmart.functions import code_for, is_place, not_negative, place_name, template, year_start
 from statmart.operators.apportion import apportion, apportion_codes
 from statmart.operators.dedupe import top_per_key
-from statmart.operators.rollup import latest_row, rows_of_latest_period, sum_by
+from statmart.operators.rollup import latest_row, rows_of_latest_period, rows_of_top_keys, sum_by
 from statmart.operators.series import align_to_driver, blend_history, percent_of_total
 from statmart.session import materialized, one_row
 
@@ -204,10 +204,9 @@ def origin_history(permanent: DataFrame, k: int = 10, places: codes.PlaceRules =
     sums = place_sums(permanent, ["ref_year"], places).filter(F.col("country").isNotNull())
     if check_places:
         sums = sums.filter(is_place("country", places))
-    totals = sum_by(sums, ["country"], alias="_total").filter(F.col("_total").isNotNull())
-    top = totals.orderBy(F.col("_total").desc(), "country").limit(k).select("country")
     return (
-        sums.join(top, "country")
+        rows_of_top_keys(sums, "country", "ref_year", k)
+        .where(F.col("total").isNotNull())
         .select(F.col("ref_year").alias("year"), "country", "count")
         .orderBy("year", F.col("count").desc_nulls_last(), "country")
     )

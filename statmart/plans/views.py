@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from statmart import codes
 from statmart.functions import all_present, code_for
 from statmart.operators.apportion import topk_with_other, with_other_row
-from statmart.operators.rollup import rollup_groups, sum_by
+from statmart.operators.rollup import rollup_groups, rows_of_top_keys, sum_by
 from statmart.operators.series import percent_of_total, pivot_series, year_window
 from statmart.session import one_row
 
@@ -50,15 +50,12 @@ def countries_wide(history: DataFrame, k: int = 10, start: int | None = None, en
     no names have to be collected first. Columns: year, country_1, count_1, ...
     """
     kept = history.filter(F.col("country").isNotNull())
-    # k names by definition.
-    names = top_countries(kept, k).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("less"), "country"))).alias("names")
-    ).select(F.transform("names", lambda n: n["country"]).alias("names"))
-    ranked = names.select(F.posexplode("names").alias("rank", "country"))
-    placed = year_window(kept.join(ranked, "country"), F.col("year"), start, end)
-    listed = names.scalar()
-    wide = pivot_series(placed, ["year"], "rank", "count", range(k))
-    columns = [c for i in range(k) for c in (F.get(listed, F.lit(i)).alias(f"country_{i + 1}"), F.col(str(i)).alias(f"count_{i + 1}"))]
+    ranked = rows_of_top_keys(kept, "country", "year", k)
+    # At most k names in every row; a year without one of them shows its name all the same.
+    names = ranked.agg(F.map_from_entries(F.collect_set(F.struct("rank", "country")))).scalar()
+    placed = year_window(ranked, F.col("year"), start, end)
+    wide = pivot_series(placed, ["year"], "rank", "count", range(1, k + 1))
+    columns = [c for i in range(1, k + 1) for c in (F.try_element_at(names, F.lit(i)).alias(f"country_{i}"), F.col(str(i)).alias(f"count_{i}"))]
     return wide.select("year", *columns).orderBy("year")
 
 
@@ -68,9 +65,7 @@ def top_country_rows(history: DataFrame, k: int = 10, start: int | None = None,
     The top-k is taken over all years, as the chart does.
     """
     kept = history.filter(F.col("country").isNotNull())
-    # Listed countries are distinct, so an inner join keeps the rows of a semi join.
-    top = top_countries(kept, k).select("country")
-    return year_window(kept.join(top, "country"), F.col("year"), start, end).select(*history.columns)
+    return year_window(rows_of_top_keys(kept, "country", "year", k), F.col("year"), start, end).select("year", "country", "count")
 
 
 def streams_grouped(streams: DataFrame, combined: Sequence[str] = codes.ASYLUM_STREAMS,

@@ -265,18 +265,18 @@ def _(fx):
 @query("origin_countries_pivot")
 def _(fx):
     history = marts.naturalized_all(fx.permanent.withColumnRenamed("ref_year", "census_year"), PLACES)
-    return views.countries_wide(materialized(history), 10, 1996, 2000)
+    return views.countries_wide(history, 10, 1996, 2000)
 
 
 @query("origin_top_rows")
 def _(fx):
     history = marts.naturalized_all(fx.permanent.withColumnRenamed("ref_year", "census_year"), PLACES)
-    return views.top_country_rows(materialized(history), 5, 1997, 1999)
+    return views.top_country_rows(history, 5, 1997, 1999)
 
 
 @query("origin_total_trend")
 def _(fx):
-    return views.yearly_totals(materialized(marts.origin_history(fx.permanent, places=PLACES)), 1996, 2000)
+    return views.yearly_totals(marts.origin_history(fx.permanent, places=PLACES), 1996, 2000)
 
 
 @query("temp_top10_by_stream")
