@@ -104,11 +104,11 @@ def replace_table(df: DataFrame, path: str, table: Table | None = None, keep_if_
 
     With ``keep_if_empty`` an empty extract leaves the old rows in place.
     ``period`` is an aggregate over the rows of this load. A table that names
-    a column to be laid out by is written by it. ``check`` sees what was
+    a column to be laid out or sliced by is written by it. ``check`` sees what was
     written before it counts; if it raises, the old rows stay.
     """
     spark = df.sparkSession
-    by = [table.laid_out_by] if table is not None and table.laid_out_by else []
+    by = [c for c in (table.laid_out_by or table.slice_by,) if c] if table is not None else []
     staged, done = _stage(df, path, table, period, by, check)
     if done.rows == 0 and keep_if_empty:
         files.remove(spark, staged)

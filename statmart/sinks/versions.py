@@ -172,8 +172,20 @@ def replace_all(spark: SparkSession, path: str, folder: str) -> Version:
 
 def replace_parts(spark: SparkSession, path: str, folder: str) -> Version:
     """The partitions in a folder take the place of those of the same name, all at once."""
-    name = folder.removeprefix(path.rstrip("/") + "/")
+    path = path.rstrip("/")
+    name = folder.removeprefix(path + "/")
     parts = {part: f"{name}/{part}" for part in files.folders(spark, folder) if "=" in part}
-    # What lay there before the first pointer counts as parts of its own.
-    plain = {n: n for n in files.folders(spark, path) if "=" in n and not n.startswith(LOAD)}
-    return commit(spark, path, lambda base: Version(folders={**(base.folders or plain), **parts}))
+
+    def replaced(base: Version) -> Version:
+        if not base.number:
+            # What lay there before the first pointer counts as parts of its own.
+            old = {n: n for n in files.folders(spark, path) if "=" in n and not n.startswith(LOAD)}
+        elif WHOLE in base.folders:
+            old = {n: f"{base.folders[WHOLE]}/{n}" for n in files.folders(spark, f"{path}/{base.folders[WHOLE]}") if "=" in n}
+            if not old:
+                raise ValueError(f"{path} has been written whole, without partitions that could be replaced")
+        else:
+            old = base.folders
+        return Version(folders={**old, **parts})
+
+    return commit(spark, path, replaced)

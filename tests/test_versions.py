@@ -164,6 +164,17 @@ def test_tables_without_pointers_are_read_as_they_lie(spark, tmp_path):
     assert held(spark, str(tmp_path)) == [("2026-01-01", "Ontario", 2), ("2026-04-01", "Canada", 3)]
 
 
+def test_slices_of_a_table_that_was_written_whole(spark, tmp_path):
+    path = table_path(str(tmp_path), NAME)
+    replace_table(population(spark, ("2026-01-01", "Canada", 1), ("2026-01-01", "Ontario", 2)), path, schemas.POPULATION)
+    replace_slice(population(spark, ("2026-04-01", "Canada", 3)), path, "geo", schemas.POPULATION)
+    assert held(spark, str(tmp_path)) == [("2026-01-01", "Ontario", 2), ("2026-04-01", "Canada", 3)]
+    plain = str(tmp_path / "plain")
+    replace_table(population(spark, ("2026-01-01", "Canada", 1)), plain)
+    with pytest.raises(ValueError, match="written whole"):
+        replace_slice(population(spark, ("2026-04-01", "Canada", 3)), plain, "geo")
+
+
 def test_slices_with_odd_names(spark, tmp_path):
     path = table_path(str(tmp_path), NAME)
     names = ["a/b", "x=y", "50 %", "é", "2024", "c:d"]
